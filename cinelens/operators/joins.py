@@ -1,0 +1,21 @@
+"""Equi-joins.
+
+No join here carries a broadcast hint: sides whose size depends on the data
+are left to adaptive execution, which measures each side at runtime and only
+broadcasts one under ``spark.sql.autoBroadcastJoinThreshold`` (the size check);
+beyond it the join stays a shuffle (sort-merge) join, with AQE splitting
+skewed partitions.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def join_on(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None,
+            how: str = "inner") -> DataFrame:
+    """Equi-join on one key. With equal key names the key appears once."""
+    right_key = right_key or left_key
+    if left_key == right_key:
+        return left.join(right, on=left_key, how=how)
+    return left.join(right, left[left_key] == right[right_key], how)
