@@ -48,7 +48,9 @@ def window_start(year, anchor, width: int = 10) -> Column:
     at ``anchor`` (a Column, e.g. a scalar subquery for the earliest year)."""
     y = _c(year)
     a = _c(anchor) if not isinstance(anchor, int) else F.lit(anchor)
-    return (a + F.floor((y - a) / F.lit(width)) * width).cast("int")
+    # anchor + floor((y - anchor) / width) * width, in integers, with the
+    # anchor referenced once (it is usually a scalar subquery).
+    return (y - F.pmod(y - a, F.lit(width))).cast("int")
 
 
 def window_label(start, width: int = 10) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import window_label, window_start, year_of
-from ..functions.literals import first_where
+from ..functions.literals import matches_first
 from ..operators.aggregates import collect_titles
 from ..operators.ranking import top_n_per_group
 from .ratings import avg_rating_per_film
@@ -28,7 +28,8 @@ def directors_of(credits: DataFrame, crew: str = "crew", key: str = "id",
     """(id, director_name): the first crew member of the ``department``; films
     without one have no row."""
     return (credits.select(F.col(key).alias("id"),
-                           first_where(crew, "department", department, "name").alias("director_name"))
+                           F.explode(matches_first(crew, "department", department, "name"))
+                            .alias("director_name"))
                    .where(F.col("director_name").isNotNull()))
 
 
@@ -43,12 +44,19 @@ def director_films(films: DataFrame, credits: DataFrame, ratings: DataFrame,
 
 def director_scores_by_window(df: DataFrame, width: int = 10) -> DataFrame:
     """(window, window_start, director_name, ratings): per window, the unweighted
-    mean of the director's film means."""
-    anchor = df.select(F.min("year")).scalar()
-    w = (df.where(F.col("year").isNotNull())
-           .withColumn("window_start", window_start("year", anchor, width)))
+    mean of the director's film means.
+
+    Film means are first summed per (year, director) -- independent of the
+    anchor and combined map-side -- so the earliest year is read from that
+    small aggregate, and the windows are rolled up from it.
+    """
+    per_year = (df.where(F.col("year").isNotNull())
+                  .groupBy("year", "director_name")
+                  .agg(F.sum("ratings").alias("_sum"), F.count("ratings").alias("_n")))
+    anchor = per_year.select(F.min("year")).scalar()
+    w = per_year.withColumn("window_start", window_start("year", anchor, width))
     out = w.groupBy("window_start", "director_name").agg(
-        F.round(F.avg("ratings"), SCORE_DIGITS).alias("ratings"))
+        F.round(F.sum("_sum") / F.sum("_n"), SCORE_DIGITS).alias("ratings"))
     return out.select(window_label("window_start", width).alias("window"),
                       "window_start", "director_name", "ratings")
 

@@ -95,12 +95,14 @@ def films(spark: SparkSession, sf_dir: str, columns=FILM_COLUMNS) -> DataFrame:
         derived["genres"] = F.col("_genres")
         derived["genres_text"] = _pylist(
             F.col("_genres"),
-            lambda x, i: F.format_string("{'id': %d, 'name': '%s'}", i + 1, x))
+            lambda x, i: F.concat(F.lit("{'id': "), (i + 1).cast("string"),
+                                  F.lit(", 'name': '"), x, F.lit("'}")))
     if need_comp:
         derived["companies"] = F.transform("_comp", lambda x: x["s_name"])
         derived["production_companies"] = _pylist(
             F.col("_comp"),
-            lambda x: F.format_string("{'name': '%s', 'id': %d}", x["s_name"], x["s_suppkey"]))
+            lambda x: F.concat(F.lit("{'name': '"), x["s_name"], F.lit("', 'id': "),
+                               x["s_suppkey"].cast("string"), F.lit("}")))
     return df.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in cols])
 
 
@@ -126,18 +128,17 @@ def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct("l_linenumber", "s_name", "l_returnflag", "l_linestatus"))).alias("_lines"))
 
     def crew_item(x):
-        return F.when(
-            x["l_returnflag"] == "R",
-            F.format_string("{'department': 'Directing', 'job': 'Director', 'name': '%s'}",
-                            x["s_name"])
-        ).otherwise(F.format_string("{'department': 'Crew', 'job': None, 'name': '%s'}",
-                                    x["s_name"]))
+        head = F.when(x["l_returnflag"] == "R",
+                      F.lit("{'department': 'Directing', 'job': 'Director', 'name': '")
+                      ).otherwise(F.lit("{'department': 'Crew', 'job': None, 'name': '"))
+        return F.concat(head, F.coalesce(x["s_name"], F.lit("null")), F.lit("'}"))
 
     cast_lines = F.filter("_lines", lambda x: x["l_linestatus"] == "O")
     return per.select(
         F.col("l_orderkey").alias("id"),
-        _pylist(cast_lines, lambda x: F.format_string("{'cast_id': %d, 'name': '%s'}",
-                                                      x["l_linenumber"], x["s_name"])).alias("cast"),
+        _pylist(cast_lines, lambda x: F.concat(
+            F.lit("{'cast_id': "), x["l_linenumber"].cast("string"), F.lit(", 'name': '"),
+            F.coalesce(x["s_name"], F.lit("null")), F.lit("'}"))).alias("cast"),
         _pylist(F.col("_lines"), crew_item).alias("crew"),
     )
 
