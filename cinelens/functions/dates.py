@@ -40,7 +40,7 @@ def decade_start(year) -> Column:
 def decade_label(year) -> Column:
     """Decade label ``start-(start+10)``, e.g. 1990 -> ``1990-2000``."""
     s = decade_start(year)
-    return F.concat_ws("-", s.cast("string"), (s + 10).cast("string"))
+    return F.concat(s.cast("string"), F.lit("-"), (s + 10).cast("string"))
 
 
 def window_start(year, anchor, width: int = 10) -> Column:
@@ -56,4 +56,4 @@ def window_start(year, anchor, width: int = 10) -> Column:
 def window_label(start, width: int = 10) -> Column:
     """Window label ``start-(start+width-1)``, e.g. 1902 -> ``1902-1911``."""
     s = _c(start)
-    return F.concat_ws("-", s.cast("string"), (s + (width - 1)).cast("string"))
+    return F.concat(s.cast("string"), F.lit("-"), (s + (width - 1)).cast("string"))
