@@ -1,0 +1,5 @@
+"""Incremental execution of the ratings average (Structured Streaming)."""
+
+from .ratings import average_ratings_updates, read_latest_averages, start_average_ratings
+
+__all__ = ["average_ratings_updates", "read_latest_averages", "start_average_ratings"]
