@@ -1,0 +1,35 @@
+"""Physical-plan audit of every registered query (what would hurt at scale)."""
+
+import pytest
+
+import __spark_entry__ as E
+
+from conftest import SF001
+
+FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
+             "BroadcastNestedLoopJoin", "FlatMapGroupsInPandas", "MapInPandas")
+
+RANKED = {"top_rated_per_decade", "top_genre_per_decade", "top_company_per_decade",
+          "top_directors_per_window", "top_directors_per_2y_window"}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", list(E.queries()))
+def test_plan_is_native_and_pair_free(spark, name):
+    plan = plan_of(E.queries()[name](spark, SF001))
+    for node in FORBIDDEN:
+        assert node not in plan, f"{name}: {node}"
+
+
+@pytest.mark.parametrize("name", sorted(RANKED))
+def test_ranking_is_limited_before_the_shuffle(spark, name):
+    plan = plan_of(E.queries()[name](spark, SF001))
+    assert "WindowGroupLimit" in plan and "Partial" in plan, name
+
+
+def test_scans_are_pruned(spark):
+    plan = plan_of(E.queries()["avg_rating_per_film"](spark, SF001))
+    assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
