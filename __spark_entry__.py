@@ -218,6 +218,15 @@ WHERE rk = 1""",
 SELECT g.genre, {_decade_label('year(f.release_date)')} AS decade, COUNT(*) AS count
 FROM genre_pairs g JOIN films_base f ON g.id = f.id
 WHERE f.release_date IS NOT NULL
+GROUP BY 1, 2""",
+
+    "genre_counts_from_stored_catalog": "WITH " + _FILMS + "," + _GENRE_PAIRS + "," + _COMP_PAIRS + f""",
+clean AS (
+  SELECT f.id, f.release_date FROM films f
+  WHERE f.budget <> 0 AND f.revenue <> 0 AND f.runtime IS NOT NULL AND f.release_date IS NOT NULL
+    AND f.id IN (SELECT id FROM genre_pairs) AND f.id IN (SELECT id FROM comp_pairs))
+SELECT g.genre, {_decade_label('year(c.release_date)')} AS decade, COUNT(*) AS count
+FROM genre_pairs g JOIN clean c ON g.id = c.id
 GROUP BY 1, 2""",
 
     "top_genre_per_decade": "WITH " + _FILMS_BASE + "," + _GENRE_PAIRS + f""",

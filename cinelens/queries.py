@@ -82,6 +82,12 @@ def genre_counts_by_decade(spark, d):
     return P.genre_counts_by_decade(fx.films(spark, d, ["id", "release_date", "genres"]))
 
 
+def genre_counts_from_stored_catalog(spark, d):
+    """The cleaned catalog as stored (genres as list text), read back by the
+    genre count: the clean -> keyed table -> genre trend chain."""
+    return P.genre_counts_by_decade(clean_catalog(spark, d))
+
+
 def top_genre_per_decade(spark, d):
     return P.top_genre_per_decade(genre_counts_by_decade(spark, d))
 
@@ -167,6 +173,7 @@ QUERIES = {
     "avg_ratings_with_title_year": avg_ratings_with_title_year,
     "top_rated_per_decade": top_rated_per_decade,
     "genre_counts_by_decade": genre_counts_by_decade,
+    "genre_counts_from_stored_catalog": genre_counts_from_stored_catalog,
     "top_genre_per_decade": top_genre_per_decade,
     "company_profit_by_decade": company_profit_by_decade,
     "top_company_per_decade": top_company_per_decade,
