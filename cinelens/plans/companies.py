@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import decade_label, year_of
+from ..functions.literals import parse_names
 from ..functions.money import exact_sum, profit, profit_percentage as pct
 from ..operators.ranking import top_per_group
 
@@ -21,14 +23,18 @@ def profit_percentage(films: DataFrame, key: str = "id", title: str = "title") -
             .select(key, title, "profit", pct("profit", "budget").alias("profit_percentage")))
 
 
-def company_profit_by_decade(films: DataFrame, companies: str = "companies",
+def company_profit_by_decade(films: DataFrame, companies: str = "production_companies",
                              date: str = "release_date") -> DataFrame:
     """(production_companies, decade, profit): summed profit of the profitable
     films of each company per decade. Loss-making films are excluded before the
     sum, and each listed company is credited the film's whole profit. Films
-    without a date are left out."""
+    without a date are left out. ``companies`` is an array of names or the
+    stored list-of-dict text (parsed here, after the profit filter)."""
+    names = F.col(companies)
+    if isinstance(films.schema[companies].dataType, T.StringType):
+        names = parse_names(companies)
     df = (_profitable(films).where(F.col(date).isNotNull())
-          .select(F.explode(companies).alias("production_companies"),
+          .select(F.explode(names).alias("production_companies"),
                   decade_label(year_of(date)).alias("decade"), "profit"))
     return df.groupBy("production_companies", "decade").agg(
         exact_sum("profit", scale=4).alias("profit"))

@@ -97,7 +97,7 @@ def _money_films(spark, d, extra=()):
 
 
 def company_profit_by_decade(spark, d):
-    return P.company_profit_by_decade(_money_films(spark, d, ["companies"]))
+    return P.company_profit_by_decade(_money_films(spark, d, ["production_companies"]))
 
 
 def top_company_per_decade(spark, d):

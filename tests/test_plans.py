@@ -100,7 +100,7 @@ def test_companies_loss_excluded_and_ties(spark):
         film(3, 1996, revenue=120.0, companies=("Z",)),        # profit 20
         film(4, 2004, revenue=110.0, companies=("Q",)),
     ], FILM_SCHEMA)
-    by = P.company_profit_by_decade(films)
+    by = P.company_profit_by_decade(films, companies="companies")
     assert sorted(tuple(r) for r in by.collect()) == [
         ("Q", "2000-2010", 10.0), ("X", "1990-2000", 200.0), ("Y", "1990-2000", 200.0),
         ("Z", "1990-2000", 20.0)]
