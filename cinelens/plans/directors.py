@@ -53,7 +53,11 @@ def director_scores_by_window(df: DataFrame, width: int = 10) -> DataFrame:
     per_year = (df.where(F.col("year").isNotNull())
                   .groupBy("year", "director_name")
                   .agg(F.sum("ratings").alias("_sum"), F.count("ratings").alias("_n")))
-    anchor = per_year.select(F.min("year")).scalar()
+    # The anchor is read from the per-(year, director) aggregate's own outputs
+    # (a year with rated films), so the subquery reuses that aggregate's
+    # shuffle instead of re-running the joins underneath it.
+    anchor = per_year.select(F.min(F.when((F.col("_n") > 0) & F.col("_sum").isNotNull(),
+                                          F.col("year")))).scalar()
     w = per_year.withColumn("window_start", window_start("year", anchor, width))
     out = w.groupBy("window_start", "director_name").agg(
         F.round(F.sum("_sum") / F.sum("_n"), SCORE_DIGITS).alias("ratings"))
@@ -79,7 +83,8 @@ def top_directors_per_window(df: DataFrame, n: int = 5, width: int = 10) -> Data
     top = top_n_per_group(director_scores_by_window(df, width), "window_start", "ratings", n,
                           tie_break="director_name")
     winners = top.select("director_name").distinct()
-    titles = filmography(df.join(winners, "director_name", "left_semi"))
+    rated = df.where(F.col("ratings").isNotNull())  # same rated-film rows as the scores
+    titles = filmography(rated.join(winners, "director_name", "left_semi"))
     return (top.join(titles, "director_name")
                .select("window", "rank", "director_name", "movies_directed", "ratings")
                .orderBy("window", "rank"))
