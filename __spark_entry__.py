@@ -336,5 +336,11 @@ FROM df GROUP BY director_name""",
 })
 
 
+# The SQL-text forms answer the same questions as their DataFrame twins.
+for _k in ("avg_profit_by_year_month", "votes_by_decade", "releases_by_decade",
+           "longest_per_language"):
+    _ORACLE[_k + "_sql"] = _ORACLE[_k]
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: v for k, v in _ORACLE.items() if k in QUERIES}

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _c(c) -> Column:
@@ -31,6 +32,21 @@ def month_of(c, text: bool = False) -> Column:
     return F.month(c)
 
 
+def _is_text(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.StringType)
+
+
+def year_in(df: DataFrame, date: str) -> Column:
+    """Year of ``df[date]``: a date/timestamp column, or ``yyyy-mm-dd`` text as
+    a stored table may keep it (split on ``-``, first field)."""
+    return year_of(date, text=_is_text(df, date))
+
+
+def month_in(df: DataFrame, date: str) -> Column:
+    """Month of ``df[date]`` (date or ``yyyy-mm-dd`` text)."""
+    return month_of(date, text=_is_text(df, date))
+
+
 def decade_start(year) -> Column:
     """Calendar decade as int: 1994 -> 1990 (floor semantics, int result)."""
     y = _c(year)

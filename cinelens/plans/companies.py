@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dates import decade_label, year_of
+from ..functions.dates import decade_label, year_in
 from ..functions.literals import parse_names
 from ..functions.money import exact_sum, profit, profit_percentage as pct
 from ..operators.ranking import top_per_group
@@ -35,7 +35,7 @@ def company_profit_by_decade(films: DataFrame, companies: str = "production_comp
         names = parse_names(companies)
     df = (_profitable(films).where(F.col(date).isNotNull())
           .select(F.explode(names).alias("production_companies"),
-                  decade_label(year_of(date)).alias("decade"), "profit"))
+                  decade_label(year_in(films, date)).alias("decade"), "profit"))
     return df.groupBy("production_companies", "decade").agg(
         exact_sum("profit", scale=4).alias("profit"))
 

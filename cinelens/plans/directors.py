@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import window_label, window_start, year_of
+from ..functions.dates import window_label, window_start, year_in
 from ..functions.literals import matches_first
 from ..operators.aggregates import collect_titles
 from ..operators.ranking import top_n_per_group
@@ -37,7 +37,7 @@ def director_films(films: DataFrame, credits: DataFrame, ratings: DataFrame,
                    title: str = "title", date: str = "release_date") -> DataFrame:
     """(id, title, year, director_name, ratings): rated films with their director
     and their mean user rating."""
-    f = films.select("id", F.col(title).alias("title"), year_of(date).alias("year"))
+    f = films.select("id", F.col(title).alias("title"), year_in(films, date).alias("year"))
     r = avg_rating_per_film(ratings, alias="ratings").withColumnRenamed("movieid", "id")
     return f.join(directors_of(credits), "id").join(r, "id")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dates import decade_label, year_of
+from ..functions.dates import decade_label, year_in
 from ..functions.literals import parse_bracket_list
 from ..operators.aggregates import category_counts
 from ..operators.ranking import top_per_group
@@ -23,7 +23,7 @@ def genre_counts_by_decade(films: DataFrame, genres: str = "genres",
     if isinstance(films.schema[genres].dataType, T.StringType):
         g = parse_bracket_list(genres)
     df = (films.where(F.col(date).isNotNull())
-          .select(g.alias("_g"), decade_label(year_of(date)).alias("decade")))
+          .select(g.alias("_g"), decade_label(year_in(films, date)).alias("decade")))
     return category_counts(df, "_g", "genre", "decade")
 
 

@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import month_of, year_of
+from ..functions.dates import month_in, year_in
 from ..functions.money import exact_mean, profit
 
 
 def _in_range(films: DataFrame, start: int, end: int, date: str) -> DataFrame:
     """Films with budget and revenue set and non-zero, start <= year < end."""
-    y = year_of(date)
+    y = year_in(films, date)
     return (films.where((F.col("budget") != 0) & (F.col("revenue") != 0)
                         & (y >= start) & (y < end))
-                 .select(y.alias("year"), month_of(date).alias("month"),
+                 .select(y.alias("year"), month_in(films, date).alias("month"),
                          profit("revenue", "budget").alias("profit")))
 
 

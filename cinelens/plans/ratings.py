@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import decade_label, year_of
+from ..functions.dates import decade_label, year_in
 from ..operators.aggregates import mean_by_key
 from ..operators.ranking import top_per_group
 
@@ -30,14 +30,10 @@ def avg_ratings_with_title_year(ratings: DataFrame, films: DataFrame, key: str =
     finds one side small enough to broadcast).
     """
     avg = avg_rating_per_film(ratings, key)
-    f = films.select(F.col(film_key).alias(key), title, year_of_release(date))
+    f = films.select(F.col(film_key).alias(key), title, year_in(films, date).alias("year_of_release"))
     return avg.join(f, key).select(key, title, "year_of_release", "average_rating")
 
 
-def year_of_release(date: str = "release_date"):
-    return year_of(date).alias("year_of_release")
-
-
 def top_rated_per_decade(avg_ratings: DataFrame, title: str = "title",
                          year: str = "year_of_release", value: str = "average_rating") -> DataFrame:
     """(title, highest_rating, decade): every film whose average equals the best

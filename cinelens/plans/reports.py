@@ -7,12 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import year_of
+from ..functions.dates import year_in
 
 
 def year_span(films: DataFrame, date: str = "release_date") -> DataFrame:
     """One row (min_year, max_year) -- a global aggregate, combined map-side."""
-    y = year_of(date)
+    y = year_in(films, date)
     return films.agg(F.min(y).alias("min_year"), F.max(y).alias("max_year"))
 
 

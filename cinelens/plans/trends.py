@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import decade_start, year_of
+from ..functions.dates import decade_start, year_in
 from ..functions.money import exact_mean
 from ..operators.aggregates import longest_by, trend
 
@@ -14,14 +14,14 @@ def votes_by_decade(films: DataFrame, votes: str = "vote_count",
                     date: str = "release_date") -> DataFrame:
     """(votes, decade): mean vote count per calendar decade, ascending; films
     without a date form the NULL decade."""
-    df = films.select(votes, decade_start(year_of(date)).alias("decade"))
+    df = films.select(votes, decade_start(year_in(films, date)).alias("decade"))
     return trend(df, "decade", [exact_mean(votes).alias("votes")]).select("votes", "decade")
 
 
 def releases_by_decade(films: DataFrame, title: str = "title",
                        date: str = "release_date") -> DataFrame:
     """(movie_count, decades): number of titled films per calendar decade."""
-    df = films.select(title, decade_start(year_of(date)).alias("decades"))
+    df = films.select(title, decade_start(year_in(films, date)).alias("decades"))
     return trend(df, "decades", [F.count(title).alias("movie_count")]).select("movie_count", "decades")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import plans as P
+from .plans import sql as S
 from .operators.dedup import dedup_by_key as _dedup
 from .operators.filters import null_audit as _null_audit
 from .sources import fixtures as fx
@@ -158,6 +159,28 @@ def filmography(spark, d):
     return P.filmography(_director_films(spark, d))
 
 
+def _films_view(spark, d, cols):
+    return S.register_films(fx.films(spark, d, cols), "cinelens_films")
+
+
+def avg_profit_by_year_month_sql(spark, d):
+    view = _films_view(spark, d, ["id", "release_date", "budget", "revenue"])
+    return S.avg_profit_by_year_month(spark, view)
+
+
+def votes_by_decade_sql(spark, d):
+    return S.votes_by_decade(spark, _films_view(spark, d, ["release_date", "vote_count"]))
+
+
+def releases_by_decade_sql(spark, d):
+    return S.releases_by_decade(spark, _films_view(spark, d, ["title", "release_date"]))
+
+
+def longest_per_language_sql(spark, d):
+    view = _films_view(spark, d, ["title", "original_language", "runtime", "popularity"])
+    return S.longest_per_language(spark, view)
+
+
 def row_counts(spark, d):
     return P.row_counts({t: read_table(spark, d, t) for t in TABLES})
 
@@ -190,4 +213,8 @@ QUERIES = {
     "top_directors_per_2y_window": top_directors_per_2y_window,
     "filmography": filmography,
     "row_counts": row_counts,
+    "avg_profit_by_year_month_sql": avg_profit_by_year_month_sql,
+    "votes_by_decade_sql": votes_by_decade_sql,
+    "releases_by_decade_sql": releases_by_decade_sql,
+    "longest_per_language_sql": longest_per_language_sql,
 }

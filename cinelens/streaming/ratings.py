@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..operators.dedup import dedup_by_key
+from ..session import checkpoint_dir
 
 SCALE = 4
 
@@ -37,12 +38,15 @@ def average_ratings_updates(ratings: DataFrame, key: str = "movieid",
 
 
 def start_average_ratings(spark: SparkSession, source: str, table_path: str,
-                          checkpoint_path: str, file_format: str = "parquet",
+                          checkpoint_path: str | None = None, file_format: str = "parquet",
                           schema=schemas.RATINGS_CSV, available_now: bool = True,
                           max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream: files under ``source`` -> per-film averages appended
-    to ``table_path``. ``checkpoint_path`` must be on shared storage (it holds
-    the offsets and the aggregation state)."""
+    to ``table_path``. ``checkpoint_path`` holds the offsets and the
+    aggregation state and must be on shared storage; by default it is a
+    sub-folder of the session's ``spark.checkpoint.dir``."""
+    if checkpoint_path is None:
+        checkpoint_path = f"{checkpoint_dir(spark).rstrip('/')}/average_ratings_stream"
     reader = spark.readStream.schema(schema).format(file_format)
     if file_format == "csv":
         reader = reader.option("header", True)

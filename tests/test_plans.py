@@ -144,3 +144,13 @@ def test_year_span_and_row_counts(spark):
     assert tuple(P.year_span(films).first()) == (1902, 2017)
     got = {r.table_name: r.row_count for r in P.row_counts({"films": films, "one": films.limit(1)}).collect()}
     assert got == {"films": 3, "one": 1}
+
+
+def test_text_release_dates_as_stored(spark):
+    rows = [(1, "t1", "1994-05-01", 100.0, 300.0), (2, "t2", "2018-12-24", 100.0, 150.0),
+            (3, "t3", None, 100.0, 150.0)]
+    films = spark.createDataFrame(rows, "id long, title string, release_date string, "
+                                        "budget double, revenue double")
+    assert [tuple(r) for r in P.avg_profit_by_year_month(films).collect()] == [(50.0, 2018, 12)]
+    assert [tuple(r) for r in P.releases_by_decade(films).collect()] == [(1, None), (1, 1990), (1, 2010)]
+    assert tuple(P.year_span(films).first()) == (1994, 2018)
