@@ -1,13 +1,23 @@
 """Best-per-group and top-N-per-group.
 
-Both are ``rank()`` / ``row_number()`` windows filtered on the rank. Spark
-plans such a filter with a partial ``WindowGroupLimit`` *before* the shuffle:
-each map task keeps only its own top rows per group, so even a group holding
-a third of the data sends only a handful of rows to its reducer.
+Best-per-group (all ties kept) is an aggregate and a join back: the maximum of
+each group is a map-side-combined ``groupBy().max()``; rows equal to it are
+found by an equi-join on (group, value). The per-group table has one row per
+group, so AQE broadcasts it when it measures it small and the rows never
+shuffle; otherwise the join is hash-partitioned on (group, value), which keeps
+a large group spread out, and AQE splits what is still skewed. No task ever
+holds a whole group, even when a third of all rows tie at the top of one.
+
+Top-N is a ``row_number()`` window filtered on the rank. Spark plans that
+filter with a partial ``WindowGroupLimit`` *before* the shuffle: each map task
+keeps only its own first ``n`` rows per group, so a reducer receives at most
+``n`` x tasks rows for any group.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,17 +26,18 @@ def _list(x):
     return [x] if isinstance(x, str) else list(x)
 
 
-def top_per_group(df: DataFrame, group, value: str, rank_col: str | None = None) -> DataFrame:
-    """All rows whose ``value`` equals the group's maximum (ties kept).
+def top_per_group(df: DataFrame, group, value: str) -> DataFrame:
+    """All rows whose ``value`` equals the maximum of their group (ties kept).
 
-    Rows with a NULL ``value`` never win. ``rank_col`` names an optional output
-    column holding the rank (always 1); by default it is dropped.
+    Rows with a NULL ``value`` never win; a NULL group is a group of its own.
     """
-    w = Window.partitionBy(*_list(group)).orderBy(F.col(value).desc())
-    out = (df.where(F.col(value).isNotNull())
-             .withColumn("_rk", F.rank().over(w))
-             .where(F.col("_rk") == 1))
-    return out.withColumnRenamed("_rk", rank_col) if rank_col else out.drop("_rk")
+    keys = _list(group)
+    best = (df.groupBy(*keys).agg(F.max(value).alias("_best"))
+              .select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], "_best"))
+    cond = reduce(lambda a, b: a & b,
+                  [df[k].eqNullSafe(best[f"_g{i}"]) for i, k in enumerate(keys)]
+                  + [df[value] == best["_best"]])
+    return df.join(best, cond, "inner").select(*df.columns)
 
 
 def top_n_per_group(df: DataFrame, group, value: str, n: int, tie_break=(),

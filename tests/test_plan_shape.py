@@ -9,8 +9,8 @@ from conftest import SF001
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
              "BroadcastNestedLoopJoin", "FlatMapGroupsInPandas", "MapInPandas")
 
-RANKED = {"top_rated_per_decade", "top_genre_per_decade", "top_company_per_decade",
-          "top_directors_per_window", "top_directors_per_2y_window"}
+TOP_N = {"top_directors_per_window", "top_directors_per_2y_window"}
+ARG_MAX = {"top_rated_per_decade", "top_genre_per_decade", "top_company_per_decade"}
 
 
 def plan_of(df):
@@ -24,12 +24,20 @@ def test_plan_is_native_and_pair_free(spark, name):
         assert node not in plan, f"{name}: {node}"
 
 
-@pytest.mark.parametrize("name", sorted(RANKED))
-def test_ranking_is_limited_before_the_shuffle(spark, name):
+@pytest.mark.parametrize("name", sorted(TOP_N))
+def test_top_n_is_limited_before_the_shuffle(spark, name):
     plan = plan_of(E.queries()[name](spark, SF001))
     assert "WindowGroupLimit" in plan and "Partial" in plan, name
 
 
+@pytest.mark.parametrize("name", sorted(ARG_MAX))
+def test_best_per_group_needs_no_window(spark, name):
+    # max per group (map-side combined) joined back; no task holds a whole group
+    plan = plan_of(E.queries()[name](spark, SF001))
+    assert "Window" not in plan, name
+    assert "partial_max" in plan, name
+
+
 def test_scans_are_pruned(spark):
     plan = plan_of(E.queries()["avg_rating_per_film"](spark, SF001))
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
