@@ -7,6 +7,7 @@ so only three Python-only spellings must be rewritten before ``from_json``:
 
 * bare ``None`` / ``True`` / ``False`` values  -> ``null`` / ``true`` / ``false``
 * ``\\xNN`` escapes                              -> ``\\u00NN``
+* ``\\UXXXXXXXX`` escapes                        -> a ``\\uHHHH\\uLLLL`` pair
 
 Anything else that still does not parse becomes NULL for that row (and can be
 counted with ``null_audit``), never an error. Known limit: a string value that
@@ -27,6 +28,17 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _utf16_escape(m) -> Column:
+    """``\\UXXXXXXXX`` (8 hex digits) -> JSON ``\\uHHHH\\uLLLL`` surrogate pair."""
+    cp = F.conv(F.substring(m, 3, 8), 16, 10).cast("long")
+    off = cp - F.lit(0x10000)
+    hi = F.lpad(F.hex(F.lit(0xD800) + F.shiftright(off, 10)), 4, "0")
+    lo = F.lpad(F.hex(F.lit(0xDC00) + off.bitwiseAND(0x3FF)), 4, "0")
+    bmp = F.lpad(F.hex(cp), 4, "0")
+    return F.when(cp < 0x10000, F.concat(F.lit("\\u"), bmp)).otherwise(
+        F.concat(F.lit("\\u"), hi, F.lit("\\u"), lo))
+
+
 def pylist_to_json(c) -> Column:
     """Rewrite Python-literal tokens so the text is readable by ``from_json``."""
     c = _c(c)
@@ -34,10 +46,14 @@ def pylist_to_json(c) -> Column:
     for py, js in (("None", "null"), ("True", "true"), ("False", "false")):
         out = F.regexp_replace(out, r"([\[:,]\s*)" + py + r"(?=\s*[,\]}])", "$1" + js)
     out = F.regexp_replace(out, r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
+    # non-printable characters beyond the BMP: Python writes \UXXXXXXXX
+    astral = F.array_distinct(F.regexp_extract_all(out, F.lit(r"(\\U[0-9a-fA-F]{8})"), 1))
+    out = F.aggregate(astral, out, lambda acc, m: F.replace(acc, m, _utf16_escape(m)))
     # Rows holding none of the tokens skip the regex scans (a substring test is
     # far cheaper); ``c`` is referenced a fixed number of times, so the
     # expression does not grow with the number of rewrites.
-    gate = c.contains("None") | c.contains("True") | c.contains("False") | c.contains("\\x")
+    gate = (c.contains("None") | c.contains("True") | c.contains("False")
+            | c.contains("\\x") | c.contains("\\U"))
     return F.when(gate, out).otherwise(c)
 
 

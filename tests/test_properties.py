@@ -1,0 +1,111 @@
+"""Operators against brute force on random inputs (hypothesis)."""
+
+from decimal import Decimal
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from cinelens.functions import parse_names
+from cinelens.operators import dedup_by_key, longest_by, mean_by_key, top_n_per_group, top_per_group
+
+SETTINGS = settings(max_examples=20, deadline=None,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+groups = st.sampled_from(["a", "b", "c", None])
+small = st.one_of(st.none(), st.integers(min_value=0, max_value=4))
+names = st.text(alphabet="abcxyz", min_size=1, max_size=3)
+rows = st.lists(st.tuples(groups, small, names), min_size=0, max_size=40)
+SCHEMA = "g string, v int, name string"
+
+
+@SETTINGS
+@given(rows)
+def test_top_per_group_matches_brute_force(spark, data):
+    got = sorted(map(tuple, top_per_group(spark.createDataFrame(data, SCHEMA), "g", "v").collect()),
+                 key=repr)
+    best = {}
+    for g, v, _ in data:
+        if v is not None:
+            best[g] = max(best.get(g, v), v)
+    want = sorted([r for r in data if r[1] is not None and r[1] == best[r[0]]], key=repr)
+    assert got == want
+
+
+@SETTINGS
+@given(rows, st.integers(min_value=1, max_value=4))
+def test_top_n_matches_brute_force(spark, data, n):
+    df = spark.createDataFrame(data, SCHEMA)
+    got = sorted((r.g, r.v, r.name, r.rank)
+                 for r in top_n_per_group(df, "g", "v", n, tie_break="name").collect()
+                 if r.g is not None)
+    want = []
+    for g in {r[0] for r in data if r[0] is not None}:
+        ranked = sorted([r for r in data if r[0] == g and r[1] is not None],
+                        key=lambda r: (-r[1], r[2]))
+        # rows equal in (v, name) are interchangeable: compare the kept values
+        want += [(g, r[1], r[2], i + 1) for i, r in enumerate(ranked[:n])]
+    assert got == sorted(want)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), small, names), max_size=40),
+       st.sampled_from(["first", "last"]))
+def test_dedup_matches_brute_force(spark, data, keep):
+    df = spark.createDataFrame(data, "k int, v int, name string")
+    got = sorted(map(tuple, dedup_by_key(df, ["k"], order=["name"], keep=keep).collect()))
+
+    def order(r):  # (name, v) with NULL first, as Spark orders struct fields
+        return (r[2], (r[1] is not None, r[1] if r[1] is not None else 0))
+    want = []
+    for k in {r[0] for r in data}:
+        members = [r for r in data if r[0] == k]
+        want.append((min if keep == "first" else max)(members, key=order))
+    assert got == sorted(want)
+
+
+@SETTINGS
+@given(rows)
+def test_longest_by_matches_brute_force(spark, data):
+    df = spark.createDataFrame(data, SCHEMA)
+    got = {r.g: (r.name, r.v) for r in longest_by(df, "g", "v", "name").collect()}
+    want = {}
+    for g in {r[0] for r in data}:
+        cand = [r for r in data if r[0] == g and r[1] is not None]
+        if cand:
+            top = max(r[1] for r in cand)
+            want[g] = (min(r[2] for r in cand if r[1] == top), top)
+        else:
+            want[g] = (None, None)
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3),
+                          st.one_of(st.none(), st.integers(0, 50).map(lambda x: x / 10))),
+                max_size=60))
+def test_exact_mean_matches_decimal_brute_force(spark, data):
+    df = spark.createDataFrame(data, "k int, r double")
+    got = {r.k: r.average for r in mean_by_key(df, "k", "r").collect()}
+    want = {}
+    for k in {r[0] for r in data}:
+        vals = [Decimal(repr(v)) for kk, v in data if kk == k and v is not None]
+        want[k] = float(sum(vals)) / len(vals) if vals else None
+    assert got == want
+
+
+# names as a catalog file spells them: any printable text, apostrophes,
+# commas, quotes, non-ASCII and no-break spaces included
+name_text = st.text(alphabet=st.characters(codec="utf-8", exclude_characters="\\",
+                                           exclude_categories=("Cs",)),
+                    min_size=1, max_size=12).filter(
+    lambda s: not any(t in s for t in ("None", "True", "False")))
+
+
+@SETTINGS
+@given(st.lists(st.lists(name_text, max_size=4), min_size=1, max_size=8))
+def test_parse_names_roundtrips_python_literals(spark, lists):
+    texts = [repr([{"id": i, "name": n, "job": None, "x": True} for i, n in enumerate(ns)])
+             for ns in lists]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.n for r in df.select("i", parse_names("t").alias("n")).collect()}
+    assert [got[i] for i in range(len(lists))] == lists
