@@ -9,10 +9,12 @@ so only three Python-only spellings must be rewritten before ``from_json``:
 * ``\\xNN`` escapes                              -> ``\\u00NN``
 * ``\\UXXXXXXXX`` escapes                        -> a ``\\uHHHH\\uLLLL`` pair
 
-Anything else that still does not parse becomes NULL for that row (and can be
-counted with ``null_audit``), never an error. Known limit: a string value that
-itself contains ``: None,`` or an escaped backslash before ``x`` is rewritten
-too.
+The constants are only rewritten in dict-value position (``'key': None``), the
+only place the catalog format puts them. Anything else that still does not
+parse becomes NULL for that row (and can be counted with ``null_audit``),
+never an error. Known limit: a string value that itself contains a quote,
+colon and ``None`` (``"a': None, b"``), or an escaped backslash before ``x``
+or ``U``, is rewritten too.
 """
 
 from __future__ import annotations
@@ -44,7 +46,8 @@ def pylist_to_json(c) -> Column:
     c = _c(c)
     out = c
     for py, js in (("None", "null"), ("True", "true"), ("False", "false")):
-        out = F.regexp_replace(out, r"([\[:,]\s*)" + py + r"(?=\s*[,\]}])", "$1" + js)
+        # only as a dict value: after a quoted key and a colon
+        out = F.regexp_replace(out, r"(['\"]\s*:\s*)" + py + r"(?=\s*[,}])", "$1" + js)
     out = F.regexp_replace(out, r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
     # non-printable characters beyond the BMP: Python writes \UXXXXXXXX
     astral = F.array_distinct(F.regexp_extract_all(out, F.lit(r"(\\U[0-9a-fA-F]{8})"), 1))
