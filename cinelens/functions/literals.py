@@ -81,15 +81,25 @@ def first_where(c, field: str = "department", value: str = "Directing",
 
 
 def matches_first(c, field: str = "department", value: str = "Directing",
-                  take: str = "name") -> Column:
+                  take: str = "name", also: dict | None = None) -> Column:
     """Array holding ``take`` of the first matching element, or empty.
 
-    ``explode`` of it yields one row per film that has a match and none
-    otherwise -- no separate NOT NULL filter, which Catalyst would push below
-    the projection and so parse the text twice.
+    An element matches when ``field`` equals ``value`` and every ``also``
+    field equals its value. ``explode`` of the result yields one row per film
+    that has a match and none otherwise -- no separate NOT NULL filter, which
+    Catalyst would push below the projection and so parse the text twice.
     """
-    arr = parse_pylist(c, _items(field, take))
-    first = F.slice(F.filter(arr, lambda x: x[field] == F.lit(value)), 1, 1)
+    also = dict(also or {})
+    keys = [field, take] + [k for k in also if k not in (field, take)]
+    arr = parse_pylist(c, _items(*keys))
+
+    def hit(x):
+        cond = x[field] == F.lit(value)
+        for k, v in also.items():
+            cond = cond & (x[k] == F.lit(v))
+        return cond
+
+    first = F.slice(F.filter(arr, hit), 1, 1)
     return F.transform(first, lambda x: x[take])
 
 

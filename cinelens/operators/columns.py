@@ -1,0 +1,48 @@
+"""DataFrame -> DataFrame helpers that add derived columns (dates, decades,
+windows, profit). Thin wrappers over ``cinelens.functions`` for chaining."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.dates import (decade_label, decade_start, month_in, window_label,
+                               window_start, year_in)
+from ..functions.money import profit, profit_percentage
+
+
+def with_year_month(df: DataFrame, date: str = "release_date", year: str = "year",
+                    month: str = "month") -> DataFrame:
+    """Add int ``year`` and ``month`` from a date column or ``yyyy-mm-dd`` text."""
+    return df.withColumns({year: year_in(df, date), month: month_in(df, date)})
+
+
+def with_decade(df: DataFrame, year: str = "year", label: bool = False,
+                alias: str = "decade") -> DataFrame:
+    """Add the calendar decade: int ``1990`` or, with ``label=True``, ``1990-2000``."""
+    return df.withColumn(alias, decade_label(year) if label else decade_start(year))
+
+
+def with_window(df: DataFrame, year: str = "year", width: int = 10, anchor="min",
+                start: str = "window_start", label: str = "window") -> DataFrame:
+    """Add ``width``-year windows: ``anchor="min"`` starts them at the earliest
+    year present (a lazy scalar subquery, never collected), ``"calendar"`` at
+    multiples of ``width``, an int at that year."""
+    if anchor == "min":
+        a = df.select(F.min(year)).scalar()
+    elif anchor == "calendar":
+        a = F.lit(0)
+    else:
+        a = F.lit(int(anchor))
+    out = df.withColumn(start, window_start(year, a, width))
+    return out.withColumn(label, window_label(start, width))
+
+
+def with_profit(df: DataFrame, revenue: str = "revenue", budget: str = "budget",
+                percentage: bool = True) -> DataFrame:
+    """Add ``profit`` = revenue - budget and (optionally) ``profit_percentage``
+    = profit / budget x 100 (NULL for a zero budget)."""
+    out = df.withColumn("profit", profit(revenue, budget))
+    if percentage:
+        out = out.withColumn("profit_percentage", profit_percentage("profit", budget))
+    return out

@@ -24,11 +24,13 @@ SCORE_DIGITS = 9
 
 
 def directors_of(credits: DataFrame, crew: str = "crew", key: str = "id",
-                 department: str = "Directing") -> DataFrame:
-    """(id, director_name): the first crew member of the ``department``; films
-    without one have no row."""
+                 department: str = "Directing", job: str | None = None) -> DataFrame:
+    """(id, director_name): the first crew member of the ``department`` (and,
+    when given, with that ``job``, e.g. ``"Director"``); films without one
+    have no row."""
+    also = {"job": job} if job is not None else None
     return (credits.select(F.col(key).alias("id"),
-                           F.explode(matches_first(crew, "department", department, "name"))
+                           F.explode(matches_first(crew, "department", department, "name", also))
                             .alias("director_name"))
                    .where(F.col("director_name").isNotNull()))
 
@@ -42,13 +44,15 @@ def director_films(films: DataFrame, credits: DataFrame, ratings: DataFrame,
     return f.join(directors_of(credits), "id").join(r, "id")
 
 
-def director_scores_by_window(df: DataFrame, width: int = 10) -> DataFrame:
+def director_scores_by_window(df: DataFrame, width: int = 10, anchor="min") -> DataFrame:
     """(window, window_start, director_name, ratings): per window, the unweighted
     mean of the director's film means.
 
     Film means are first summed per (year, director) -- independent of the
     anchor and combined map-side -- so the earliest year is read from that
-    small aggregate, and the windows are rolled up from it.
+    small aggregate, and the windows are rolled up from it. ``anchor="calendar"``
+    starts the windows at multiples of ``width`` instead; an int anchors them at
+    that year.
     """
     per_year = (df.where(F.col("year").isNotNull())
                   .groupBy("year", "director_name")
@@ -56,9 +60,12 @@ def director_scores_by_window(df: DataFrame, width: int = 10) -> DataFrame:
     # The anchor is read from the per-(year, director) aggregate's own outputs
     # (a year with rated films), so the subquery reuses that aggregate's
     # shuffle instead of re-running the joins underneath it.
-    anchor = per_year.select(F.min(F.when((F.col("_n") > 0) & F.col("_sum").isNotNull(),
-                                          F.col("year")))).scalar()
-    w = per_year.withColumn("window_start", window_start("year", anchor, width))
+    if anchor == "min":
+        a = per_year.select(F.min(F.when((F.col("_n") > 0) & F.col("_sum").isNotNull(),
+                                         F.col("year")))).scalar()
+    else:  # "calendar": windows start at multiples of width; or a given year
+        a = F.lit(0 if anchor == "calendar" else int(anchor))
+    w = per_year.withColumn("window_start", window_start("year", a, width))
     out = w.groupBy("window_start", "director_name").agg(
         F.round(F.sum("_sum") / F.sum("_n"), SCORE_DIGITS).alias("ratings"))
     return out.select(window_label("window_start", width).alias("window"),
@@ -71,7 +78,8 @@ def filmography(df: DataFrame) -> DataFrame:
     return collect_titles(df, "director_name", "title", alias="movies_directed")
 
 
-def top_directors_per_window(df: DataFrame, n: int = 5, width: int = 10) -> DataFrame:
+def top_directors_per_window(df: DataFrame, n: int = 5, width: int = 10,
+                             anchor="min") -> DataFrame:
     """(window, rank, director_name, movies_directed, ratings): the ``n`` best
     directors of each window (equal scores -> lower name first), each with the
     titles of their whole career.
@@ -80,7 +88,7 @@ def top_directors_per_window(df: DataFrame, n: int = 5, width: int = 10) -> Data
     (at most n per window) winners before the per-director title lists are
     built.
     """
-    top = top_n_per_group(director_scores_by_window(df, width), "window_start", "ratings", n,
+    top = top_n_per_group(director_scores_by_window(df, width, anchor), "window_start", "ratings", n,
                           tie_break="director_name")
     winners = top.select("director_name").distinct()
     rated = df.where(F.col("ratings").isNotNull())  # same rated-film rows as the scores

@@ -76,3 +76,17 @@ def test_collect_titles_sorted_distinct(spark):
     df = spark.createDataFrame([("d", "b"), ("d", "a"), ("d", "b"), ("e", None)], "k string, t string")
     got = {r.k: r.titles for r in collect_titles(df, "k", "t").collect()}
     assert got == {"d": "a,b"}
+
+
+def test_column_helpers(spark):
+    import datetime as dt
+    from cinelens.operators import with_decade, with_profit, with_window, with_year_month
+    df = spark.createDataFrame([(dt.date(1902, 3, 1), 10.0, 0.0), (dt.date(1925, 7, 9), 5.0, 2.0)],
+                               "d date, revenue double, budget double")
+    out = with_profit(with_window(with_decade(with_year_month(df, "d"), label=True), width=10))
+    got = [(r.year, r.month, r.decade, r.window_start, r.window, r.profit, r.profit_percentage)
+           for r in out.orderBy("year").collect()]
+    assert got == [(1902, 3, "1900-1910", 1902, "1902-1911", 10.0, None),
+                   (1925, 7, "1920-1930", 1922, "1922-1931", 3.0, 150.0)]
+    cal = with_window(with_year_month(df, "d"), width=10, anchor="calendar")
+    assert sorted(r.window for r in cal.collect()) == ["1900-1909", "1920-1929"]

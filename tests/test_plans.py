@@ -154,3 +154,18 @@ def test_text_release_dates_as_stored(spark):
     assert [tuple(r) for r in P.avg_profit_by_year_month(films).collect()] == [(50.0, 2018, 12)]
     assert [tuple(r) for r in P.releases_by_decade(films).collect()] == [(1, None), (1, 1990), (1, 2010)]
     assert tuple(P.year_span(films).first()) == (1994, 2018)
+
+
+def test_directors_job_filter_and_calendar_windows(spark):
+    crew = ("[{'department': 'Directing', 'job': 'Script Supervisor', 'name': 'Sam'}, "
+            "{'department': 'Directing', 'job': 'Director', 'name': 'Dee'}]")
+    credits = _credits(spark, [(1, "[]", crew)])
+    assert [r.director_name for r in P.directors_of(credits).collect()] == ["Sam"]
+    assert [r.director_name for r in P.directors_of(credits, job="Director").collect()] == ["Dee"]
+    films = spark.createDataFrame([film(1, 1994), film(2, 2003)], FILM_SCHEMA)
+    credits = _credits(spark, [(1, "[]", crew), (2, "[]", crew)])
+    ratings = spark.createDataFrame([(1, 4.0), (2, 2.0)], "movieid long, ratings double")
+    df = P.director_films(films, credits, ratings)
+    got = [(r.window, r.ratings) for r in
+           P.director_scores_by_window(df, 10, anchor="calendar").orderBy("window").collect()]
+    assert got == [("1990-1999", 4.0), ("2000-2009", 2.0)]
