@@ -56,9 +56,11 @@ def _top_rated(spark, a):
 
 
 def _directors(spark, a):
-    df = P.director_films(spark.read.parquet(a.catalog), spark.read.parquet(a.credits),
-                          spark.read.parquet(a.ratings), title=a.title)
-    top = P.top_directors_per_window(df, n=a.n, width=a.width)
+    credits = P.directors_of(spark.read.parquet(a.credits), job=a.job)
+    df = P.director_films(spark.read.parquet(a.catalog), None, spark.read.parquet(a.ratings),
+                          title=a.title, directors=credits)
+    anchor = a.anchor if a.anchor in ("min", "calendar") else int(a.anchor)
+    top = P.top_directors_per_window(df, n=a.n, width=a.width, anchor=anchor)
     write_csv(top, a.out, partition_by="window", header=a.header)
 
 
@@ -84,7 +86,7 @@ JOBS = {
 
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="cinelens.jobs")
-    sub = ap.add_subparsers(dest="job", required=True)
+    sub = ap.add_subparsers(dest="command", required=True)
     for name, (_, inputs) in JOBS.items():
         p = sub.add_parser(name)
         for i in inputs:
@@ -95,12 +97,14 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("--n", type=int, default=5)
             p.add_argument("--width", type=int, default=10)
             p.add_argument("--title", default="title")
+            p.add_argument("--anchor", default="min", help="min | calendar | a year")
+            p.add_argument("--job", default=None, help="also require this crew job")
     return ap
 
 
 def run(spark, argv) -> None:
     a = parser().parse_args(argv)
-    JOBS[a.job][0](spark, a)
+    JOBS[a.command][0](spark, a)
 
 
 def main(argv=None) -> None:

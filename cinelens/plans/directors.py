@@ -35,13 +35,16 @@ def directors_of(credits: DataFrame, crew: str = "crew", key: str = "id",
                    .where(F.col("director_name").isNotNull()))
 
 
-def director_films(films: DataFrame, credits: DataFrame, ratings: DataFrame,
-                   title: str = "title", date: str = "release_date") -> DataFrame:
+def director_films(films: DataFrame, credits: DataFrame | None, ratings: DataFrame,
+                   title: str = "title", date: str = "release_date",
+                   directors: DataFrame | None = None) -> DataFrame:
     """(id, title, year, director_name, ratings): rated films with their director
-    and their mean user rating."""
+    and their mean user rating. ``directors`` (id, director_name) replaces the
+    default first-Directing lookup on ``credits`` when given."""
     f = films.select("id", F.col(title).alias("title"), year_in(films, date).alias("year"))
     r = avg_rating_per_film(ratings, alias="ratings").withColumnRenamed("movieid", "id")
-    return f.join(directors_of(credits), "id").join(r, "id")
+    d = directors if directors is not None else directors_of(credits)
+    return f.join(d, "id").join(r, "id")
 
 
 def director_scores_by_window(df: DataFrame, width: int = 10, anchor="min") -> DataFrame:
