@@ -159,25 +159,27 @@ def filmography(spark, d):
     return P.filmography(_director_films(spark, d))
 
 
-def _films_view(spark, d, cols):
-    return S.register_films(fx.films(spark, d, cols), "cinelens_films")
+def _films_view(spark, d, cols, name):
+    # one view per query: spark.sql resolves the view when called, so queries
+    # built concurrently on one session never see each other's view
+    return S.register_films(fx.films(spark, d, cols), f"cinelens_films_{name}")
 
 
 def avg_profit_by_year_month_sql(spark, d):
-    view = _films_view(spark, d, ["id", "release_date", "budget", "revenue"])
+    view = _films_view(spark, d, ["id", "release_date", "budget", "revenue"], "profit")
     return S.avg_profit_by_year_month(spark, view)
 
 
 def votes_by_decade_sql(spark, d):
-    return S.votes_by_decade(spark, _films_view(spark, d, ["release_date", "vote_count"]))
+    return S.votes_by_decade(spark, _films_view(spark, d, ["release_date", "vote_count"], "votes"))
 
 
 def releases_by_decade_sql(spark, d):
-    return S.releases_by_decade(spark, _films_view(spark, d, ["title", "release_date"]))
+    return S.releases_by_decade(spark, _films_view(spark, d, ["title", "release_date"], "releases"))
 
 
 def longest_per_language_sql(spark, d):
-    view = _films_view(spark, d, ["title", "original_language", "runtime", "popularity"])
+    view = _films_view(spark, d, ["title", "original_language", "runtime", "popularity"], "longest")
     return S.longest_per_language(spark, view)
 
 

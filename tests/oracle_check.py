@@ -90,8 +90,16 @@ def compare(spark, con, name, sf_dir):
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in argv[1:] if not a.startswith("/")] or list(E.queries())
-    from cinelens.session import local_session
-    spark = local_session(8)
+    if os.environ.get("ORACLE_PLAIN_SESSION"):
+        # a session with Spark's defaults (200 shuffle partitions, ANSI as set)
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.sql.ansi.enabled", os.environ.get("ORACLE_ANSI", "false"))
+                 .getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from cinelens.session import local_session
+        spark = local_session(8)
     con = duck(sf_dir)
     bad = 0
     for n in names:
