@@ -1,6 +1,5 @@
 """DataFrame operators on hand-written rows."""
 
-from pyspark.sql import functions as F
 
 from cinelens.operators import (category_counts, collect_titles, dedup_by_key,
                                 keep_valid, longest_by, mean_by_key, null_audit,
