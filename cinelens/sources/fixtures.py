@@ -31,6 +31,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .readers import read_table
+
 ORDER_COLUMNS = ("id", "title", "release_date", "budget", "original_language")
 LINE_COLUMNS = ("revenue", "runtime", "popularity", "vote_count")
 GENRE_COLUMNS = ("genres", "genres_text")
@@ -39,7 +41,7 @@ FILM_COLUMNS = ORDER_COLUMNS + LINE_COLUMNS + GENRE_COLUMNS + COMPANY_COLUMNS
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, sf_dir, name)
 
 
 def _pylist(items, render) -> "F.Column":

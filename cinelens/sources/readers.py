@@ -39,11 +39,16 @@ def read_ratings_csv(spark: SparkSession, path, **kw) -> DataFrame:
     return read_csv(spark, path, schemas.RATINGS_CSV, **kw)
 
 
-def read_table(spark: SparkSession, base: str, name: str, view: str | None = None) -> DataFrame:
+def read_table(spark: SparkSession, base: str, name: str, view: str | None = None,
+               schema=None) -> DataFrame:
     """Parquet table ``{base}/{name}.parquet`` (filters and column selections on
-    the result are pushed into the scan). Optionally registered as a temp view
-    (create-or-replace, so a second call in one session does not fail)."""
-    df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    the result are pushed into the scan). The schema is the given one, else the
+    declared one for known tables (no inference job), else read from the files.
+    Optionally registered as a temp view (create-or-replace, so a second call in
+    one session does not fail)."""
+    schema = schema or schemas.DRIVER_TABLES.get(name)
+    reader = spark.read.schema(schema) if schema else spark.read
+    df = reader.parquet(f"{base.rstrip('/')}/{name}.parquet")
     if view:
         df.createOrReplaceTempView(view)
     return df

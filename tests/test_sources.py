@@ -74,3 +74,14 @@ def test_keyed_table_upsert_and_store_text(spark):
     write_keyed_table(to_store_text(df), path, ["id"], order=["v"], keep="last")
     back = {r.id: (r.genres, r.v) for r in spark.read.parquet(path).collect()}
     assert back == {1: ('["A","B"]', 2.0), 2: ("[]", 3.0)}
+
+
+def test_declared_driver_schemas_match_files(spark):
+    from pyspark.sql.types import _parse_datatype_string
+    from cinelens.schemas import DRIVER_TABLES
+    for sf in ("0.001", "0.01", "0.1"):
+        for name, ddl in DRIVER_TABLES.items():
+            inferred = spark.read.parquet(f"/root/testdata/sf{sf}/{name}.parquet").schema
+            declared = _parse_datatype_string(ddl)
+            assert [(f.name, f.dataType) for f in inferred] == \
+                   [(f.name, f.dataType) for f in declared], (sf, name)
