@@ -9,8 +9,10 @@ so only three Python-only spellings must be rewritten before ``from_json``:
 * ``\\xNN`` escapes                              -> ``\\u00NN``
 * ``\\UXXXXXXXX`` escapes                        -> a ``\\uHHHH\\uLLLL`` pair
 
-The constants are only rewritten in dict-value position (``'key': None``), the
-only place the catalog format puts them. Anything else that still does not
+The constants are only rewritten in dict-value position, the only place the
+catalog format puts them, and by default only as Python itself writes them
+(``'key': None,``), with plain substring replacement; ``lenient=True`` accepts
+any spacing (hand-edited text) at the price of regex scans. Anything else that still does not
 parse becomes NULL for that row (and can be counted with ``null_audit``),
 never an error. Known limit: a string value that itself contains a quote,
 colon and ``None`` (``"a': None, b"``), or an escaped backslash before ``x``
@@ -41,37 +43,52 @@ def _utf16_escape(m) -> Column:
         F.concat(F.lit("\\u"), hi, F.lit("\\u"), lo))
 
 
-def pylist_to_json(c) -> Column:
-    """Rewrite Python-literal tokens so the text is readable by ``from_json``."""
+# Python-only constants and their JSON spellings (fixed values).
+_CONSTANTS = (("None", "null"), ("True", "true"), ("False", "false"))
+
+
+def pylist_to_json(c, lenient: bool = False) -> Column:
+    """Rewrite Python-literal tokens so the text is readable by ``from_json``.
+
+    Default: the constants as Python itself writes them in dict values
+    (``'key': None,`` / ``'key': None}``), by plain substring replacement -- a
+    byte scan that copies nothing when the token is absent. ``lenient=True``
+    also accepts other spacing (hand-edited text) with a regex per constant,
+    run only on rows holding one of the tokens.
+    """
     c = _c(c)
-    out = c
-    for py, js in (("None", "null"), ("True", "true"), ("False", "false")):
-        # only as a dict value: after a quoted key and a colon
-        out = F.regexp_replace(out, r"(['\"]\s*:\s*)" + py + r"(?=\s*[,}])", "$1" + js)
-    out = F.regexp_replace(out, r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
-    # non-printable characters beyond the BMP: Python writes \UXXXXXXXX
-    astral = F.array_distinct(F.regexp_extract_all(out, F.lit(r"(\\U[0-9a-fA-F]{8})"), 1))
-    out = F.aggregate(astral, out, lambda acc, m: F.replace(acc, m, _utf16_escape(m)))
-    # Rows holding none of the tokens skip the regex scans (a substring test is
-    # far cheaper); ``c`` is referenced a fixed number of times, so the
-    # expression does not grow with the number of rewrites.
-    gate = (c.contains("None") | c.contains("True") | c.contains("False")
-            | c.contains("\\x") | c.contains("\\U"))
-    return F.when(gate, out).otherwise(c)
-
-
-def parse_pylist(c, schema: T.DataType) -> Column:
+    if lenient:
+        out = c
+        for py, js in _CONSTANTS:
+            out = F.regexp_replace(out, r"(['\"]\s*:\s*)" + py + r"(?=\s*[,}])", "$1" + js)
+        gate = c.contains("None") | c.contains("True") | c.contains("False")
+        out = F.when(gate, out).otherwise(c)
+    else:
+        out = c
+        for py, js in _CONSTANTS:
+            for q in ("'", '"'):
+                for end in (",", "}"):
+                    out = F.replace(out, F.lit(f"{q}: {py}{end}"), F.lit(f"{q}: {js}{end}"))
+    # Escapes JSON lacks: \xNN, and \UXXXXXXXX beyond the BMP. ``when``
+    # evaluates one branch, so ``out`` is computed once per row either way.
+    esc = F.regexp_replace(out, r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
+    astral = F.array_distinct(F.regexp_extract_all(esc, F.lit(r"(\\U[0-9a-fA-F]{8})"), 1))
+    esc = F.aggregate(astral, esc, lambda acc, m: F.replace(acc, m, _utf16_escape(m)))
+    return F.when(c.contains("\\"), esc).otherwise(out)
+
+
+def parse_pylist(c, schema: T.DataType, lenient: bool = False) -> Column:
     """Python list literal text -> typed array (NULL when it cannot be read)."""
-    return F.from_json(pylist_to_json(c), schema, _JSON_OPTS)
+    return F.from_json(pylist_to_json(c, lenient), schema, _JSON_OPTS)
 
 
 def _items(*keys: str) -> T.ArrayType:
     return T.ArrayType(T.StructType([T.StructField(k, T.StringType()) for k in keys]))
 
 
-def parse_names(c, key: str = "name") -> Column:
+def parse_names(c, key: str = "name", lenient: bool = False) -> Column:
     """``[{..., 'name': 'A'}, {..., 'name': 'B'}]`` -> ``['A', 'B']`` (all elements)."""
-    return F.transform(parse_pylist(c, _items(key)), lambda x: x[key])
+    return F.transform(parse_pylist(c, _items(key), lenient), lambda x: x[key])
 
 
 def first_where(c, field: str = "department", value: str = "Directing",

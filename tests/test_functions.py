@@ -79,3 +79,9 @@ def test_parse_bracket_list(spark):
     assert one(spark, parse_bracket_list("v"), '["Drama","Comedy"]') == ["Drama", "Comedy"]
     assert one(spark, parse_bracket_list("v"), "['Drama', 'Comedy']") == ["Drama", "Comedy"]
     assert one(spark, parse_bracket_list("v"), "[]") == []
+
+
+def test_parse_names_lenient_spacing(spark):
+    txt = "[{'x':None , 'ok' :True,'name': 'n'}]"
+    assert one(spark, parse_names("v"), txt) is None            # not Python's own spelling
+    assert one(spark, parse_names("v", lenient=True), txt) == ["n"]
