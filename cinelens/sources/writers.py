@@ -40,13 +40,15 @@ def write_csv(df: DataFrame, path: str, single: bool = False, partition_by=None,
 
 
 def write_keyed_table(df: DataFrame, path: str, keys, order=(), keep: str = "first",
-                      partition_by=None) -> None:
+                      partition_by=None, assume_unique: bool = False) -> None:
     """Keyed-table write: one row per key (see ``dedup_by_key``), then parquet.
 
-    Overwrite goes through Spark's job commit, so a lost executor's partial
-    output is never visible; re-running the job is idempotent.
+    ``assume_unique=True`` skips the de-duplication for inputs unique on the
+    key by construction (e.g. the output of a ``groupBy`` on it). Overwrite
+    goes through Spark's job commit, so a lost executor's partial output is
+    never visible; re-running the job is idempotent.
     """
-    out = dedup_by_key(df, keys, order, keep)
+    out = df if assume_unique else dedup_by_key(df, keys, order, keep)
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
