@@ -3,7 +3,7 @@
 from .catalog import clean_catalog, clean_credits
 from .companies import company_profit_by_decade, profit_percentage, top_company_per_decade
 from .directors import (director_films, director_scores_by_window, directors_of,
-                        filmography, top_directors_per_window)
+                        filmography, filmography_rows, top_directors_per_window)
 from .genres import genre_counts_by_decade, top_genre_per_decade
 from .profit import avg_profit_by_year_month, month_ranking
 from .ratings import avg_rating_per_film, avg_ratings_with_title_year, top_rated_per_decade
@@ -13,7 +13,7 @@ from .trends import longest_per_language, releases_by_decade, votes_by_decade
 __all__ = [
     "clean_catalog", "clean_credits", "company_profit_by_decade",
     "profit_percentage", "top_company_per_decade", "director_films",
-    "director_scores_by_window", "directors_of", "filmography",
+    "director_scores_by_window", "directors_of", "filmography", "filmography_rows",
     "top_directors_per_window", "genre_counts_by_decade", "top_genre_per_decade",
     "avg_profit_by_year_month", "month_ranking", "avg_rating_per_film",
     "avg_ratings_with_title_year", "top_rated_per_decade", "row_counts",

@@ -77,10 +77,23 @@ def director_scores_by_window(df: DataFrame, width: int = 10, anchor="min") -> D
 
 def filmography(df: DataFrame) -> DataFrame:
     """(director_name, movies_directed): every title of each director, over all
-    years, sorted and comma-joined."""
+    years, sorted and comma-joined.
+
+    The joined text is one value per director, so a director's whole career
+    meets in one task at the end; ``filmography_rows`` gives the same titles
+    one row each, with no per-director gathering at all."""
     return collect_titles(df, "director_name", "title", alias="movies_directed")
 
 
+def filmography_rows(df: DataFrame, directors: DataFrame | None = None) -> DataFrame:
+    """(director_name, title): distinct titles per director, one row each,
+    optionally only for the ``directors`` given (e.g. the winners)."""
+    rows = df.select("director_name", "title").where(F.col("title").isNotNull())
+    if directors is not None:
+        rows = rows.join(directors.select("director_name").distinct(), "director_name", "left_semi")
+    return rows.distinct()
+
+
 def top_directors_per_window(df: DataFrame, n: int = 5, width: int = 10,
                              anchor="min") -> DataFrame:
     """(window, rank, director_name, movies_directed, ratings): the ``n`` best

@@ -169,3 +169,17 @@ def test_directors_job_filter_and_calendar_windows(spark):
     got = [(r.window, r.ratings) for r in
            P.director_scores_by_window(df, 10, anchor="calendar").orderBy("window").collect()]
     assert got == [("1990-1999", 4.0), ("2000-2009", 2.0)]
+
+
+def test_filmography_rows_match_joined_form(spark):
+    df = spark.createDataFrame([(1, "b", 1990, "Ann", 4.0), (2, "a", 1991, "Ann", 3.0),
+                                (3, "a", 1992, "Ann", 3.0), (4, "c", 1993, "Bob", 2.0)],
+                               "id long, title string, year int, director_name string, ratings double")
+    joined = {r.director_name: r.movies_directed for r in P.filmography(df).collect()}
+    rows = P.filmography_rows(df).collect()
+    long = {}
+    for r in rows:
+        long.setdefault(r.director_name, []).append(r.title)
+    assert joined == {k: ",".join(sorted(v)) for k, v in long.items()}
+    only = P.filmography_rows(df, spark.createDataFrame([("Bob",)], "director_name string"))
+    assert [tuple(r) for r in only.collect()] == [("Bob", "c")]
