@@ -330,6 +330,9 @@ SELECT "window", window_start, director_name, ratings FROM scored""",
 SELECT director_name, array_to_string(list_sort(list(DISTINCT title)), ',') AS movies_directed
 FROM df GROUP BY director_name""",
 
+    "filmography_rows": "WITH " + _DIRECTOR_FILMS + """
+SELECT DISTINCT director_name, title FROM df WHERE title IS NOT NULL""",
+
     "row_counts": "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in TABLES),
 })

@@ -183,6 +183,10 @@ def longest_per_language_sql(spark, d):
     return S.longest_per_language(spark, view)
 
 
+def filmography_rows(spark, d):
+    return P.filmography_rows(_director_films(spark, d))
+
+
 def row_counts(spark, d):
     return P.row_counts({t: read_table(spark, d, t) for t in TABLES})
 
@@ -214,6 +218,7 @@ QUERIES = {
     "top_directors_per_window": top_directors_per_window,
     "top_directors_per_2y_window": top_directors_per_2y_window,
     "filmography": filmography,
+    "filmography_rows": filmography_rows,
     "row_counts": row_counts,
     "avg_profit_by_year_month_sql": avg_profit_by_year_month_sql,
     "votes_by_decade_sql": votes_by_decade_sql,
