@@ -10,12 +10,15 @@ def dedup_by_key(df: DataFrame, keys, order=(), keep: str = "first") -> DataFram
     """One row per key: the first (``keep='first'``) or last row in the total
     order ``(order..., every other column...)``.
 
-    Written as ``groupBy(keys).agg(min(struct(...)))`` rather than a
-    ``row_number()`` window: the aggregate is combined map-side, so a key that
-    holds a third of all rows is reduced inside each map task before the
-    shuffle instead of landing whole in one reducer. Ordering on every column
-    makes the kept row independent of partitioning (identical rows are
-    interchangeable).
+    Written as ``groupBy(keys).agg(min(struct(...)))``: the aggregate is
+    combined map-side, so a key holding a third of all rows is reduced to one
+    row inside each map task before the shuffle. (A ``row_number() = 1``
+    window gets the same effect only through Spark's partial group-limit
+    rule; the aggregate does not depend on it -- see benchmarks/skew_check.py.)
+    Struct values are compared field by field, so Spark runs it as a
+    sort-based aggregate. Ordering on every column makes the kept row
+    independent of partitioning (identical rows are interchangeable); all
+    columns must be orderable (no map columns).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     payload = [c for c in df.columns if c not in keys]

@@ -25,9 +25,12 @@ def avg_ratings_with_title_year(ratings: DataFrame, films: DataFrame, key: str =
                                 date: str = "release_date") -> DataFrame:
     """(movieid, title, year_of_release, average_rating) for rated films.
 
-    The averages come out of the aggregate hash-partitioned by film id, so the
-    join with the films shuffles only the films side (or neither, when AQE
-    finds one side small enough to broadcast).
+    ``films`` must hold one row per id (the keyed table written by
+    ``clean_catalog``; pass raw files through ``dedup_by_key`` first), or a
+    repeated id would repeat its average. The averages come out of the
+    aggregate hash-partitioned by film id, so the join with the films
+    shuffles only the films side (or neither, when AQE finds one side small
+    enough to broadcast).
     """
     avg = avg_rating_per_film(ratings, key)
     f = films.select(F.col(film_key).alias(key), title, year_in(films, date).alias("year_of_release"))
