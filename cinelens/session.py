@@ -46,14 +46,17 @@ def get_session(master: str | None = None, app: str = "cinelens",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is only read here.
-    When it is unset (local tests) a fresh scratch folder is created and
-    registered, so ``DataFrame.checkpoint()`` works the same way.
+    On a cluster that setting points at shared storage and is only read here;
+    a cluster session without it is an error (a machine-local folder would not
+    survive the loss of that machine). Only in local mode (tests) is a fresh
+    scratch folder created and registered when it is unset.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         d = tempfile.mkdtemp(prefix="cinelens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
