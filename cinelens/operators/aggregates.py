@@ -69,10 +69,9 @@ def collect_titles(df: DataFrame, key: str, title: str, alias: str = "titles",
                    sep: str = ",") -> DataFrame:
     """Per key: the distinct titles, sorted, joined with ``sep``.
 
-    Distinct (key, title) pairs are formed first by a shuffle on both columns,
-    so a key with many rows is spread over many tasks until the final list;
-    only that output row itself is per key.
+    ``collect_set`` is aggregated map-side too: each task sends one
+    de-duplicated set per key, so repeats never cross the shuffle; only the
+    output value itself (one text per key) is assembled in one place.
     """
-    pairs = df.select(key, title).where(F.col(title).isNotNull()).distinct()
-    return pairs.groupBy(key).agg(
-        F.array_join(F.array_sort(F.collect_list(title)), sep).alias(alias))
+    return (df.where(F.col(title).isNotNull()).groupBy(key)
+              .agg(F.array_join(F.array_sort(F.collect_set(title)), sep).alias(alias)))
