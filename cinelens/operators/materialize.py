@@ -1,0 +1,20 @@
+"""Cutting lineage where one intermediate result feeds several branches."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from ..session import checkpoint_dir
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    A reliable ``checkpoint()`` under the session's ``spark.checkpoint.dir``:
+    it survives the loss of any executor (unlike ``localCheckpoint``) and cuts
+    the lineage, so every branch of the following plan reads the stored rows
+    instead of recomputing them. Runs one job now. Files are removed when the
+    result is no longer referenced (``spark.cleaner.referenceTracking.cleanCheckpoints``).
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

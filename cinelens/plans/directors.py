@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import window_label, window_start, year_in
 from ..functions.literals import matches_first
 from ..operators.aggregates import collect_titles
+from ..operators.materialize import materialize
 from ..operators.ranking import top_n_per_group
 from .ratings import avg_rating_per_film
 
@@ -95,15 +96,20 @@ def filmography_rows(df: DataFrame, directors: DataFrame | None = None) -> DataF
 
 
 def top_directors_per_window(df: DataFrame, n: int = 5, width: int = 10,
-                             anchor="min") -> DataFrame:
+                             anchor="min", materialize_input: bool = True) -> DataFrame:
     """(window, rank, director_name, movies_directed, ratings): the ``n`` best
     directors of each window (equal scores -> lower name first), each with the
     titles of their whole career.
 
     Only the winners' films are collected: the film rows are semi-joined to the
     (at most n per window) winners before the per-director title lists are
-    built.
+    built. The per-film rows feed three branches (scores, window anchor,
+    title lists); with ``materialize_input`` (default) they are written once to
+    the shared checkpoint folder, so the credits are parsed once rather than
+    once per branch (one job runs when this is called).
     """
+    if materialize_input:
+        df = materialize(df)
     top = top_n_per_group(director_scores_by_window(df, width, anchor), "window_start", "ratings", n,
                           tie_break="director_name")
     winners = top.select("director_name").distinct()
