@@ -30,6 +30,11 @@ def top_per_group(df: DataFrame, group, value: str) -> DataFrame:
     """All rows whose ``value`` equals the maximum of their group (ties kept).
 
     Rows with a NULL ``value`` never win; a NULL group is a group of its own.
+    ``df`` is read twice (for the maxima and for the rows), so ``value`` must
+    evaluate identically both times: a stored column, a count, or an exact
+    sum/mean (``functions.money``). A floating-point sum recomputed from
+    shuffle blocks fetched in another order can differ in the last bit and
+    lose its tie.
     """
     keys = _list(group)
     best = (df.groupBy(*keys).agg(F.max(value).alias("_best"))
