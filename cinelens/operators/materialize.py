@@ -15,6 +15,12 @@ def materialize(df: DataFrame) -> DataFrame:
     the lineage, so every branch of the following plan reads the stored rows
     instead of recomputing them. Runs one job now. Files are removed when the
     result is no longer referenced (``spark.cleaner.referenceTracking.cleanCheckpoints``).
+    On a remote session without a checkpoint folder the plan is returned
+    unchanged (same result, recomputed per branch).
     """
-    checkpoint_dir(df.sparkSession)
+    try:
+        checkpoint_dir(df.sparkSession)
+    except AttributeError:  # remote (Spark Connect) session: no SparkContext here
+        if not df.sparkSession.conf.get("spark.checkpoint.dir", None):
+            return df       # nothing shared to write to: keep the plan as it is
     return df.checkpoint(eager=True)
