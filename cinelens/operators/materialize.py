@@ -20,7 +20,7 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     try:
         checkpoint_dir(df.sparkSession)
-    except AttributeError:  # remote (Spark Connect) session: no SparkContext here
+    except (AttributeError, NotImplementedError):  # remote session: no SparkContext
         if not df.sparkSession.conf.get("spark.checkpoint.dir", None):
             return df       # nothing shared to write to: keep the plan as it is
     return df.checkpoint(eager=True)
