@@ -1,9 +1,9 @@
 """Command-line jobs: load the raw files into keyed tables, answer each
 question from the tables, write CSV results.
 
-    python -m cinelens.jobs load-catalog --csv movies_metadata.csv --out wh/movies_etl
-    python -m cinelens.jobs load-credits --csv credits.csv --out wh/credits
-    python -m cinelens.jobs load-ratings --csv ratings.csv --out wh/ratings
+    python -m cinelens.jobs ingest-catalog --csv movies_metadata.csv --out wh/movies_etl
+    python -m cinelens.jobs ingest-credits --csv credits.csv --out wh/credits
+    python -m cinelens.jobs ingest-ratings --csv ratings.csv --out wh/ratings
     python -m cinelens.jobs average-ratings --catalog wh/movies_etl --ratings wh/ratings --out wh/avg_ratings
     python -m cinelens.jobs top-rated --avg-ratings wh/avg_ratings --out out/top_rated
     python -m cinelens.jobs directors --catalog wh/movies_etl --credits wh/credits \\
@@ -32,15 +32,15 @@ def _catalog_report(fn, single=True):
     return run
 
 
-def _load_catalog(spark, a):
+def _ingest_catalog(spark, a):
     write_keyed_table(P.clean_catalog(read_catalog_csv(spark, a.csv)), a.out, ["id"])
 
 
-def _load_credits(spark, a):
+def _ingest_credits(spark, a):
     write_keyed_table(P.clean_credits(read_credits_csv(spark, a.csv)), a.out, ["id"])
 
 
-def _load_ratings(spark, a):
+def _ingest_ratings(spark, a):
     # grain is (user, film): one rating per user and film, the latest one wins
     write_keyed_table(read_ratings_csv(spark, a.csv), a.out, ["userid", "movieid"],
                       order=["timestamp"], keep="last")
@@ -66,9 +66,9 @@ def _directors(spark, a):
 
 
 JOBS = {
-    "load-catalog": (_load_catalog, ["csv"]),
-    "load-credits": (_load_credits, ["csv"]),
-    "load-ratings": (_load_ratings, ["csv"]),
+    "ingest-catalog": (_ingest_catalog, ["csv"]),
+    "ingest-credits": (_ingest_credits, ["csv"]),
+    "ingest-ratings": (_ingest_ratings, ["csv"]),
     "average-ratings": (_average_ratings, ["catalog", "ratings"]),
     "top-rated": (_top_rated, ["avg_ratings"]),
     "directors": (_directors, ["catalog", "credits", "ratings"]),

@@ -62,9 +62,9 @@ def test_jobs_chain(spark):
         {"userid": 1, "movieid": 4, "ratings": 2.5, "timestamp": 1},
     ])
     wh, out = os.path.join(d, "wh"), os.path.join(d, "out")
-    run(spark, ["load-catalog", "--csv", f"{d}/movies.csv", "--out", f"{wh}/movies_etl"])
-    run(spark, ["load-credits", "--csv", f"{d}/credits.csv", "--out", f"{wh}/credits"])
-    run(spark, ["load-ratings", "--csv", f"{d}/ratings.csv", "--out", f"{wh}/ratings"])
+    run(spark, ["ingest-catalog", "--csv", f"{d}/movies.csv", "--out", f"{wh}/movies_etl"])
+    run(spark, ["ingest-credits", "--csv", f"{d}/credits.csv", "--out", f"{wh}/credits"])
+    run(spark, ["ingest-ratings", "--csv", f"{d}/ratings.csv", "--out", f"{wh}/ratings"])
     run(spark, ["average-ratings", "--catalog", f"{wh}/movies_etl", "--ratings", f"{wh}/ratings",
                 "--out", f"{wh}/avg_ratings"])
     run(spark, ["top-rated", "--avg-ratings", f"{wh}/avg_ratings", "--out", f"{out}/top_rated"])
