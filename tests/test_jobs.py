@@ -82,3 +82,30 @@ def test_jobs_chain(spark):
     assert read_out(f"{out}/longest") == [("m4", "1.5", "en", "120")]
     run(spark, ["genres", "--catalog", f"{wh}/movies_etl", "--out", f"{out}/genres"])
     assert read_out(f"{out}/genres") == [("Drama", "1990-2000", "2")]
+
+
+def test_readme_library_example(spark):
+    d = tempfile.mkdtemp(prefix="cinelens-readme-")
+    g, c = "[{'id': 18, 'name': 'Drama'}]", "[{'name': 'Studio A', 'id': 1}]"
+    write(os.path.join(d, "movies_metadata.csv"), HEADER, [
+        movie(1, "1994-05-01", "100", "300", g, c), movie(2, "2003-06-01", "100", "150", g, c)])
+    crew = "[{'department': 'Directing', 'job': 'Director', 'name': 'Ann'}]"
+    write(os.path.join(d, "credits.csv"), ["cast", "crew", "id"],
+          [{"cast": "[{'name': 'A'}]", "crew": crew, "id": i} for i in (1, 2)])
+    write(os.path.join(d, "ratings.csv"), ["userid", "movieid", "ratings", "timestamp"],
+          [{"userid": 1, "movieid": i, "ratings": 4.0, "timestamp": 1} for i in (1, 2)])
+
+    from cinelens import plans as P
+    from cinelens.sources import (read_catalog_csv, read_credits_csv, read_ratings_csv,
+                                  write_keyed_table)
+    movies = P.clean_catalog(read_catalog_csv(spark, f"{d}/movies_metadata.csv"))
+    credits = P.clean_credits(read_credits_csv(spark, f"{d}/credits.csv"))
+    ratings = read_ratings_csv(spark, f"{d}/ratings.csv")
+    avg = P.avg_ratings_with_title_year(ratings, movies)
+    assert P.top_rated_per_decade(avg).count() == 2
+    top = P.top_directors_per_window(P.director_films(movies, credits, ratings), n=5, width=10)
+    assert [(r.director_name, r.movies_directed) for r in top.collect()] == [("Ann", "m1,m2")]
+    assert P.top_company_per_decade(P.company_profit_by_decade(movies)).count() == 2
+    assert P.avg_profit_by_year_month(movies, 2000, 2019).count() == 1
+    write_keyed_table(movies, f"{d}/warehouse/movies_etl", keys=["id"])
+    assert spark.read.parquet(os.path.join(d, "warehouse/movies_etl")).count() == 2
