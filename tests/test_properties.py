@@ -1,5 +1,6 @@
 """Operators against brute force on random inputs (hypothesis)."""
 
+import datetime as dt
 import re
 from decimal import Decimal
 
@@ -111,3 +112,33 @@ def test_parse_names_roundtrips_python_literals(spark, lists):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = {r.i: r.n for r in df.select("i", parse_names("t").alias("n")).collect()}
     assert [got[i] for i in range(len(lists))] == lists
+
+
+film_rows = st.lists(st.tuples(
+    st.integers(1, 10_000),                                            # id
+    st.sampled_from(["a", "b", "c", None]),                            # title
+    st.one_of(st.none(), st.dates(min_value=dt.date(1995, 1, 1), max_value=dt.date(2022, 12, 31))),
+    st.sampled_from([0.0, 10.0, 25.5, 100.0, None]),                   # budget
+    st.sampled_from([0.0, 5.25, 40.0, 100.0, None]),                   # revenue
+    st.sampled_from(["en", "fr", None]),                               # language
+    st.one_of(st.none(), st.integers(60, 200)),                        # runtime
+    st.sampled_from([0.5, 1.5, 3.0]),                                  # popularity
+    st.one_of(st.none(), st.integers(0, 50))), max_size=40)            # vote_count
+FILMS = ("id long, title string, release_date date, budget double, revenue double, "
+         "original_language string, runtime int, popularity double, vote_count long")
+
+
+@SETTINGS
+@given(film_rows)
+def test_sql_forms_match_dataframe_plans(spark, data):
+    from cinelens import plans as P
+    from cinelens.plans import sql as S
+    films = spark.createDataFrame(data, FILMS)
+    view = S.register_films(films, "prop_films")
+    pairs = [(P.avg_profit_by_year_month(films), S.avg_profit_by_year_month(spark, view)),
+             (P.votes_by_decade(films), S.votes_by_decade(spark, view)),
+             (P.releases_by_decade(films), S.releases_by_decade(spark, view)),
+             (P.longest_per_language(films), S.longest_per_language(spark, view))]
+    for df_form, sql_form in pairs:
+        assert df_form.columns == sql_form.columns
+        assert [tuple(r) for r in df_form.collect()] == [tuple(r) for r in sql_form.collect()]
