@@ -142,3 +142,44 @@ def test_sql_forms_match_dataframe_plans(spark, data):
     for df_form, sql_form in pairs:
         assert df_form.columns == sql_form.columns
         assert [tuple(r) for r in df_form.collect()] == [tuple(r) for r in sql_form.collect()]
+
+
+director_rows = st.lists(st.tuples(
+    st.one_of(st.none(), st.integers(1990, 2012)),            # year
+    st.sampled_from(["Ann", "Bob", "Cy", "Dee", "Eve"]),       # director
+    st.sampled_from(["t1", "t2", "t3", "t4"]),                # title (shared titles allowed)
+    st.integers(1, 50).map(lambda x: x / 10)),                # film mean rating
+    min_size=1, max_size=30)
+
+
+@SETTINGS
+@given(director_rows, st.integers(1, 3), st.sampled_from([2, 5, 10]))
+def test_top_directors_match_brute_force(spark, data, n, width):
+    from decimal import ROUND_HALF_UP
+    from cinelens import plans as P
+    rows = [(i, t, y, d, r) for i, (y, d, t, r) in enumerate(data)]
+    df = spark.createDataFrame(rows, "id long, title string, year int, director_name string, "
+                                     "ratings double")
+    got = sorted(tuple(r) for r in
+                 P.top_directors_per_window(df, n=n, width=width, materialize_input=False).collect())
+
+    years = [y for _, _, y, _, _ in rows if y is not None]
+    want = []
+    if years:
+        lo = min(years)
+        scores = {}
+        for _, _, y, d, r in rows:
+            if y is not None:
+                scores.setdefault((lo + (y - lo) // width * width, d), []).append(Decimal(repr(r)))
+        titles = {}
+        for _, t, _, d, _ in rows:
+            titles.setdefault(d, set()).add(t)
+        by_window = {}
+        for (ws, d), vals in scores.items():
+            mean = (sum(vals) / len(vals)).quantize(Decimal("1e-9"), rounding=ROUND_HALF_UP)
+            by_window.setdefault(ws, []).append((-mean, d))
+        for ws, cands in by_window.items():
+            for rank, (neg, d) in enumerate(sorted(cands)[:n], start=1):
+                want.append((f"{ws}-{ws + width - 1}", rank, d, ",".join(sorted(titles[d])),
+                             float(-neg)))
+    assert got == sorted(want)
