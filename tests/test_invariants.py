@@ -54,3 +54,10 @@ def test_ratings_grain_is_user_and_film(spark):
     r = fx.ratings(spark, SF001, with_user=True)
     assert r.columns == ["userid", "movieid", "ratings"]
     assert r.count() == spark.read.parquet(f"{SF001}/lineitem.parquet").count()
+
+
+def test_every_query_has_named_unique_columns(spark):
+    for name, q in E.queries().items():
+        cols = q(spark, SF001).columns
+        assert len(cols) == len(set(cols)), name
+        assert not any("(" in c or c.startswith("_") for c in cols), (name, cols)
