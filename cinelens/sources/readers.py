@@ -36,6 +36,9 @@ def read_credits_csv(spark: SparkSession, path, **kw) -> DataFrame:
 
 
 def read_ratings_csv(spark: SparkSession, path, **kw) -> DataFrame:
+    """Ratings are numeric fields only (no quoted newlines), so the file is read
+    splittable -- many tasks per file -- unless ``multi_line=True`` is passed."""
+    kw.setdefault("multi_line", False)
     return read_csv(spark, path, schemas.RATINGS_CSV, **kw)
 
 
