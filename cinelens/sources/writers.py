@@ -40,16 +40,35 @@ def write_csv(df: DataFrame, path: str, single: bool = False, partition_by=None,
 
 
 def write_keyed_table(df: DataFrame, path: str, keys, order=(), keep: str = "first",
-                      partition_by=None, assume_unique: bool = False) -> None:
+                      partition_by=None, assume_unique: bool = False,
+                      table: str | None = None, buckets: int | None = None) -> None:
     """Keyed-table write: one row per key (see ``dedup_by_key``), then parquet.
 
     ``assume_unique=True`` skips the de-duplication for inputs unique on the
-    key by construction (e.g. the output of a ``groupBy`` on it). Overwrite
-    goes through Spark's job commit, so a lost executor's partial output is
-    never visible; re-running the job is idempotent.
+    key by construction (e.g. the output of a ``groupBy`` on it).
+
+    ``table`` + ``buckets`` store it as a catalog table bucketed (and sorted)
+    on the key: tables bucketed the same way on film id then join without any
+    shuffle. The unique rows are hash-partitioned into ``buckets`` tasks
+    first, so each bucket is one file; the de-duplication before it stays
+    map-side combined, so a hot key never reaches that step in bulk.
+
+    Overwrite goes through Spark's job commit, so a lost executor's partial
+    output is never visible; re-running the job is idempotent.
     """
+    keys = [keys] if isinstance(keys, str) else list(keys)
     out = df if assume_unique else dedup_by_key(df, keys, order, keep)
+    if buckets:
+        if not table:
+            raise ValueError("a bucketed table needs a name: bucket specs live in the catalog")
+        (out.repartition(buckets, *keys).write.mode("overwrite")
+            .bucketBy(buckets, *keys).sortBy(*keys)
+            .option("path", path).format("parquet").saveAsTable(table))
+        return
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-    w.parquet(path)
+    if table:
+        w.option("path", path).format("parquet").saveAsTable(table)
+    else:
+        w.parquet(path)

@@ -85,3 +85,25 @@ def test_declared_driver_schemas_match_files(spark):
             declared = _parse_datatype_string(ddl)
             assert [(f.name, f.dataType) for f in inferred] == \
                    [(f.name, f.dataType) for f in declared], (sf, name)
+
+
+def test_bucketed_keyed_tables_join_without_shuffle(spark):
+    from cinelens import plans as P
+    from cinelens.sources import fixtures as fx
+    d = _scratch()
+    sf = "/root/testdata/sf0.001"
+    films = fx.films(spark, sf, ["id", "title", "release_date"])
+    avg = P.avg_rating_per_film(fx.ratings(spark, sf)).withColumnRenamed("movieid", "id")
+    write_keyed_table(films, os.path.join(d, "films"), ["id"], table="t_films", buckets=4)
+    write_keyed_table(avg, os.path.join(d, "avg"), ["id"], table="t_avg", buckets=4,
+                      assume_unique=True)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force a shuffle join
+    try:
+        joined = spark.table("t_films").join(spark.table("t_avg"), "id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == avg.join(films, "id").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS t_films")
+        spark.sql("DROP TABLE IF EXISTS t_avg")
