@@ -11,8 +11,11 @@ question from the tables, write CSV results.
     ... genres | top-genres | companies | profit-month | profit-months-ranked |
         votes-trend | movies-trend | longest-running  (--catalog, --out)
 
-Every job is one Spark action. Tables are parquet; results are CSV (small
-aggregated results as a single file, the directors as one directory per window).
+Every job is one Spark action. Tables are parquet paths or catalog tables
+(``--table`` / ``--buckets`` on the ingest and average jobs store a table
+bucketed on its key, for shuffle-free joins on film id; later jobs accept the
+table name in place of a path). Results are CSV (small aggregated results as a
+single file, the directors as one directory per window).
 """
 
 from __future__ import annotations
@@ -26,39 +29,50 @@ from .sources import (read_catalog_csv, read_credits_csv, read_ratings_csv, writ
                       write_keyed_table)
 
 
+def _load(spark, ref: str):
+    """A catalog table by name, else a parquet path."""
+    if "/" not in ref and spark.catalog.tableExists(ref):
+        return spark.table(ref)
+    return spark.read.parquet(ref)
+
+
+def _keyed(df, a, keys, **kw):
+    write_keyed_table(df, a.out, keys, table=a.table, buckets=a.buckets, **kw)
+
+
 def _catalog_report(fn, single=True):
     def run(spark, a):
-        write_csv(fn(spark.read.parquet(a.catalog)), a.out, single=single, header=a.header)
+        write_csv(fn(_load(spark, a.catalog)), a.out, single=single, header=a.header)
     return run
 
 
 def _ingest_catalog(spark, a):
-    write_keyed_table(P.clean_catalog(read_catalog_csv(spark, a.csv)), a.out, ["id"])
+    _keyed(P.clean_catalog(read_catalog_csv(spark, a.csv)), a, ["id"])
 
 
 def _ingest_credits(spark, a):
-    write_keyed_table(P.clean_credits(read_credits_csv(spark, a.csv)), a.out, ["id"])
+    _keyed(P.clean_credits(read_credits_csv(spark, a.csv)), a, ["id"])
 
 
 def _ingest_ratings(spark, a):
     # grain is (user, film): one rating per user and film, the latest one wins
-    write_keyed_table(read_ratings_csv(spark, a.csv), a.out, ["userid", "movieid"],
-                      order=["timestamp"], keep="last")
+    _keyed(read_ratings_csv(spark, a.csv), a, ["userid", "movieid"],
+           order=["timestamp"], keep="last")
 
 
 def _average_ratings(spark, a):
-    avg = P.avg_ratings_with_title_year(spark.read.parquet(a.ratings), spark.read.parquet(a.catalog))
+    avg = P.avg_ratings_with_title_year(_load(spark, a.ratings), _load(spark, a.catalog))
     # one row per film by construction (aggregate on it, joined to keyed films)
-    write_keyed_table(avg, a.out, ["movieid"], assume_unique=True)
+    _keyed(avg, a, ["movieid"], assume_unique=True)
 
 
 def _top_rated(spark, a):
-    write_csv(P.top_rated_per_decade(spark.read.parquet(a.avg_ratings)), a.out, header=a.header)
+    write_csv(P.top_rated_per_decade(_load(spark, a.avg_ratings)), a.out, header=a.header)
 
 
 def _directors(spark, a):
-    credits = P.directors_of(spark.read.parquet(a.credits), job=a.job)
-    df = P.director_films(spark.read.parquet(a.catalog), None, spark.read.parquet(a.ratings),
+    credits = P.directors_of(_load(spark, a.credits), job=a.job)
+    df = P.director_films(_load(spark, a.catalog), None, _load(spark, a.ratings),
                           title=a.title, directors=credits)
     anchor = a.anchor if a.anchor in ("min", "calendar") else int(a.anchor)
     top = P.top_directors_per_window(df, n=a.n, width=a.width, anchor=anchor)
@@ -94,6 +108,10 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("--" + i.replace("_", "-"), dest=i, required=True)
         p.add_argument("--out", required=True)
         p.add_argument("--header", action="store_true")
+        if name.startswith("ingest-") or name == "average-ratings":
+            p.add_argument("--table", default=None, help="also register as this catalog table")
+            p.add_argument("--buckets", type=int, default=None,
+                           help="bucket the table on its key (needs --table)")
         if name == "directors":
             p.add_argument("--n", type=int, default=5)
             p.add_argument("--width", type=int, default=10)

@@ -109,3 +109,25 @@ def test_readme_library_example(spark):
     assert P.avg_profit_by_year_month(movies, 2000, 2019).count() == 1
     write_keyed_table(movies, f"{d}/warehouse/movies_etl", keys=["id"])
     assert spark.read.parquet(os.path.join(d, "warehouse/movies_etl")).count() == 2
+
+
+def test_jobs_with_bucketed_tables(spark):
+    d = tempfile.mkdtemp(prefix="cinelens-jobs-b-")
+    g, c = "[{'id': 18, 'name': 'Drama'}]", "[{'name': 'Studio A', 'id': 1}]"
+    write(os.path.join(d, "movies.csv"), HEADER, [movie(1, "1994-05-01", "100", "300", g, c),
+                                                  movie(2, "1996-05-01", "100", "150", g, c)])
+    write(os.path.join(d, "ratings.csv"), ["userid", "movieid", "ratings", "timestamp"],
+          [{"userid": 1, "movieid": 1, "ratings": 4.0, "timestamp": 1},
+           {"userid": 1, "movieid": 2, "ratings": 3.0, "timestamp": 1}])
+    try:
+        run(spark, ["ingest-catalog", "--csv", f"{d}/movies.csv", "--out", f"{d}/wh/movies",
+                    "--table", "jb_movies", "--buckets", "4"])
+        run(spark, ["ingest-ratings", "--csv", f"{d}/ratings.csv", "--out", f"{d}/wh/ratings",
+                    "--table", "jb_ratings", "--buckets", "4"])
+        run(spark, ["average-ratings", "--catalog", "jb_movies", "--ratings", "jb_ratings",
+                    "--out", f"{d}/wh/avg", "--table", "jb_avg", "--buckets", "4"])
+        run(spark, ["top-rated", "--avg-ratings", "jb_avg", "--out", f"{d}/out/top"])
+        assert read_out(f"{d}/out/top") == [("m1", "4.0", "1990-2000")]
+    finally:
+        for t in ("jb_movies", "jb_ratings", "jb_avg"):
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
