@@ -171,6 +171,14 @@ cr AS (
 SELECT id, "cast", crew FROM cr
 WHERE "cast" IS NOT NULL AND crew IS NOT NULL AND "cast" <> '[]' AND crew <> '[]'""",
 
+    "catalog_parse_report": "WITH " + _GENRE_PAIRS + "," + _COMP_PAIRS + """
+SELECT (SELECT COUNT(DISTINCT id) FROM genre_pairs) AS genres_text_rows,
+       CAST(0 AS BIGINT) AS genres_text_failed,
+       (SELECT COUNT(*) FROM genre_pairs) AS genres_text_items,
+       (SELECT COUNT(DISTINCT id) FROM comp_pairs) AS production_companies_rows,
+       CAST(0 AS BIGINT) AS production_companies_failed,
+       (SELECT COUNT(*) FROM comp_pairs) AS production_companies_items""",
+
     "dedup_by_key": """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
        l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate

@@ -82,13 +82,14 @@ def parse_pylist(c, schema: T.DataType, lenient: bool = False) -> Column:
     return F.from_json(pylist_to_json(c, lenient), schema, _JSON_OPTS)
 
 
-def _items(*keys: str) -> T.ArrayType:
+def items_schema(*keys: str) -> T.ArrayType:
+    """Schema of a list of dicts with the given string keys."""
     return T.ArrayType(T.StructType([T.StructField(k, T.StringType()) for k in keys]))
 
 
 def parse_names(c, key: str = "name", lenient: bool = False) -> Column:
     """``[{..., 'name': 'A'}, {..., 'name': 'B'}]`` -> ``['A', 'B']`` (all elements)."""
-    return F.transform(parse_pylist(c, _items(key), lenient), lambda x: x[key])
+    return F.transform(parse_pylist(c, items_schema(key), lenient), lambda x: x[key])
 
 
 def first_where(c, field: str = "department", value: str = "Directing",
@@ -108,7 +109,7 @@ def matches_first(c, field: str = "department", value: str = "Directing",
     """
     also = dict(also or {})
     keys = [field, take] + [k for k in also if k not in (field, take)]
-    arr = parse_pylist(c, _items(*keys))
+    arr = parse_pylist(c, items_schema(*keys))
 
     def hit(x):
         cond = x[field] == F.lit(value)

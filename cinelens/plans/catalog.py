@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.literals import parse_names
+from ..functions.literals import items_schema, parse_names, parse_pylist
 from ..operators.dedup import dedup_by_key
 from ..operators.filters import keep_valid
 from ..schemas import CATALOG_COLUMNS
@@ -42,3 +42,19 @@ def clean_credits(df: DataFrame, key: str = "id") -> DataFrame:
     out = keep_valid(df, not_null=["cast", "crew", key],
                      not_equal={"cast": "[]", "crew": "[]"})
     return dedup_by_key(out, [key])
+
+
+def parse_report(df: DataFrame, cols, key: str = "name") -> DataFrame:
+    """One row: for each list-text column ``c``, ``c_rows`` (non-NULL texts),
+    ``c_failed`` (texts that could not be read as a list of dicts -- they
+    become NULL in the cleaned table) and ``c_items`` (elements read).
+
+    A single global aggregate, combined map-side.
+    """
+    aggs = []
+    for c in ([cols] if isinstance(cols, str) else cols):
+        parsed = parse_pylist(c, items_schema(key))
+        aggs += [F.count(c).alias(f"{c}_rows"),
+                 F.count(F.when(F.col(c).isNotNull() & parsed.isNull(), 1)).alias(f"{c}_failed"),
+                 F.coalesce(F.sum(F.size(parsed)), F.lit(0)).cast("long").alias(f"{c}_items")]
+    return df.agg(*aggs)

@@ -37,6 +37,11 @@ def clean_catalog(spark: SparkSession, d: str) -> DataFrame:
     return to_store_text(P.clean_catalog(_raw_catalog(spark, d), columns=FIXTURE_CATALOG))
 
 
+def catalog_parse_report(spark, d):
+    f = fx.films(spark, d, ["genres_text", "production_companies"])
+    return P.parse_report(f, ["genres_text", "production_companies"])
+
+
 def clean_credits(spark, d):
     return P.clean_credits(fx.credits(spark, d))
 
@@ -194,6 +199,7 @@ def row_counts(spark, d):
 QUERIES = {
     "clean_catalog": clean_catalog,
     "clean_credits": clean_credits,
+    "catalog_parse_report": catalog_parse_report,
     "dedup_by_key": dedup_by_key,
     "null_audit": null_audit,
     "parse_names_exploded": parse_names_exploded,

@@ -183,3 +183,10 @@ def test_filmography_rows_match_joined_form(spark):
     assert joined == {k: ",".join(sorted(v)) for k, v in long.items()}
     only = P.filmography_rows(df, spark.createDataFrame([("Bob",)], "director_name string"))
     assert [tuple(r) for r in only.collect()] == [("Bob", "c")]
+
+
+def test_parse_report_counts_failures(spark):
+    df = spark.createDataFrame([("[{'name': 'A'}, {'name': 'B'}]",), ("[]",), ("[{'name': 'x'",),
+                                (None,), ("[{'name':None}]",)], "g string")
+    r = P.parse_report(df, ["g"]).first()
+    assert (r.g_rows, r.g_failed, r.g_items) == (4, 2, 2)
