@@ -183,3 +183,39 @@ def test_top_directors_match_brute_force(spark, data, n, width):
                 want.append((f"{ws}-{ws + width - 1}", rank, d, ",".join(sorted(titles[d])),
                              float(-neg)))
     assert got == sorted(want)
+
+
+company_films = st.lists(st.tuples(
+    st.one_of(st.none(), st.integers(1985, 2015)),                         # year
+    st.sampled_from([10.0, 20.5, 40.25]),                                  # budget
+    st.one_of(st.none(), st.sampled_from([0.0, 15.75, 30.5, 60.0, 80.25])),  # revenue
+    st.lists(st.sampled_from(["A", "B", "C"]), max_size=3, unique=True)),  # companies
+    max_size=30)
+
+
+@SETTINGS
+@given(company_films)
+def test_top_company_matches_brute_force(spark, data):
+    from cinelens import plans as P
+    rows = [(i, dt.date(y, 6, 1) if y else None, b, r, cs) for i, (y, b, r, cs) in enumerate(data)]
+    films = spark.createDataFrame(rows, "id long, release_date date, budget double, "
+                                        "revenue double, companies array<string>")
+    by = P.company_profit_by_decade(films, companies="companies")
+    got_by = sorted(map(tuple, by.collect()))
+    got_top = sorted(map(tuple, P.top_company_per_decade(by).collect()))
+
+    sums = {}
+    for _, d, b, r, cs in rows:
+        if d is None or r is None or r - b <= 0:
+            continue
+        dec = d.year - d.year % 10
+        for c in cs:
+            key = (c, f"{dec}-{dec + 10}")
+            sums[key] = sums.get(key, Decimal(0)) + Decimal(repr(r - b))
+    want_by = sorted((c, dec, float(v)) for (c, dec), v in sums.items())
+    best = {}
+    for (c, dec), v in sums.items():
+        best[dec] = max(best.get(dec, v), v)
+    want_top = sorted((dec, c, float(v)) for (c, dec), v in sums.items() if v == best[dec])
+    assert got_by == want_by
+    assert got_top == want_top
