@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from cinelens.functions import parse_names
 from cinelens.operators import dedup_by_key, longest_by, mean_by_key, top_n_per_group, top_per_group
 
-SETTINGS = settings(max_examples=20, deadline=None,
+SETTINGS = settings(max_examples=20, deadline=None, derandomize=True,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 groups = st.sampled_from(["a", "b", "c", None])
