@@ -56,5 +56,7 @@ def parse_report(df: DataFrame, cols, key: str = "name") -> DataFrame:
         parsed = parse_pylist(c, items_schema(key))
         aggs += [F.count(c).alias(f"{c}_rows"),
                  F.count(F.when(F.col(c).isNotNull() & parsed.isNull(), 1)).alias(f"{c}_failed"),
-                 F.coalesce(F.sum(F.size(parsed)), F.lit(0)).cast("long").alias(f"{c}_items")]
+                 # size() only of parsed lists: with ANSI off size(NULL) is -1, not NULL
+                 F.coalesce(F.sum(F.when(parsed.isNotNull(), F.size(parsed))), F.lit(0))
+                  .cast("long").alias(f"{c}_items")]
     return df.agg(*aggs)

@@ -21,3 +21,14 @@ def test_every_query_has_oracle_sql():
 def test_query_matches_oracle(spark, con, name):
     res = compare(spark, con, name, SF01)
     assert res["ok"], res
+
+
+@pytest.mark.parametrize("name", list(E.queries()))
+def test_query_matches_oracle_with_ansi_off(spark, con, name):
+    # a caller's session may run with ANSI off (e.g. size(NULL) is -1 there)
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        res = compare(spark, con, name, SF01)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert res["ok"], res
