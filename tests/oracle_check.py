@@ -95,6 +95,7 @@ def main(argv):
         from pyspark.sql import SparkSession
         spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
                  .config("spark.sql.ansi.enabled", os.environ.get("ORACLE_ANSI", "false"))
+                 .config("spark.sql.session.timeZone", os.environ.get("ORACLE_TZ", "UTC"))
                  .getOrCreate())
         spark.sparkContext.setLogLevel("ERROR")
     else:
