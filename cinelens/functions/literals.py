@@ -12,11 +12,11 @@ so only three Python-only spellings must be rewritten before ``from_json``:
 The constants are only rewritten in dict-value position, the only place the
 catalog format puts them, and by default only as Python itself writes them
 (``'key': None,``), with plain substring replacement; ``lenient=True`` accepts
-any spacing (hand-edited text) at the price of regex scans. Anything else that still does not
-parse becomes NULL for that row (and can be counted with ``null_audit``),
-never an error. Known limit: a string value that itself contains a quote,
-colon and ``None`` (``"a': None, b"``), or an escaped backslash before ``x``
-or ``U``, is rewritten too.
+any spacing (hand-edited text) at the price of regex scans. Anything else that
+still does not parse becomes NULL for that row (counted per column by
+``plans.catalog.parse_report``), never an error. Known limit: a string value
+that itself contains a quote, colon and ``None`` (``"a': None, b"``), or an
+escaped backslash before ``x`` or ``U``, is rewritten too.
 """
 
 from __future__ import annotations
