@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
+from ..functions.dates import year_in
 from ..operators.dedup import dedup_by_key
 from ..session import checkpoint_dir
 
@@ -40,11 +41,17 @@ def average_ratings_updates(ratings: DataFrame, key: str = "movieid",
 def start_average_ratings(spark: SparkSession, source: str, table_path: str,
                           checkpoint_path: str | None = None, file_format: str = "parquet",
                           schema=schemas.RATINGS_CSV, available_now: bool = True,
-                          max_files_per_trigger: int | None = None) -> StreamingQuery:
+                          max_files_per_trigger: int | None = None,
+                          films: DataFrame | None = None) -> StreamingQuery:
     """Start the stream: files under ``source`` -> per-film averages appended
     to ``table_path``. ``checkpoint_path`` holds the offsets and the
     aggregation state and must be on shared storage; by default it is a
-    sub-folder of the session's ``spark.checkpoint.dir``."""
+    sub-folder of the session's ``spark.checkpoint.dir``.
+
+    With ``films`` (keyed by ``id``, with ``title`` and ``release_date``) each
+    micro-batch's changed averages are joined to it, so the table holds the
+    average-rating rows of the batch plan (movieid, title, year_of_release,
+    average_rating) -- only rated films present in ``films`` appear."""
     if checkpoint_path is None:
         checkpoint_path = f"{checkpoint_dir(spark).rstrip('/')}/average_ratings_stream"
     reader = spark.readStream.schema(schema).format(file_format)
@@ -55,6 +62,12 @@ def start_average_ratings(spark: SparkSession, source: str, table_path: str,
     updates = average_ratings_updates(reader.load(source))
 
     def append(batch: DataFrame, batch_id: int) -> None:
+        if films is not None:
+            f = films.select(F.col("id").alias("movieid"), "title",
+                             year_in(films, "release_date").alias("year_of_release"))
+            batch = batch.join(f, "movieid").select(
+                "movieid", "title", "year_of_release", "rating_sum", "rating_count",
+                "average_rating")
         (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
               .write.mode("append").parquet(table_path))
 

@@ -29,3 +29,16 @@ def test_stream_matches_batch_across_restarts(spark):
     got = {r.movieid: r.average_rating for r in read_latest_averages(spark, table).collect()}
     want = {r.movieid: r.average_rating for r in P.avg_rating_per_film(ratings).collect()}
     assert got == want
+
+
+def test_stream_with_films_matches_batch_title_year(spark):
+    d = tempfile.mkdtemp(prefix="cinelens-stream-f-")
+    src, table, ckpt = (os.path.join(d, x) for x in ("in", "table", "ckpt"))
+    ratings = fx.ratings(spark, SF001, with_user=True)
+    films = fx.films(spark, SF001, ["id", "title", "release_date"])
+    ratings.write.mode("append").parquet(src)
+    start_average_ratings(spark, src, table, ckpt, schema=SCHEMA, films=films).awaitTermination()
+    got = sorted(tuple(r) for r in read_latest_averages(spark, table)
+                 .select("movieid", "title", "year_of_release", "average_rating").collect())
+    want = sorted(tuple(r) for r in P.avg_ratings_with_title_year(ratings, films).collect())
+    assert got == want
