@@ -99,5 +99,6 @@ def test_materialize_writes_to_checkpoint_dir_and_cuts_lineage(spark):
     assert sorted(m.collect()) == sorted(df.collect())
     plan = m._jdf.queryExecution().executedPlan().toString()
     assert "Range" not in plan                       # read back, not recomputed
-    ckpt = spark.conf.get("spark.checkpoint.dir").replace("file:", "")
+    from cinelens.session import checkpoint_dir
+    ckpt = checkpoint_dir(spark).replace("file:", "")
     assert any(files for _, _, files in os.walk(ckpt))
