@@ -79,7 +79,8 @@ def start_average_ratings(spark: SparkSession, source: str, table_path: str,
 
 
 def read_latest_averages(spark: SparkSession, table_path: str, key: str = "movieid") -> DataFrame:
-    """(movieid, rating_sum, rating_count, average_rating) as of the newest batch."""
+    """The newest row per film: (movieid[, title, year_of_release], rating_sum,
+    rating_count, average_rating)."""
     df = spark.read.parquet(table_path)
     latest = dedup_by_key(df, [key], order=["batch_id"], keep="last")
     return latest.drop("batch_id")
