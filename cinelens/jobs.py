@@ -87,8 +87,8 @@ JOBS = {
     "top-rated": (_top_rated, ["avg_ratings"]),
     "directors": (_directors, ["catalog", "credits", "ratings"]),
     "genres": (_catalog_report(P.genre_counts_by_decade, single=False), ["catalog"]),
-    "top-genres": (_catalog_report(lambda f: P.top_genre_per_decade(P.genre_counts_by_decade(f))),
-                   ["catalog"]),
+    "top-genres": (_catalog_report(lambda f: P.top_genre_per_decade(P.genre_counts_by_decade(f))
+                                   .orderBy("decade", "genre")), ["catalog"]),
     "companies": (_catalog_report(lambda f: P.top_company_per_decade(P.company_profit_by_decade(f))),
                   ["catalog"]),
     "profit-month": (_catalog_report(P.avg_profit_by_year_month), ["catalog"]),

@@ -25,16 +25,18 @@ def write_csv(df: DataFrame, path: str, single: bool = False, partition_by=None,
               header: bool = False, mode: str = "overwrite") -> None:
     """Write result rows as CSV.
 
-    ``single=True`` writes one part file: the finished (small, aggregated)
-    result is moved to one partition with ``repartition(1)``. ``coalesce(1)``
-    would avoid that tiny shuffle but pull the upstream stage -- e.g. the final
-    merge of every map task's partial aggregates -- into one task as well.
+    ``single=True`` writes one part file with ``coalesce(1)``, which keeps the
+    row order of a sorted result. Use it on sorted, aggregated results: the
+    sort's exchange bounds what the single task does to reading the (small)
+    sorted rows; without a sort before it, coalesce would pull the upstream
+    stage -- e.g. the final merge of every map task's partial aggregates --
+    into that one task as well.
     ``partition_by`` writes one sub-directory per value in a single job (e.g.
     one directory per time window) instead of one job per value.
     """
     out = to_store_text(df)
     if single:
-        out = out.repartition(1)
+        out = out.coalesce(1)
     w = out.write.mode(mode).option("header", header)
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
