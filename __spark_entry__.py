@@ -347,8 +347,8 @@ SELECT DISTINCT director_name, title FROM df WHERE title IS NOT NULL""",
 
 
 # The SQL-text forms answer the same questions as their DataFrame twins.
-for _k in ("avg_profit_by_year_month", "votes_by_decade", "releases_by_decade",
-           "longest_per_language"):
+for _k in ("avg_ratings_with_title_year", "avg_profit_by_year_month", "votes_by_decade",
+           "releases_by_decade", "longest_per_language"):
     _ORACLE[_k + "_sql"] = _ORACLE[_k]
 
 

@@ -1,6 +1,7 @@
-"""The trend questions as Spark SQL text over temp views.
+"""The questions the source wrote as SQL text, as Spark SQL over temp views.
 
-Same semantics as the DataFrame plans (``plans.profit``, ``plans.trends``);
+Same semantics as the DataFrame plans (``plans.ratings``, ``plans.profit``,
+``plans.trends``);
 Catalyst produces the same physical plan either way, so teams that keep their
 reports as SQL files lose nothing. ``register_films`` names the view; the
 queries are templates over that name.
@@ -49,6 +50,18 @@ ORDER BY max_runtime DESC NULLS LAST, language
 """
 
 
+AVG_RATINGS_WITH_TITLE_YEAR = """
+SELECT r.movieid, f.title, year(f.release_date) AS year_of_release, r.average_rating
+FROM (SELECT movieid,
+             try_divide(CAST(SUM(CAST(ratings AS DECIMAL(18,4))) AS DOUBLE),
+                        CAST(COUNT(ratings) AS DOUBLE)) AS average_rating
+      FROM {ratings}
+      WHERE ratings IS NOT NULL
+      GROUP BY movieid) r
+JOIN {films} f ON r.movieid = f.id
+"""
+
+
 def register_films(films: DataFrame, view: str = "films") -> str:
     films.createOrReplaceTempView(view)
     return view
@@ -69,3 +82,8 @@ def releases_by_decade(spark: SparkSession, view: str) -> DataFrame:
 
 def longest_per_language(spark: SparkSession, view: str) -> DataFrame:
     return spark.sql(LONGEST_PER_LANGUAGE.format(films=view))
+
+
+def avg_ratings_with_title_year(spark: SparkSession, ratings_view: str,
+                                films_view: str) -> DataFrame:
+    return spark.sql(AVG_RATINGS_WITH_TITLE_YEAR.format(ratings=ratings_view, films=films_view))

@@ -192,6 +192,12 @@ def filmography_rows(spark, d):
     return P.filmography_rows(_director_films(spark, d))
 
 
+def avg_ratings_with_title_year_sql(spark, d):
+    films = _films_view(spark, d, ["id", "title", "release_date"], "avg")
+    ratings = S.register_films(fx.ratings(spark, d), "cinelens_ratings_avg")
+    return S.avg_ratings_with_title_year(spark, ratings, films)
+
+
 def row_counts(spark, d):
     return P.row_counts({t: read_table(spark, d, t) for t in TABLES})
 
@@ -226,6 +232,7 @@ QUERIES = {
     "filmography": filmography,
     "filmography_rows": filmography_rows,
     "row_counts": row_counts,
+    "avg_ratings_with_title_year_sql": avg_ratings_with_title_year_sql,
     "avg_profit_by_year_month_sql": avg_profit_by_year_month_sql,
     "votes_by_decade_sql": votes_by_decade_sql,
     "releases_by_decade_sql": releases_by_decade_sql,

@@ -142,6 +142,17 @@ def test_sql_forms_match_dataframe_plans(spark, data):
     for df_form, sql_form in pairs:
         assert df_form.columns == sql_form.columns
         assert [tuple(r) for r in df_form.collect()] == [tuple(r) for r in sql_form.collect()]
+    # P3 (no ORDER BY): same rows as a multiset, over films keyed by id
+    keyed = films.dropDuplicates(["id"])
+    kview = S.register_films(keyed, "prop_films_keyed")
+    ratings = spark.createDataFrame(
+        [(r[0], x) for r in data for x in (0.5, 4.0, None)], "movieid long, ratings double")
+    rview = S.register_films(ratings, "prop_ratings")
+    df_form = P.avg_ratings_with_title_year(ratings, keyed)
+    sql_form = S.avg_ratings_with_title_year(spark, rview, kview)
+    assert df_form.columns == sql_form.columns
+    assert sorted(map(tuple, df_form.collect()), key=repr) == \
+           sorted(map(tuple, sql_form.collect()), key=repr)
 
 
 director_rows = st.lists(st.tuples(
