@@ -18,6 +18,7 @@ def _c(c) -> Column:
 
 
 def profit(revenue="revenue", budget="budget") -> Column:
+    """revenue - budget (NULL when either is NULL)."""
     return _c(revenue) - _c(budget)
 
 

@@ -54,6 +54,8 @@ def _pylist(items, render) -> "F.Column":
 
 
 def films(spark: SparkSession, sf_dir: str, columns=FILM_COLUMNS) -> DataFrame:
+    """One row per order, with the requested film columns (see module doc);
+    only the tables those columns come from are read and joined."""
     cols = list(columns)
     unknown = set(cols) - set(FILM_COLUMNS)
     if unknown:
