@@ -82,6 +82,16 @@ def test_jobs_chain(spark):
     assert read_out(f"{out}/longest") == [("m4", "1.5", "en", "120")]
     run(spark, ["genres", "--catalog", f"{wh}/movies_etl", "--out", f"{out}/genres"])
     assert read_out(f"{out}/genres") == [("Drama", "1990-2000", "2")]
+    # single-file reports: one part file each, rows in report order
+    for job, want in (("top-genres", [("Drama", "1990-2000", "2")]),
+                      ("movies-trend", [("2", "1990"), ("1", "2000")]),
+                      ("votes-trend", [("10.0", "1990"), ("10.0", "2000")]),
+                      ("profit-month", [("30.0", "2003", "2")])):
+        run(spark, [job, "--catalog", f"{wh}/movies_etl", "--out", f"{out}/{job}"])
+        parts = glob.glob(f"{out}/{job}/part-*.csv")
+        assert len(parts) == 1, job
+        with open(parts[0]) as f:
+            assert [tuple(r) for r in csv.reader(f)] == want, job
 
 
 def test_readme_library_example(spark):
