@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import decade_label, year_in
 from ..operators.aggregates import mean_by_key
+from ..operators.dedup import dedup_by_key
 from ..operators.ranking import top_per_group
 
 
@@ -22,18 +23,22 @@ def avg_rating_per_film(ratings: DataFrame, key: str = "movieid", value: str = "
 
 def avg_ratings_with_title_year(ratings: DataFrame, films: DataFrame, key: str = "movieid",
                                 film_key: str = "id", title: str = "title",
-                                date: str = "release_date") -> DataFrame:
+                                date: str = "release_date",
+                                films_keyed: bool = True) -> DataFrame:
     """(movieid, title, year_of_release, average_rating) for rated films.
 
-    ``films`` must hold one row per id (the keyed table written by
-    ``clean_catalog``; pass raw files through ``dedup_by_key`` first), or a
-    repeated id would repeat its average. The averages come out of the
-    aggregate hash-partitioned by film id, so the join with the films
+    ``films`` is expected to hold one row per id (the keyed table written by
+    ``clean_catalog``). For raw files, where an id can repeat and would repeat
+    its average, pass ``films_keyed=False``: the (id, title, date) projection
+    is de-duplicated by id first (map-side combined). The averages come out of
+    the aggregate hash-partitioned by film id, so the join with the films
     shuffles only the films side (or neither, when AQE finds one side small
     enough to broadcast).
     """
     avg = avg_rating_per_film(ratings, key)
     f = films.select(F.col(film_key).alias(key), title, year_in(films, date).alias("year_of_release"))
+    if not films_keyed:
+        f = dedup_by_key(f, [key])
     return avg.join(f, key).select(key, title, "year_of_release", "average_rating")
 
 

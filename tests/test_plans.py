@@ -190,3 +190,11 @@ def test_parse_report_counts_failures(spark):
                                 (None,), ("[{'name':None}]",)], "g string")
     r = P.parse_report(df, ["g"]).first()
     assert (r.g_rows, r.g_failed, r.g_items) == (4, 2, 2)
+
+
+def test_ratings_join_with_raw_films_dedups_ids(spark):
+    ratings = spark.createDataFrame([(1, 4.0), (1, 2.0)], "movieid long, ratings double")
+    films = spark.createDataFrame([film(1, 1994, title="b"), film(1, 1994, title="a")], FILM_SCHEMA)
+    assert P.avg_ratings_with_title_year(ratings, films).count() == 2          # keyed assumed
+    rows = P.avg_ratings_with_title_year(ratings, films, films_keyed=False).collect()
+    assert [tuple(r) for r in rows] == [(1, "a", 1994, 3.0)]
