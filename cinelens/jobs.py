@@ -10,6 +10,8 @@ question from the tables, write CSV results.
         --ratings wh/ratings --out out/directors --n 5 --width 10
     ... genres | top-genres | companies | profit-month | profit-months-ranked |
         votes-trend | movies-trend | longest-running  (--catalog, --out)
+    python -m cinelens.jobs stream-average-ratings --source incoming/ratings/ \
+        --catalog wh/movies_etl --out wh/avg_ratings_live   # incremental P3
 
 Every job is one Spark action. Tables are parquet paths or catalog tables
 (``--table`` / ``--buckets`` on the ingest and average jobs store a table
@@ -70,6 +72,15 @@ def _top_rated(spark, a):
     write_csv(P.top_rated_per_decade(_load(spark, a.avg_ratings)), a.out, header=a.header)
 
 
+def _stream_average_ratings(spark, a):
+    from .streaming import start_average_ratings
+    films = _load(spark, a.catalog) if a.catalog else None
+    q = start_average_ratings(spark, a.source, a.out, checkpoint_path=a.checkpoint,
+                              file_format=a.format, films=films,
+                              available_now=not a.continuous)
+    q.awaitTermination()
+
+
 def _directors(spark, a):
     credits = P.directors_of(_load(spark, a.credits), job=a.job)
     df = P.director_films(_load(spark, a.catalog), None, _load(spark, a.ratings),
@@ -86,6 +97,7 @@ JOBS = {
     "average-ratings": (_average_ratings, ["catalog", "ratings"]),
     "top-rated": (_top_rated, ["avg_ratings"]),
     "directors": (_directors, ["catalog", "credits", "ratings"]),
+    "stream-average-ratings": (_stream_average_ratings, ["source"]),
     "genres": (_catalog_report(P.genre_counts_by_decade, single=False), ["catalog"]),
     "top-genres": (_catalog_report(lambda f: P.top_genre_per_decade(P.genre_counts_by_decade(f))
                                    .orderBy("decade", "genre")), ["catalog"]),
@@ -112,6 +124,13 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("--table", default=None, help="also register as this catalog table")
             p.add_argument("--buckets", type=int, default=None,
                            help="bucket the table on its key (needs --table)")
+        if name == "stream-average-ratings":
+            p.add_argument("--catalog", default=None, help="keyed films: add title and year")
+            p.add_argument("--checkpoint", default=None,
+                           help="offsets and state (default: under spark.checkpoint.dir)")
+            p.add_argument("--format", default="csv", help="format of the arriving rating files")
+            p.add_argument("--continuous", action="store_true",
+                           help="keep running (one micro-batch a minute) instead of draining once")
         if name == "directors":
             p.add_argument("--n", type=int, default=5)
             p.add_argument("--width", type=int, default=10)

@@ -141,3 +141,20 @@ def test_jobs_with_bucketed_tables(spark):
     finally:
         for t in ("jb_movies", "jb_ratings", "jb_avg"):
             spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def test_stream_average_ratings_job(spark):
+    from cinelens.streaming import read_latest_averages
+    d = tempfile.mkdtemp(prefix="cinelens-jobs-s-")
+    g, c = "[{'id': 18, 'name': 'Drama'}]", "[{'name': 'Studio A', 'id': 1}]"
+    write(os.path.join(d, "movies.csv"), HEADER, [movie(1, "1994-05-01", "100", "300", g, c)])
+    run(spark, ["ingest-catalog", "--csv", f"{d}/movies.csv", "--out", f"{d}/wh/movies"])
+    os.makedirs(f"{d}/in")
+    write(os.path.join(d, "in", "r1.csv"), ["userid", "movieid", "ratings", "timestamp"],
+          [{"userid": 1, "movieid": 1, "ratings": 4.0, "timestamp": 1},
+           {"userid": 2, "movieid": 1, "ratings": 3.0, "timestamp": 2}])
+    run(spark, ["stream-average-ratings", "--source", f"{d}/in", "--catalog", f"{d}/wh/movies",
+                "--out", f"{d}/wh/live", "--checkpoint", f"{d}/ckpt"])
+    rows = read_latest_averages(spark, f"{d}/wh/live").select(
+        "movieid", "title", "year_of_release", "average_rating").collect()
+    assert [tuple(r) for r in rows] == [(1, "m1", 1994, 3.5)]
