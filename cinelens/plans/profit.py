@@ -4,16 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import month_in, year_in
 from ..functions.money import exact_mean, profit
 
 
 def _in_range(films: DataFrame, start: int, end: int, date: str) -> DataFrame:
-    """Films with budget and revenue set and non-zero, start <= year < end."""
+    """Films with budget and revenue set and non-zero, start <= year < end.
+
+    On a DATE column the year range is stated as a date range, which Spark
+    pushes into the parquet scan (row groups outside it are skipped); text
+    dates are compared by their year.
+    """
     y = year_in(films, date)
-    return (films.where((F.col("budget") != 0) & (F.col("revenue") != 0)
-                        & (y >= start) & (y < end))
+    if isinstance(films.schema[date].dataType, T.DateType):
+        in_range = ((F.col(date) >= F.lit(f"{int(start):04d}-01-01").cast("date"))
+                    & (F.col(date) < F.lit(f"{int(end):04d}-01-01").cast("date")))
+    else:
+        in_range = (y >= start) & (y < end)
+    return (films.where((F.col("budget") != 0) & (F.col("revenue") != 0) & in_range)
                  .select(y.alias("year"), month_in(films, date).alias("month"),
                          profit("revenue", "budget").alias("profit")))
 

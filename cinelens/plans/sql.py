@@ -17,7 +17,7 @@ SELECT CAST(SUM(CAST(revenue - budget AS DECIMAL(18,4))) AS DOUBLE) / COUNT(id)
        month(release_date) AS month
 FROM {films}
 WHERE budget <> 0 AND revenue <> 0
-  AND year(release_date) >= {start} AND year(release_date) < {end}
+  AND release_date >= make_date({start}, 1, 1) AND release_date < make_date({end}, 1, 1)
 GROUP BY year(release_date), month(release_date)
 ORDER BY year DESC, month
 """

@@ -41,3 +41,24 @@ def test_best_per_group_needs_no_window(spark, name):
 def test_scans_are_pruned(spark):
     plan = plan_of(E.queries()["avg_rating_per_film"](spark, SF001))
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
+
+
+def test_year_range_reaches_the_parquet_scan(spark, tmp_path):
+    import datetime as dt
+    from cinelens import plans as P
+    from cinelens.plans import sql as S
+    rows = [(1, dt.date(1999, 5, 1), 10.0, 20.0), (2, dt.date(2005, 5, 1), 10.0, 30.0)]
+    path = str(tmp_path / "films")
+    spark.createDataFrame(rows, "id long, release_date date, budget double, revenue double") \
+         .write.parquet(path)
+    films = spark.read.parquet(path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")   # show all pushed filters
+    try:
+        for df in (P.avg_profit_by_year_month(films),
+                   S.avg_profit_by_year_month(spark, S.register_films(films, "pd_films"))):
+            pushed = plan_of(df).split("PushedFilters: [", 1)[1].split("]", 1)[0]
+            assert "GreaterThanOrEqual(release_date,2000-01-01)" in pushed, pushed
+            assert "LessThan(release_date,2019-01-01)" in pushed, pushed
+            assert [tuple(r) for r in df.collect()] == [(20.0, 2005, 5)]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
