@@ -1,10 +1,10 @@
 """The questions the source wrote as SQL text, as Spark SQL over temp views.
 
 Same semantics as the DataFrame plans (``plans.ratings``, ``plans.profit``,
-``plans.trends``);
-Catalyst produces the same physical plan either way, so teams that keep their
-reports as SQL files lose nothing. ``register_films`` names the view; the
-queries are templates over that name.
+``plans.trends``); Catalyst produces the same physical plan either way, so
+teams that keep their reports as SQL files lose nothing. ``register_films`` names the view; the
+queries are templates over that name. They expect ``release_date`` as a DATE
+column (the DataFrame plans also accept ``yyyy-mm-dd`` text).
 """
 
 from __future__ import annotations
