@@ -256,7 +256,8 @@ cp AS (
 
 _IN_RANGE = "WITH " + _FILMS + """,
 r AS (
-  SELECT CAST(year(release_date) AS INTEGER) AS year,
+  SELECT id,
+         CAST(year(release_date) AS INTEGER) AS year,
          CAST(month(release_date) AS INTEGER) AS month,
          revenue - budget AS profit
   FROM films
@@ -292,13 +293,13 @@ SELECT id, title, revenue - budget AS profit,
 FROM films WHERE revenue - budget > 0""",
 
     "avg_profit_by_year_month": _IN_RANGE + """
-SELECT CAST(SUM(CAST(profit AS DECIMAL(18,4))) AS DOUBLE) / COUNT(profit) AS average_profit,
+SELECT CAST(SUM(CAST(profit AS DECIMAL(18,4))) AS DOUBLE) / COUNT(id) AS average_profit,
        year, month
 FROM r GROUP BY year, month""",
 
     "month_ranking": _IN_RANGE + """,
 m AS (SELECT month,
-             CAST(SUM(CAST(profit AS DECIMAL(18,4))) AS DOUBLE) / COUNT(profit) AS average_profit
+             CAST(SUM(CAST(profit AS DECIMAL(18,4))) AS DOUBLE) / COUNT(id) AS average_profit
       FROM r GROUP BY month)
 SELECT month, average_profit,
        CAST(rank() OVER (ORDER BY average_profit DESC) AS INTEGER) AS "rank"

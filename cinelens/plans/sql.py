@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 AVG_PROFIT_BY_YEAR_MONTH = """
-SELECT CAST(SUM(CAST(revenue - budget AS DECIMAL(18,4))) AS DOUBLE) / COUNT(id) AS average_profit,
+SELECT try_divide(CAST(SUM(CAST(revenue - budget AS DECIMAL(18,4))) AS DOUBLE),
+                  CAST(COUNT(id) AS DOUBLE)) AS average_profit,
        year(release_date) AS year,
        month(release_date) AS month
 FROM {films}

@@ -198,3 +198,11 @@ def test_ratings_join_with_raw_films_dedups_ids(spark):
     assert P.avg_ratings_with_title_year(ratings, films).count() == 2          # keyed assumed
     rows = P.avg_ratings_with_title_year(ratings, films, films_keyed=False).collect()
     assert [tuple(r) for r in rows] == [(1, "a", 1994, 3.0)]
+
+
+def test_monthly_profit_counts_films_with_an_id(spark):
+    rows = [film(1, 2001, 4, revenue=300.0), (None, "x", dt.date(2001, 4, 1), 100.0, 500.0, "en",
+            90, 1.0, 1, ["Drama"], ["C"])]
+    films = spark.createDataFrame(rows, FILM_SCHEMA)
+    # (200 + 400) / count(id) = 600 / 1, as the source's sum(profit) / count(id)
+    assert [tuple(r) for r in P.avg_profit_by_year_month(films).collect()] == [(600.0, 2001, 4)]
