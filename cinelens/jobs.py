@@ -146,7 +146,9 @@ def run(spark, argv) -> None:
 
 
 def main(argv=None) -> None:
-    run(get_session(app="cinelens-jobs"), sys.argv[1:] if argv is None else argv)
+    argv = sys.argv[1:] if argv is None else argv
+    parser().parse_args(argv)  # --help and usage errors before any session starts
+    run(get_session(app=f"cinelens-{argv[0]}"), argv)
 
 
 if __name__ == "__main__":
