@@ -4,7 +4,8 @@ No join here carries a broadcast hint: sides whose size depends on the data
 are left to adaptive execution, which measures each side at runtime and only
 broadcasts one under ``spark.sql.autoBroadcastJoinThreshold`` (the size check);
 beyond it the join stays a shuffle (sort-merge) join, with AQE splitting
-skewed partitions.
+skewed partitions. (The plans hint a broadcast only for tables bounded by
+construction, such as the top-n winners per window.)
 """
 
 from __future__ import annotations

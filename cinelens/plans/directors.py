@@ -112,9 +112,16 @@ def top_directors_per_window(df: DataFrame, n: int = 5, width: int = 10,
         df = materialize(df)
     top = top_n_per_group(director_scores_by_window(df, width, anchor), "window_start", "ratings", n,
                           tie_break="director_name")
-    winners = top.select("director_name").distinct()
+    # The winners are at most n rows per window, and there are at most
+    # (year span / width + 1) windows: a size bound by construction, so they
+    # are broadcast outright. Without the hint the semi-join is planned as a
+    # sort-merge join and every film row is shuffled by director before AQE can
+    # measure the winners -- a director with a third of all films would land
+    # in one task. Broadcast, the film rows are filtered where they are and
+    # only the winners' rows reach the per-director title sets.
+    winners = F.broadcast(top.select("director_name").distinct())
     rated = df.where(F.col("ratings").isNotNull())  # same rated-film rows as the scores
     titles = filmography(rated.join(winners, "director_name", "left_semi"))
     # ``rank`` carries the order inside each window; no global sort of the result
-    return top.join(titles, "director_name").select(
+    return F.broadcast(top).join(titles, "director_name").select(
         "window", "rank", "director_name", "movies_directed", "ratings")
