@@ -26,7 +26,7 @@ def _list(x):
     return [x] if isinstance(x, str) else list(x)
 
 
-def top_per_group(df: DataFrame, group, value: str) -> DataFrame:
+def top_per_group(df: DataFrame, group, value: str, broadcast_best: bool = False) -> DataFrame:
     """All rows whose ``value`` equals the maximum of their group (ties kept).
 
     Rows with a NULL ``value`` never win; a NULL group is a group of its own.
@@ -35,10 +35,17 @@ def top_per_group(df: DataFrame, group, value: str) -> DataFrame:
     sum/mean (``functions.money``). A floating-point sum recomputed from
     shuffle blocks fetched in another order can differ in the last bit and
     lose its tie.
+
+    ``broadcast_best`` hints the per-group maxima as a broadcast. Only for
+    groups bounded by construction (decades, windows): then the rows are
+    matched in place whatever order the stages finish in, instead of relying
+    on AQE to measure the maxima before the rows' shuffle would run.
     """
     keys = _list(group)
     best = (df.groupBy(*keys).agg(F.max(value).alias("_best"))
               .select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], "_best"))
+    if broadcast_best:
+        best = F.broadcast(best)
     cond = reduce(lambda a, b: a & b,
                   [df[k].eqNullSafe(best[f"_g{i}"]) for i, k in enumerate(keys)]
                   + [df[value] == best["_best"]])

@@ -44,5 +44,5 @@ def top_company_per_decade(by_company: DataFrame) -> DataFrame:
     """(decade, production_companies, profit): the most profitable company(ies)
     of each decade, ties kept, ordered by decade. The ranking compares the one
     evaluated (exact) sum, never two separately computed float sums."""
-    top = top_per_group(by_company, "decade", "profit")
+    top = top_per_group(by_company, "decade", "profit", broadcast_best=True)  # one row per decade
     return top.select("decade", "production_companies", "profit").orderBy("decade")

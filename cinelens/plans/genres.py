@@ -29,4 +29,4 @@ def genre_counts_by_decade(films: DataFrame, genres: str = "genres",
 
 def top_genre_per_decade(counts: DataFrame) -> DataFrame:
     """(genre, decade, count) of the most frequent genre(s) per decade, ties kept."""
-    return top_per_group(counts, "decade", "count")
+    return top_per_group(counts, "decade", "count", broadcast_best=True)  # one row per decade

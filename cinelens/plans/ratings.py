@@ -49,4 +49,5 @@ def top_rated_per_decade(avg_ratings: DataFrame, title: str = "title",
     are left out."""
     df = (avg_ratings.where(F.col(year).isNotNull())
           .select(title, F.col(value).alias("highest_rating"), decade_label(year).alias("decade")))
-    return top_per_group(df, "decade", "highest_rating")
+    # one row per decade: bounded, so broadcast outright
+    return top_per_group(df, "decade", "highest_rating", broadcast_best=True)
