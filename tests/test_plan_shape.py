@@ -62,3 +62,13 @@ def test_year_range_reaches_the_parquet_scan(spark, tmp_path):
             assert [tuple(r) for r in df.collect()] == [(20.0, 2005, 5)]
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+@pytest.mark.parametrize("name", sorted(TOP_N | ARG_MAX))
+def test_bounded_sides_are_broadcast_from_the_start(spark, name):
+    # the big side must never be shuffled before the small (bounded) side is known
+    plan = plan_of(E.queries()[name](spark, SF001))
+    assert "SortMergeJoin" not in plan, name
+    if name in TOP_N:
+        assert any("BroadcastHashJoin" in line and "LeftSemi" in line
+                   for line in plan.splitlines()), name
