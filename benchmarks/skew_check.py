@@ -79,7 +79,7 @@ def window_best(df):
 def ours_best(df):
     d = df.select("title", F.col("average_rating").alias("highest_rating"),
                   F.concat(F.col("year_of_release").cast("string"), F.lit("s")).alias("decade"))
-    return top_per_group(d, "decade", "highest_rating")
+    return top_per_group(d, "decade", "highest_rating", broadcast_best=True)
 
 
 def window_dedup(df):
