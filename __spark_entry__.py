@@ -12,6 +12,7 @@ decimals cast to double on both sides; means are ``double(sum) / count``.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -22,6 +23,26 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from cinelens.queries import QUERIES, TABLES  # noqa: E402
 
+# The training-data operators are optional: their folder and the pipeline may be absent.
+_LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_LLM_ORACLE: dict[str, str] = {}
+
+
+def _present(module: str) -> bool:
+    spec = importlib.util.find_spec(module)
+    return spec is not None and spec.origin is not None  # a folder without code has no origin
+
+
+if _present("cinelens.llm"):
+    from cinelens.llm.queries import ORACLE_SQL as _SQL, QUERIES as _OWN  # noqa: E402
+    _LLM_QUERIES.update(_OWN)
+    _LLM_ORACLE.update(_SQL)
+    if _present("corpus_pipeline"):
+        import corpus_pipeline  # noqa: E402
+        _LLM_QUERIES["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            _LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 FLAGSHIP = "top_rated_per_decade"
 
 
@@ -31,7 +52,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {**QUERIES, **_LLM_QUERIES}
 
 
 # --------------------------------------------------------------------------
@@ -354,4 +375,4 @@ for _k in ("avg_ratings_with_title_year", "avg_profit_by_year_month", "votes_by_
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in _ORACLE.items() if k in QUERIES}
+    return {**{k: v for k, v in _ORACLE.items() if k in QUERIES}, **_LLM_ORACLE}
