@@ -1,0 +1,75 @@
+"""The pipeline against a brute-force run of the same stages, and stage by stage on odd rows."""
+
+import pyarrow.parquet as pq
+import pytest
+import sentencepiece
+
+import corpus_pipeline as cp
+from cinelens.llm import toxicity
+from cinelens.llm.common import shared_folder
+from cinelens.llm.queries import tokenizer_path
+
+from llm_cases import DOCS, ODD, SF001, SF01
+from test_decontamination import brute as contamination
+from test_line_dedup import key
+from test_simhash import brute as components, fingerprint
+
+
+def drop_lines(rows):
+    owner = {}
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            k = key(line)
+            if len(k) >= 10:
+                owner[k] = min(owner.get(k, i), i)
+    return [(i, "\n".join(x for x in (t or "").split("\n") if owner.get(key(x), i) == i)) for i, t in rows]
+
+
+def test_run_matches_brute_force(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    chain = toxicity.fit_documents(docs, spark.read.parquet(f"{SF01}/labels.parquet"))
+    clean = {r.row.doc_id for r in toxicity.score(docs, chain, keep=["doc_id"]).where("p_toxic < 0.5").collect()}
+    t = pq.read_table(f"{SF01}/documents.parquet")
+    rows = drop_lines([(i, x) for i, x in zip(t["doc_id"].to_pylist(), t["text"].to_pylist()) if i in clean])
+    least = {c for *_, c in components([(i, fingerprint(x)) for i, x in rows])}
+    rows = [(i, x) for i, x in rows if i in least]
+    b = pq.read_table(f"{SF01}/benchmark.parquet")
+    hit = {r[0] for r in contamination(rows, list(zip(b["item_id"].to_pylist(), b["text"].to_pylist()))) if r[5]}
+    rows = [(i, x) for i, x in rows if i not in hit]
+    lib = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
+    got = {r.doc_id: r.ids for r in cp.run(spark, SF01).collect()}
+    assert got == {i: lib.encode(x) for i, x in rows}
+    assert 0 < len(got) < len(clean) < t.num_rows
+
+
+def test_stages_keep_columns_and_take_odd_rows(spark):
+    docs = spark.createDataFrame(ODD, DOCS)
+    for name, stage in cp.STAGES:
+        out = stage(spark, docs, SF001)
+        if name != cp.STAGES[-1][0]:
+            assert out.columns == docs.columns and out.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
+        path = shared_folder(spark, f"test-{name}")
+        out.write.parquet(path)
+        docs = spark.read.parquet(path)
+    assert {"doc_id", "n_tokens", "ids"} <= set(docs.columns) and docs.count() > 5
+
+
+@pytest.mark.parametrize("k", range(len(cp.STAGES)))
+def test_stages_take_an_empty_table(spark, k):
+    assert cp.STAGES[k][1](spark, spark.createDataFrame([], DOCS), SF001).collect() == []
+
+
+def test_line_dedup_updates_the_length(spark):
+    docs = spark.createDataFrame([(1, "a shared line here\nmore é", "en", "a", 99), (2, "a shared line here\nown é", "en", "a", 23),
+                                  (3, None, "en", "a", None)], DOCS)
+    got = {r.doc_id: (r.text, r.n_chars) for r in cp.drop_repeated_lines(spark, docs, SF001).collect()}
+    assert got == {1: ("a shared line here\nmore é", 99), 2: ("own é", 5), 3: (None, None)}
+
+
+def test_one_of_each_group_stays(spark):
+    docs = spark.createDataFrame([(5, "some words that are the same", "en", "a", 1), (3, "Some words that are THE same", "en", "b", 1),
+                                  (3, "Some words that are THE same", "en", "b", 1), (3, "some words that are the same", "en", "c", 1),
+                                  (None, "some words that are the same", "en", "a", 1), (7, "others", "en", "a", 1),
+                                  (None, "alone", "en", "a", 1), (None, "alone", "en", "a", 1)], DOCS)
+    got = sorted([r.doc_id for r in cp.drop_near_duplicates(spark, docs, SF001).collect()], key=repr)
+    assert got == [3, 7, None]

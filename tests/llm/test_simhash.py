@@ -1,0 +1,107 @@
+"""Operator 6 against brute force over all pairs."""
+
+import random
+import re
+
+import xxhash
+
+from cinelens.llm import simhash
+from cinelens.llm.queries import op6_simhash
+
+from llm_cases import ODD, SF01, clashing
+
+
+def fingerprint(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", low)
+    shingles = [" ".join(w[i:i + 3]) for i in range(max(1, len(w) - 2))] if w else []
+    h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute(rows):
+    """{(doc_id, fingerprint): component_id} over rows of (doc_id, fingerprint)."""
+    fps = sorted({f for _, f in rows})
+    parent = {f: f for f in fps}
+
+    def find(f):
+        while parent[f] != f:
+            f = parent[f]
+        return f
+
+    for i, a in enumerate(fps):
+        for b in fps[i + 1:]:
+            if bin(a ^ b).count("1") <= 3:
+                parent[find(b)] = find(a)
+    ids = {}
+    for i, f in rows:
+        ids.setdefault(find(f), []).append(i)
+    least = {r: min((i for i in x if i is not None), default=None) for r, x in ids.items()}
+    return sorted([(i, f"{f:016x}", least[find(f)]) for i, f in rows], key=repr)
+
+
+def got(df):
+    return sorted([(r.doc_id, r.fingerprint, r.component_id) for r in df.collect()], key=repr)
+
+
+def test_query_matches_brute_force(spark, docs01):
+    rows = [(i, fingerprint(t)) for i, t in docs01.items()]
+    assert got(op6_simhash(spark, SF01)) == brute(rows)
+
+
+def test_odd_rows(spark, odd):
+    out = simhash.digest(simhash.near_duplicates(clashing(odd, "fp", "component", "row_key", "__id")))
+    assert got(out) == brute([(i, fingerprint(t)) for i, t, *_ in ODD])
+
+
+def planted(seed, n=300):
+    """Fingerprints in chains, stars and copies, with bits flipped everywhere."""
+    rng = random.Random(seed)
+    fps = []
+    for _ in range(n):
+        if fps and rng.random() < .7:
+            f = rng.choice(fps)
+            for b in rng.sample(range(64), rng.randint(0, 5)):
+                f ^= 1 << b
+            fps.append(f)
+        else:
+            fps.append(rng.getrandbits(64))
+    return fps
+
+
+def signed(f):
+    return f - (1 << 64) if f >> 63 else f
+
+
+def test_links_lose_no_pair(spark):
+    for seed, (bits, segments) in enumerate([(3, 4), (3, 5), (3, 8), (2, 3), (1, 2), (0, 1), (7, 8)]):
+        fps = planted(seed)
+        df = spark.createDataFrame([(signed(f),) for f in fps], "fp long")
+        want = {tuple(sorted((signed(a), signed(b)))) for a in set(fps) for b in set(fps)
+                if a != b and bin(a ^ b).count("1") <= bits}
+        assert {(r.a, r.b) for r in simhash.links(df, bits, segments).collect()} == want, (bits, segments)
+
+
+def test_components_of_long_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + k) for k in range(1, 50)] + [(5000, 4000)] * 3
+    out = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = {i: 0 for i in range(201)} | {1000 + k: 1000 for k in range(50)} | {5000: 4000, 4000: 4000}
+    assert out == want
+
+
+def test_representatives(spark, odd):
+    out = simhash.representatives(odd)
+    assert out.columns == odd.columns
+    comps = {}
+    for (i, t, *_), in zip(ODD):
+        comps.setdefault(fingerprint(t), []).append(i)
+    roots = {c: k for _, f, c in brute([(i, fingerprint(t)) for i, t, *_ in ODD]) for k in [f]}
+    kept = [r.doc_id for r in out.collect()]
+    assert len(kept) == len({c if c is not None else f for _, f, c in brute(
+        [(i, fingerprint(t)) for i, t, *_ in ODD])})
+    assert set(roots) - {None} <= set(kept)
+
+
+def test_empty_table(none):
+    assert simhash.digest(simhash.near_duplicates(none)).collect() == []
+    assert simhash.representatives(none).collect() == []
