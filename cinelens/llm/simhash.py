@@ -94,11 +94,11 @@ def _width(k: int, segments: int) -> int:
 def links(prints: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS) -> DataFrame:
     """(a, b), a < b: all pairs of distinct values of ``fp`` within ``max_bits`` differing bits.
 
-    Needs ``max_bits < segments`` (an equal first segment) and
-    ``2 * max_bits < 2 * segments`` (one bit at most in the second).
+    Needs ``max_bits < segments``: then the first segment of a chain is equal and the second
+    differs in one bit at most.
     """
-    if not max_bits < segments:
-        raise ValueError("the filter needs more segments than differing bits")
+    if not max_bits < segments or segments < 2:
+        raise ValueError("the filter needs two segments, and more segments than differing bits")
     values = prints.select("fp").distinct()
     starts = range(segments)
 

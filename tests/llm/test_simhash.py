@@ -74,7 +74,7 @@ def signed(f):
 
 
 def test_links_lose_no_pair(spark):
-    for seed, (bits, segments) in enumerate([(3, 4), (3, 5), (3, 8), (2, 3), (1, 2), (0, 1), (7, 8)]):
+    for seed, (bits, segments) in enumerate([(3, 4), (3, 5), (3, 8), (2, 3), (1, 2), (0, 2), (7, 8)]):
         fps = planted(seed)
         df = spark.createDataFrame([(signed(f),) for f in fps], "fp long")
         want = {tuple(sorted((signed(a), signed(b)))) for a in set(fps) for b in set(fps)
@@ -92,14 +92,14 @@ def test_components_of_long_chains_and_stars(spark):
 def test_representatives(spark, odd):
     out = simhash.representatives(odd)
     assert out.columns == odd.columns
-    comps = {}
-    for (i, t, *_), in zip(ODD):
-        comps.setdefault(fingerprint(t), []).append(i)
-    roots = {c: k for _, f, c in brute([(i, fingerprint(t)) for i, t, *_ in ODD]) for k in [f]}
-    kept = [r.doc_id for r in out.collect()]
-    assert len(kept) == len({c if c is not None else f for _, f, c in brute(
-        [(i, fingerprint(t)) for i, t, *_ in ODD])})
-    assert set(roots) - {None} <= set(kept)
+    # two rows with id 4 hold different texts, so both may be the smallest of their group
+    linked = lambda a, b: bin(a ^ b).count("1") <= 3
+    groups = []
+    for i, t, *_ in ODD:
+        near = [g for g in groups if any(linked(fingerprint(t), f) for _, f in g)]
+        groups = [g for g in groups if g not in near] + [sum(near, []) + [(i, fingerprint(t))]]
+    least = [min((i for i, _ in g if i is not None), default=None) for g in groups]
+    assert sorted([r.doc_id for r in out.collect()], key=repr) == sorted(least, key=repr)
 
 
 def test_empty_table(none):
