@@ -6,8 +6,8 @@ a ``(spark, sf_dir) -> DataFrame`` callable; ``oracle_sql()`` gives, for each
 of them, an independent DuckDB SQL formulation over the raw driver tables.
 
 The SQL rebuilds the film-shaped views from the raw tables itself (it does
-not share code with the Spark side). Sums of money and ratings are exact
-decimals cast to double on both sides; means are ``double(sum) / count``.
+not share code with the Spark side). Sums of money and ratings are
+summed by the decimal spelling of each value; means are ``double(sum) / count``.
 """
 
 from __future__ import annotations
@@ -58,6 +58,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # --------------------------------------------------------------------------
 # Oracle SQL (DuckDB). Shared CTE pieces first.
 
+def _sum(x: str, scale: int = 18) -> str:
+    """Sum of a DOUBLE column by its values' decimal spelling; out-of-range values are an error."""
+    return (f"CAST(CAST(SUM(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,{scale}))) AS VARCHAR) "
+            "AS DOUBLE)")
+
+
 _FILMS_BASE = """
 films_base AS (
   SELECT o_orderkey AS id,
@@ -106,11 +112,10 @@ directors AS (
     FROM lines WHERE l_returnflag = 'R') t
   WHERE rn = 1 AND director_name IS NOT NULL)"""
 
-_RATING_AVG = """
+_RATING_AVG = f"""
 rating_avg AS (
   SELECT l_orderkey AS movieid,
-         CAST(SUM(CAST(l_quantity / 10.0 AS DECIMAL(18,4))) AS DOUBLE)
-           / COUNT(l_quantity) AS average_rating
+         {_sum('(l_quantity / 10.0)')} / COUNT(l_quantity) AS average_rating
   FROM lineitem WHERE l_quantity IS NOT NULL GROUP BY l_orderkey)"""
 
 _AVG_WITH_TITLE = _FILMS_BASE + "," + _RATING_AVG + """,
@@ -135,7 +140,7 @@ df AS (
 def _director_scores(width: int) -> str:
     return _DIRECTOR_FILMS + f""",
 scores AS (
-  SELECT ws AS window_start, director_name, round(avg(ratings), 9) AS ratings
+  SELECT ws AS window_start, director_name, {_sum('ratings', 24)} / count(ratings) AS ratings
   FROM (SELECT director_name, ratings,
                CAST((SELECT min(year) FROM df)
                     + floor((year - (SELECT min(year) FROM df)) / {width}) * {width} AS INTEGER) AS ws
@@ -155,9 +160,11 @@ ranked AS (
 top AS (SELECT * FROM ranked WHERE "rank" <= {n}),
 titles AS (
   SELECT director_name, array_to_string(list_sort(list(DISTINCT title)), ',') AS movies_directed
-  FROM df WHERE director_name IN (SELECT director_name FROM top) GROUP BY director_name)
-SELECT t."window", t."rank", t.director_name, ti.movies_directed, t.ratings
-FROM top t JOIN titles ti ON t.director_name = ti.director_name"""
+  FROM df WHERE title IS NOT NULL AND director_name IN (SELECT director_name FROM top)
+  GROUP BY director_name)
+SELECT t."window", t."rank", t.director_name, coalesce(ti.movies_directed, '') AS movies_directed,
+       t.ratings
+FROM top t LEFT JOIN titles ti ON t.director_name = ti.director_name"""
 
 
 _ORACLE = {
@@ -200,6 +207,24 @@ SELECT (SELECT COUNT(DISTINCT id) FROM genre_pairs) AS genres_text_rows,
        CAST(0 AS BIGINT) AS production_companies_failed,
        (SELECT COUNT(*) FROM comp_pairs) AS production_companies_items""",
 
+    "parse_report_with_failures": "WITH " + _GENRE_PAIRS + """,
+n AS (SELECT l_orderkey AS id, COUNT(*) % 2 = 0 AS cut FROM lineitem GROUP BY l_orderkey),
+g AS (SELECT n.id, n.cut, COUNT(p.genre) AS items FROM n LEFT JOIN genre_pairs p ON n.id = p.id
+      GROUP BY n.id, n.cut)
+SELECT COUNT(*) AS genres_text_rows,
+       COUNT(*) FILTER (WHERE cut) AS genres_text_failed,
+       CAST(coalesce(SUM(items) FILTER (WHERE NOT cut), 0) AS BIGINT) AS genres_text_items
+FROM g""",
+
+    "text_date_parts": """
+SELECT o_orderkey AS id, CAST(year(o_orderdate) AS INTEGER) AS year,
+       CAST(month(o_orderdate) AS INTEGER) AS month,
+       CAST(year(o_orderdate) - year(o_orderdate) % 10 AS INTEGER) AS decade
+FROM orders""",
+
+    "titles_by_popularity": "WITH " + _FILMS + """
+SELECT title, runtime FROM films ORDER BY popularity DESC NULLS LAST, id""",
+
     "dedup_by_key": """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
        l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate
@@ -270,7 +295,7 @@ _COMPANY_PROFIT = "WITH " + _FILMS + "," + _COMP_PAIRS + f""",
 cp AS (
   SELECT c.s_name AS production_companies,
          {_decade_label('year(f.release_date)')} AS decade,
-         CAST(SUM(CAST(f.revenue - f.budget AS DECIMAL(18,4))) AS DOUBLE) AS profit
+         {_sum('(f.revenue - f.budget)')} AS profit
   FROM films f JOIN comp_pairs c ON f.id = c.id
   WHERE f.revenue - f.budget > 0 AND f.release_date IS NOT NULL
   GROUP BY 1, 2)"""
@@ -313,21 +338,20 @@ SELECT id, title, revenue - budget AS profit,
        (revenue - budget) / budget * 100.0 AS profit_percentage
 FROM films WHERE revenue - budget > 0""",
 
-    "avg_profit_by_year_month": _IN_RANGE + """
-SELECT CAST(SUM(CAST(profit AS DECIMAL(18,4))) AS DOUBLE) / COUNT(id) AS average_profit,
+    "avg_profit_by_year_month": _IN_RANGE + f"""
+SELECT {_sum('profit')} / COUNT(id) AS average_profit,
        year, month
 FROM r GROUP BY year, month""",
 
-    "month_ranking": _IN_RANGE + """,
-m AS (SELECT month,
-             CAST(SUM(CAST(profit AS DECIMAL(18,4))) AS DOUBLE) / COUNT(id) AS average_profit
+    "month_ranking": _IN_RANGE + f""",
+m AS (SELECT month, {_sum('profit')} / COUNT(id) AS average_profit
       FROM r GROUP BY month)
 SELECT month, average_profit,
        CAST(rank() OVER (ORDER BY average_profit DESC) AS INTEGER) AS "rank"
 FROM m""",
 
-    "votes_by_decade": "WITH " + _FILMS + """
-SELECT CAST(SUM(CAST(vote_count AS DECIMAL(18,4))) AS DOUBLE) / COUNT(vote_count) AS votes,
+    "votes_by_decade": "WITH " + _FILMS + f"""
+SELECT {_sum('vote_count')} / COUNT(vote_count) AS votes,
        CAST(year(release_date) - year(release_date) % 10 AS INTEGER) AS decade
 FROM films GROUP BY 2""",
 

@@ -4,13 +4,12 @@ Layout
 ------
 - ``functions``  Column -> Column helpers (dates, list-literal parsing, money).
 - ``operators``  DataFrame -> DataFrame building blocks (filters, dedup,
-  ranking, aggregates, joins, derived columns, materialize).
+  ranking, aggregates).
 - ``sources``    readers (CSV with declared schema, parquet tables), the
   driver-table adapter that exposes film-shaped views, and writers (CSV,
   keyed and optionally bucketed tables).
 - ``plans``      the business questions (cleaning, ratings, genres, companies,
   profit, trends, directors, reports; SQL-text forms in ``plans.sql``).
-- ``streaming``  incremental form of the ratings average.
 - ``jobs``       command line: ingest files into keyed tables, one job per question.
 - ``queries``    the registered queries over the driver tables.
 """

@@ -3,13 +3,13 @@
 
 from .dates import (decade_label, decade_start, month_in, month_of, window_label,
                     window_start, year_in, year_of)
-from .literals import (first_where, items_schema, matches_first, parse_bracket_list,
+from .literals import (items_schema, matches_first, parse_bracket_list,
                        parse_names, parse_pylist, pylist_to_json)
-from .money import exact_mean, exact_sum, profit, profit_percentage
+from .money import exact_decimal, exact_mean, exact_sum, exact_total, profit, profit_percentage
 
 __all__ = [
     "decade_label", "decade_start", "month_in", "month_of", "year_in", "window_label", "window_start",
-    "year_of", "first_where", "items_schema", "matches_first", "parse_bracket_list", "parse_names",
-    "parse_pylist", "pylist_to_json", "exact_mean", "exact_sum", "profit",
+    "year_of", "items_schema", "matches_first", "parse_bracket_list", "parse_names",
+    "parse_pylist", "pylist_to_json", "exact_decimal", "exact_mean", "exact_sum", "exact_total", "profit",
     "profit_percentage",
 ]

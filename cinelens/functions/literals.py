@@ -2,21 +2,16 @@
 
 Catalog files hold lists as Python literals, e.g.
 ``[{'id': 16, 'name': 'Animation'}, {'id': 35, 'name': "O'Neil"}]``.
-Spark's JSON reader accepts single-quoted strings (and ``\\'`` inside them),
-so only three Python-only spellings must be rewritten before ``from_json``:
-
-* bare ``None`` / ``True`` / ``False`` values  -> ``null`` / ``true`` / ``false``
-* ``\\xNN`` escapes                              -> ``\\u00NN``
-* ``\\UXXXXXXXX`` escapes                        -> a ``\\uHHHH\\uLLLL`` pair
-
-The constants are only rewritten in dict-value position, the only place the
-catalog format puts them, and by default only as Python itself writes them
-(``'key': None,``), with plain substring replacement; ``lenient=True`` accepts
-any spacing (hand-edited text) at the price of regex scans. Anything else that
-still does not parse becomes NULL for that row (counted per column by
-``plans.catalog.parse_report``), never an error. Known limit: a string value
-that itself contains a quote, colon and ``None`` (``"a': None, b"``), or an
-escaped backslash before ``x`` or ``U``, is rewritten too.
+The text is cut into tokens -- whole string literals, and what stands between
+them. String literals are rewritten escape by escape as JSON strings; between
+them ``None`` / ``True`` / ``False`` become JSON constants and trailing commas
+go. A string's content is never touched by the rules for what stands outside.
+Texts that hold only single-quoted strings without escapes and none of the
+constants are read as they are.
+
+Text that still cannot be read (also text with anything after the closing
+bracket) becomes NULL for that row, never an error; ``plans.catalog.parse_report``
+counts such rows per column and the ingest jobs report the count.
 """
 
 from __future__ import annotations
@@ -25,7 +20,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_JSON_OPTS = {"allowSingleQuotes": "true", "mode": "PERMISSIVE"}
+_JSON_OPTS = {"allowSingleQuotes": "true", "allowUnquotedControlChars": "true", "mode": "PERMISSIVE"}
 
 
 def _c(c) -> Column:
@@ -45,41 +40,59 @@ def _utf16_escape(m) -> Column:
 
 # Python-only constants and their JSON spellings (fixed values).
 _CONSTANTS = (("None", "null"), ("True", "true"), ("False", "false"))
+# Python escapes that JSON spells differently (fixed values).
+_ESCAPES = {"\\'": "'", "\\a": "\\u0007", "\\v": "\\u000b", "\\\n": ""}
+# Escapes both languages share.
+_SHARED = ("\\\\", "\\\"", "\\b", "\\f", "\\n", "\\r", "\\t")
+
+_TOKEN = r"""(?s)'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^'"]++|['"]"""
+_PART = r"""(?s)\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}|\\[0-7]{1,3}|\\.|[^\\]++"""
+
+
+def _string_part(p) -> Column:
+    """One escape sequence, or a run without any, of a Python string as JSON text."""
+    out = F.when(~p.startswith("\\"), F.replace(p, F.lit('"'), F.lit('\\"')))
+    for py, js in _ESCAPES.items():
+        out = out.when(p == F.lit(py), F.lit(js))
+    out = out.when(p.isin(*_SHARED) | p.rlike(r"^\\u[0-9a-fA-F]{4}$"), p)
+    out = out.when(p.rlike(r"^\\x[0-9a-fA-F]{2}$"), F.concat(F.lit("\\u00"), F.substring(p, 3, 2)))
+    out = out.when(p.rlike(r"^\\U[0-9a-fA-F]{8}$"), _utf16_escape(p))
+    octal = F.conv(F.substring(p, 2, 3), 8, 16)
+    out = out.when(p.rlike(r"^\\[0-7]{1,3}$"), F.concat(F.lit("\\u"), F.lpad(octal, 4, "0")))
+    return out.otherwise(F.concat(F.lit("\\"), p))  # not an escape in Python: both characters stay
+
+
+def _token(t) -> Column:
+    """A whole string literal, or the text between two of them, as JSON text."""
+    inner = t.substr(F.lit(2), F.length(t) - F.lit(2))
+    parts = F.transform(F.regexp_extract_all(inner, F.lit(_PART), 0), _string_part)
+    string = F.concat(F.lit('"'), F.when(inner.contains("\\"), F.array_join(parts, "")).otherwise(
+        F.replace(inner, F.lit('"'), F.lit('\\"'))), F.lit('"'))
+    other = t
+    for py, js in _CONSTANTS:
+        other = F.regexp_replace(other, r"\b" + py + r"\b", js)
+    other = F.regexp_replace(other, r",(\s*[\]}])", "$1")  # trailing comma
+    other = F.regexp_replace(other, r"\b[uU]$", "")  # u'...' prefix
+    return F.when(t.rlike(r"^['\"]") & (F.length(t) > 1), string).otherwise(other)
+
+
+def pylist_to_json(c) -> Column:
+    """Python literal text as JSON text (see the module's description)."""
+    c = _c(c)
+    plain = ~c.rlike(r"""["\\]|None|True|False|,\s*[\]}]|\b[uU]'""")
+    tokens = F.transform(F.regexp_extract_all(c, F.lit(_TOKEN), 0), _token)
+    return F.when(plain, c).otherwise(F.array_join(tokens, ""))
 
 
-def pylist_to_json(c, lenient: bool = False) -> Column:
-    """Rewrite Python-literal tokens so the text is readable by ``from_json``.
+def parse_pylist(c, schema: T.DataType) -> Column:
+    """Python list literal text -> typed array (NULL when it cannot be read).
 
-    Default: the constants as Python itself writes them in dict values
-    (``'key': None,`` / ``'key': None}``), by plain substring replacement -- a
-    byte scan that copies nothing when the token is absent. ``lenient=True``
-    also accepts other spacing (hand-edited text) with a regex per constant,
-    run only on rows holding one of the tokens.
+    The list is read as the one field of an object, so that anything after its
+    closing bracket makes the text unreadable instead of being ignored.
     """
-    c = _c(c)
-    if lenient:
-        out = c
-        for py, js in _CONSTANTS:
-            out = F.regexp_replace(out, r"(['\"]\s*:\s*)" + py + r"(?=\s*[,}])", "$1" + js)
-        gate = c.contains("None") | c.contains("True") | c.contains("False")
-        out = F.when(gate, out).otherwise(c)
-    else:
-        out = c
-        for py, js in _CONSTANTS:
-            for q in ("'", '"'):
-                for end in (",", "}"):
-                    out = F.replace(out, F.lit(f"{q}: {py}{end}"), F.lit(f"{q}: {js}{end}"))
-    # Escapes JSON lacks: \xNN, and \UXXXXXXXX beyond the BMP. ``when``
-    # evaluates one branch, so ``out`` is computed once per row either way.
-    esc = F.regexp_replace(out, r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
-    astral = F.array_distinct(F.regexp_extract_all(esc, F.lit(r"(\\U[0-9a-fA-F]{8})"), 1))
-    esc = F.aggregate(astral, esc, lambda acc, m: F.replace(acc, m, _utf16_escape(m)))
-    return F.when(c.contains("\\"), esc).otherwise(out)
-
-
-def parse_pylist(c, schema: T.DataType, lenient: bool = False) -> Column:
-    """Python list literal text -> typed array (NULL when it cannot be read)."""
-    return F.from_json(pylist_to_json(c, lenient), schema, _JSON_OPTS)
+    whole = T.StructType([T.StructField("v", schema)])
+    text = F.concat(F.lit('{"v":'), pylist_to_json(c), F.lit("}"))
+    return F.from_json(text, whole, _JSON_OPTS)["v"]
 
 
 def items_schema(*keys: str) -> T.ArrayType:
@@ -87,15 +100,9 @@ def items_schema(*keys: str) -> T.ArrayType:
     return T.ArrayType(T.StructType([T.StructField(k, T.StringType()) for k in keys]))
 
 
-def parse_names(c, key: str = "name", lenient: bool = False) -> Column:
+def parse_names(c, key: str = "name") -> Column:
     """``[{..., 'name': 'A'}, {..., 'name': 'B'}]`` -> ``['A', 'B']`` (all elements)."""
-    return F.transform(parse_pylist(c, items_schema(key), lenient), lambda x: x[key])
-
-
-def first_where(c, field: str = "department", value: str = "Directing",
-                take: str = "name") -> Column:
-    """``take`` of the first element whose ``field`` equals ``value``; NULL if none."""
-    return F.get(matches_first(c, field, value, take), 0)
+    return F.transform(parse_pylist(c, items_schema(key)), lambda x: x[key])
 
 
 def matches_first(c, field: str = "department", value: str = "Directing",
@@ -122,11 +129,17 @@ def matches_first(c, field: str = "department", value: str = "Directing",
 
 
 def parse_bracket_list(c) -> Column:
-    """``[A, B]`` text -> ``['A', 'B']``: drop the outer brackets, split on commas,
-    trim blanks and one layer of quotes, drop empty items (``[]`` -> ``[]``)."""
+    """List text of a stored table -> array of texts.
+
+    JSON text (what ``sources.writers.to_store_text`` writes) is read as JSON,
+    so names with commas, quotes or backslashes survive. The unquoted form
+    ``[A, B]`` is split: drop the outer brackets, split on commas, trim blanks
+    and one layer of quotes, drop empty items (``[]`` -> ``[]``).
+    """
     c = _c(c)
+    json = F.from_json(c, T.ArrayType(T.StringType()))
     inner = c.substr(F.lit(2), F.length(c) - F.lit(2))
-    parts = F.transform(
+    parts = F.filter(F.transform(
         F.split(inner, ","),
-        lambda x: F.regexp_replace(F.trim(x), r"^(['\"])(.*)\1$", "$2"))
-    return F.filter(parts, lambda x: x != F.lit(""))
+        lambda x: F.regexp_replace(F.trim(x), r"^(['\"])(.*)\1$", "$2")), lambda x: x != F.lit(""))
+    return F.coalesce(F.when(c.rlike(r'^\s*\[\s*("|\])'), json), parts)

@@ -1,10 +1,15 @@
 """Profit arithmetic and order-independent sums / means.
 
 Floating-point sums depend on the order rows are added, which on a cluster
-depends on partitioning. Money and ratings carry few decimals, so they are
-summed as decimals (exact, any order) and only the final value is cast to
-double. A mean is then ``double(exact sum) / count`` -- one IEEE division of
-exact operands, so equal true means compare equal (ties are found exactly).
+depends on partitioning. Values are therefore summed as wide decimals (exact,
+any order) and only the final value is cast to double. A mean is then
+``double(exact sum) / count`` -- one IEEE division, so equal true means
+compare equal (ties are found exactly).
+
+A value is taken as its shortest decimal form (what it prints as). One that
+does not fit the decimal -- too large, too fine, NaN or infinite -- raises, and
+so does a sum that outgrows it; nothing is rounded or left out, with ANSI mode
+on or off.
 """
 
 from __future__ import annotations
@@ -12,6 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Decimal digits after the point; 38 - SCALE digits remain before it.
+SCALE = 18
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -27,15 +35,42 @@ def profit_percentage(profit_col="profit", budget="budget") -> Column:
     return F.try_divide(_c(profit_col), _c(budget)) * F.lit(100.0)
 
 
-def exact_sum(c, scale: int = 4, precision: int = 18) -> Column:
-    """Sum of a column with at most ``scale`` decimals, exact, as double.
+def exact_decimal(c, scale: int = SCALE) -> Column:
+    """The value as ``decimal(38, scale)``; raises if it does not survive the cast."""
+    c = _c(c)
+    wide = c.try_cast(f"decimal(38,{scale})")
+    fits = wide.isNotNull() & (wide.cast("double") == c.cast("double"))
+    return F.when(c.isNull() | fits, wide).otherwise(F.raise_error(F.concat(
+        F.lit(f"value does not fit decimal(38,{scale}): "), c.cast("string"))))
+
+
+def exact_total(c) -> Column:
+    """Sum of a decimal column; raises on overflow instead of giving NULL."""
+    c = _c(c)
+    total = F.try_sum(c)
+    return F.when(total.isNotNull() | (F.count(c) == 0), total).otherwise(
+        F.raise_error(F.lit("sum does not fit a 38-digit decimal")))
+
 
-    Values are cast to ``decimal(precision, scale)``; Spark widens the sum
-    buffer by 10 digits, so up to 10^10 rows of 10^14 fit without overflow.
-    """
-    return F.sum(_c(c).cast(f"decimal({precision},{scale})")).cast("double")
+def exact_sum(c, scale: int = SCALE) -> Column:
+    """Sum of a column, exact, as double."""
+    return exact_total(exact_decimal(c, scale)).cast("double")
 
 
-def exact_mean(c, scale: int = 4, precision: int = 18) -> Column:
+def exact_mean(c, scale: int = SCALE) -> Column:
     """Mean ignoring NULLs (like ``avg``), from an exact decimal sum."""
-    return F.try_divide(exact_sum(c, scale, precision), F.count(_c(c)).cast("double"))
+    return F.try_divide(exact_sum(c, scale), F.count(_c(c)).cast("double"))
+
+
+def exact_sum_sql(x: str, scale: int = SCALE) -> str:
+    """SQL text of ``exact_sum`` over the SQL expression ``x``."""
+    kind = f"DECIMAL(38,{scale})"
+    value = (f"CASE WHEN ({x}) IS NULL OR CAST(try_cast(({x}) AS {kind}) AS DOUBLE) = "
+             f"CAST(({x}) AS DOUBLE) THEN try_cast(({x}) AS {kind}) ELSE "
+             f"raise_error(concat('value does not fit {kind}: ', CAST(({x}) AS STRING))) END")
+    return (f"CAST(CASE WHEN try_sum({value}) IS NOT NULL OR count({x}) = 0 THEN try_sum({value}) "
+            "ELSE raise_error('sum does not fit a 38-digit decimal') END AS DOUBLE)")
+
+
+def exact_mean_sql(x: str, scale: int = SCALE) -> str:
+    return f"try_divide({exact_sum_sql(x, scale)}, CAST(COUNT({x}) AS DOUBLE))"

@@ -10,8 +10,7 @@ question from the tables, write CSV results.
         --ratings wh/ratings --out out/directors --n 5 --width 10
     ... genres | top-genres | companies | profit-month | profit-months-ranked |
         votes-trend | movies-trend | longest-running  (--catalog, --out)
-    python -m cinelens.jobs stream-average-ratings --source incoming/ratings/ \
-        --catalog wh/movies_etl --out wh/avg_ratings_live   # incremental P3
+    python -m cinelens.jobs ingest-movies --csv movies_metadata.csv --out wh/movies   # all 24 columns
 
 Every job is one Spark action. Tables are parquet paths or catalog tables
 (``--table`` / ``--buckets`` on the ingest and average jobs store a table
@@ -26,6 +25,8 @@ import argparse
 import sys
 
 from . import plans as P
+from .operators import dedup_by_key
+from .schemas import RAW_MOVIE_KEYS
 from .session import get_session
 from .sources import (read_catalog_csv, read_credits_csv, read_ratings_csv, write_csv,
                       write_keyed_table)
@@ -39,7 +40,7 @@ def _load(spark, ref: str):
 
 
 def _keyed(df, a, keys, **kw):
-    write_keyed_table(df, a.out, keys, table=a.table, buckets=a.buckets, **kw)
+    write_keyed_table(df, a.out, keys, table=a.table, buckets=a.buckets, mode=a.mode, **kw)
 
 
 def _catalog_report(fn, single=True):
@@ -48,12 +49,33 @@ def _catalog_report(fn, single=True):
     return run
 
 
+def _read_catalog(spark, a):
+    return read_catalog_csv(spark, a.csv, multi_line=not a.single_line)
+
+
+def _report_unread(df, cols):
+    """Print how many list texts could not be read (they become NULL)."""
+    r = P.parse_report(df, cols).first()
+    for c in cols:
+        print(f"{c}: {r[c + '_rows']} texts, {r[c + '_failed']} could not be read")
+
+
 def _ingest_catalog(spark, a):
-    _keyed(P.clean_catalog(read_catalog_csv(spark, a.csv)), a, ["id"])
+    raw = _read_catalog(spark, a)
+    _keyed(P.clean_catalog(raw), a, ["id"])
+    _report_unread(raw, ["genres", "production_companies"])
+
+
+def _ingest_movies(spark, a):
+    raw = _read_catalog(spark, a)
+    _keyed(P.raw_movies(raw), a, list(RAW_MOVIE_KEYS), assume_unique=True)
+    _report_unread(raw, ["genres", "production_companies"])
 
 
 def _ingest_credits(spark, a):
-    _keyed(P.clean_credits(read_credits_csv(spark, a.csv)), a, ["id"])
+    raw = read_credits_csv(spark, a.csv, multi_line=not a.single_line)
+    _keyed(P.clean_credits(raw), a, ["id"])
+    _report_unread(raw, ["cast", "crew"])
 
 
 def _ingest_ratings(spark, a):
@@ -63,8 +85,9 @@ def _ingest_ratings(spark, a):
 
 
 def _average_ratings(spark, a):
-    avg = P.avg_ratings_with_title_year(_load(spark, a.ratings), _load(spark, a.catalog))
-    # one row per film by construction (aggregate on it, joined to keyed films)
+    # raw films may repeat an id (their key is id and imdb_id): one row per id first
+    avg = P.avg_ratings_with_title_year(_load(spark, a.ratings), _load(spark, a.catalog),
+                                        films_keyed=False)
     _keyed(avg, a, ["movieid"], assume_unique=True)
 
 
@@ -72,19 +95,10 @@ def _top_rated(spark, a):
     write_csv(P.top_rated_per_decade(_load(spark, a.avg_ratings)), a.out, header=a.header)
 
 
-def _stream_average_ratings(spark, a):
-    from .streaming import start_average_ratings
-    films = _load(spark, a.catalog) if a.catalog else None
-    q = start_average_ratings(spark, a.source, a.out, checkpoint_path=a.checkpoint,
-                              file_format=a.format, films=films,
-                              available_now=not a.continuous)
-    q.awaitTermination()
-
-
 def _directors(spark, a):
     credits = P.directors_of(_load(spark, a.credits), job=a.job)
-    df = P.director_films(_load(spark, a.catalog), None, _load(spark, a.ratings),
-                          title=a.title, directors=credits)
+    films = dedup_by_key(_load(spark, a.catalog).select("id", a.title, "release_date"), ["id"])
+    df = P.director_films(films, None, _load(spark, a.ratings), title=a.title, directors=credits)
     anchor = a.anchor if a.anchor in ("min", "calendar") else int(a.anchor)
     top = P.top_directors_per_window(df, n=a.n, width=a.width, anchor=anchor)
     write_csv(top, a.out, partition_by="window", header=a.header)
@@ -92,12 +106,12 @@ def _directors(spark, a):
 
 JOBS = {
     "ingest-catalog": (_ingest_catalog, ["csv"]),
+    "ingest-movies": (_ingest_movies, ["csv"]),
     "ingest-credits": (_ingest_credits, ["csv"]),
     "ingest-ratings": (_ingest_ratings, ["csv"]),
     "average-ratings": (_average_ratings, ["catalog", "ratings"]),
     "top-rated": (_top_rated, ["avg_ratings"]),
     "directors": (_directors, ["catalog", "credits", "ratings"]),
-    "stream-average-ratings": (_stream_average_ratings, ["source"]),
     "genres": (_catalog_report(P.genre_counts_by_decade, single=False), ["catalog"]),
     "top-genres": (_catalog_report(lambda f: P.top_genre_per_decade(P.genre_counts_by_decade(f))
                                    .orderBy("decade", "genre")), ["catalog"]),
@@ -121,16 +135,14 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--out", required=True)
         p.add_argument("--header", action="store_true")
         if name.startswith("ingest-") or name == "average-ratings":
+            p.add_argument("--mode", choices=("error", "upsert", "overwrite"), default="error",
+                           help="what to do with a table that is already there")
             p.add_argument("--table", default=None, help="also register as this catalog table")
             p.add_argument("--buckets", type=int, default=None,
                            help="bucket the table on its key (needs --table)")
-        if name == "stream-average-ratings":
-            p.add_argument("--catalog", default=None, help="keyed films: add title and year")
-            p.add_argument("--checkpoint", default=None,
-                           help="offsets and state (default: under spark.checkpoint.dir)")
-            p.add_argument("--format", default="csv", help="format of the arriving rating files")
-            p.add_argument("--continuous", action="store_true",
-                           help="keep running (one micro-batch a minute) instead of draining once")
+        if name in ("ingest-catalog", "ingest-movies", "ingest-credits"):
+            p.add_argument("--single-line", action="store_true",
+                           help="no field holds a line break: large files are read by many tasks")
         if name == "directors":
             p.add_argument("--n", type=int, default=5)
             p.add_argument("--width", type=int, default=10)

@@ -3,16 +3,12 @@ same operator runs on the film files and on any table with the same roles."""
 
 from .aggregates import (category_counts, collect_titles, explode_list,
                          longest_by, mean_by_key, trend)
-from .columns import with_decade, with_profit, with_window, with_year_month
 from .dedup import dedup_by_key
 from .filters import keep_valid, null_audit
-from .joins import join_on
-from .materialize import materialize
 from .ranking import top_n_per_group, top_per_group
 
 __all__ = [
     "category_counts", "collect_titles", "explode_list", "longest_by",
     "mean_by_key", "trend", "dedup_by_key", "keep_valid", "null_audit",
-    "join_on", "materialize", "top_n_per_group", "top_per_group", "with_decade", "with_profit",
-    "with_window", "with_year_month",
+    "top_n_per_group", "top_per_group",
 ]

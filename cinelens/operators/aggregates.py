@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import exact_mean
+from ..functions.money import SCALE, exact_mean
 
 
 def _list(x):
@@ -18,7 +18,7 @@ def _list(x):
 
 
 def mean_by_key(df: DataFrame, key, value: str, alias: str = "average",
-                scale: int = 4) -> DataFrame:
+                scale: int = SCALE) -> DataFrame:
     """Mean of ``value`` per key, NULLs ignored, exact (decimal) accumulation."""
     return df.groupBy(*_list(key)).agg(exact_mean(value, scale).alias(alias))
 
@@ -41,11 +41,14 @@ def longest_by(df: DataFrame, key: str, value: str, title: str, also_max=(),
     (equal values -> the smallest title, so the answer is deterministic) and
     independent maxima of the ``also_max`` columns.
 
-    The arg-max is ``min(struct(-value, title))`` -- an ordinary aggregate, so
-    it is combined map-side like ``max``.
+    A NULL title only wins if no row with that value has one; NULL values rank
+    below all others, so a key without any value still names its smallest title.
+
+    The arg-max is the ``min`` of a struct -- an ordinary aggregate, so it is
+    combined map-side like ``max``.
     """
-    pick = F.min(F.when(F.col(value).isNotNull(),
-                        F.struct((-F.col(value)).alias("k"), F.col(title).alias("t"))))
+    pick = F.min(F.struct(F.col(value).isNull().alias("u"), (-F.col(value)).alias("k"),
+                          F.col(title).isNull().alias("n"), F.col(title).alias("t")))
     aggs = [pick["t"].alias(title), F.max(value).alias(value)]
     aggs += [F.max(c).alias(c) for c in _list(also_max)]
     out = df.groupBy(key).agg(*aggs)
@@ -69,9 +72,9 @@ def collect_titles(df: DataFrame, key: str, title: str, alias: str = "titles",
                    sep: str = ",") -> DataFrame:
     """Per key: the distinct titles, sorted, joined with ``sep``.
 
-    ``collect_set`` is aggregated map-side too: each task sends one
-    de-duplicated set per key, so repeats never cross the shuffle; only the
-    output value itself (one text per key) is assembled in one place.
+    Repeats are dropped in long form first (one row per key and title, spread
+    over both); only the output value itself (one text per key) is assembled in
+    one place.
     """
-    return (df.where(F.col(title).isNotNull()).groupBy(key)
-              .agg(F.array_join(F.array_sort(F.collect_set(title)), sep).alias(alias)))
+    rows = df.where(F.col(title).isNotNull()).select(key, title).distinct()
+    return rows.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(title)), sep).alias(alias))

@@ -42,7 +42,11 @@ def top_per_group(df: DataFrame, group, value: str, broadcast_best: bool = False
     on AQE to measure the maxima before the rows' shuffle would run.
     """
     keys = _list(group)
-    best = (df.groupBy(*keys).agg(F.max(value).alias("_best"))
+    # the maximum is taken over whole rows (value first), so both branches read the same columns
+    # and Spark can reuse what lies below them
+    rest = [c for c in df.columns if c not in keys and c != value]
+    whole = F.max(F.when(F.col(value).isNotNull(), F.struct(value, *rest)))
+    best = (df.groupBy(*keys).agg(whole[value].alias("_best"))
               .select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], "_best"))
     if broadcast_best:
         best = F.broadcast(best)

@@ -1,6 +1,6 @@
 """The business questions, each a lazy DataFrame built from operators."""
 
-from .catalog import clean_catalog, clean_credits, parse_report
+from .catalog import clean_catalog, clean_credits, parse_report, raw_movies
 from .companies import company_profit_by_decade, profit_percentage, top_company_per_decade
 from .directors import (director_films, director_scores_by_window, directors_of,
                         filmography, filmography_rows, top_directors_per_window)
@@ -11,7 +11,7 @@ from .reports import row_counts, year_span
 from .trends import longest_per_language, releases_by_decade, votes_by_decade
 
 __all__ = [
-    "clean_catalog", "clean_credits", "parse_report", "company_profit_by_decade",
+    "clean_catalog", "clean_credits", "parse_report", "raw_movies", "company_profit_by_decade",
     "profit_percentage", "top_company_per_decade", "director_films",
     "director_scores_by_window", "directors_of", "filmography", "filmography_rows",
     "top_directors_per_window", "genre_counts_by_decade", "top_genre_per_decade",

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..functions.literals import items_schema, parse_names, parse_pylist
 from ..operators.dedup import dedup_by_key
 from ..operators.filters import keep_valid
-from ..schemas import CATALOG_COLUMNS
+from ..schemas import CATALOG_COLUMNS, RAW_MOVIE_COLUMNS, RAW_MOVIE_KEYS
 
 
 def clean_catalog(df: DataFrame, columns=CATALOG_COLUMNS, genres: str = "genres",
@@ -37,6 +37,12 @@ def clean_catalog(df: DataFrame, columns=CATALOG_COLUMNS, genres: str = "genres"
     return dedup_by_key(out, [key])
 
 
+def raw_movies(df: DataFrame, columns=RAW_MOVIE_COLUMNS, keys=RAW_MOVIE_KEYS) -> DataFrame:
+    """All catalog columns as they come, one row per (id, imdb_id); rows without a full key go."""
+    cols = [c for c in columns if c in df.columns]
+    return dedup_by_key(keep_valid(df.select(*cols), not_null=list(keys), not_equal={}), list(keys))
+
+
 def clean_credits(df: DataFrame, key: str = "id") -> DataFrame:
     """Credits with cast, crew and id present and neither list empty; one row per id."""
     out = keep_valid(df, not_null=["cast", "crew", key],
@@ -51,12 +57,14 @@ def parse_report(df: DataFrame, cols, key: str = "name") -> DataFrame:
 
     A single global aggregate, combined map-side.
     """
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    # One number per text, so that each text is read once: its items, or -1 if it cannot be read.
+    items = df.select(*[F.when(F.col(c).isNotNull(), F.coalesce(
+        F.size(parse_pylist(c, items_schema(key))), F.lit(-1))).alias(f"_{i}")
+        for i, c in enumerate(cols)])
     aggs = []
-    for c in ([cols] if isinstance(cols, str) else cols):
-        parsed = parse_pylist(c, items_schema(key))
-        aggs += [F.count(c).alias(f"{c}_rows"),
-                 F.count(F.when(F.col(c).isNotNull() & parsed.isNull(), 1)).alias(f"{c}_failed"),
-                 # size() only of parsed lists: with ANSI off size(NULL) is -1, not NULL
-                 F.coalesce(F.sum(F.when(parsed.isNotNull(), F.size(parsed))), F.lit(0))
-                  .cast("long").alias(f"{c}_items")]
-    return df.agg(*aggs)
+    for i, c in enumerate(cols):
+        n = F.col(f"_{i}")
+        aggs += [F.count(n).alias(f"{c}_rows"), F.count_if(n < 0).alias(f"{c}_failed"),
+                 F.coalesce(F.sum(F.greatest(n, F.lit(0))), F.lit(0)).cast("long").alias(f"{c}_items")]
+    return items.agg(*aggs)

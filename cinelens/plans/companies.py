@@ -37,7 +37,7 @@ def company_profit_by_decade(films: DataFrame, companies: str = "production_comp
           .select(F.explode(names).alias("production_companies"),
                   decade_label(year_in(films, date)).alias("decade"), "profit"))
     return df.groupBy("production_companies", "decade").agg(
-        exact_sum("profit", scale=4).alias("profit"))
+        exact_sum("profit").alias("profit"))
 
 
 def top_company_per_decade(by_company: DataFrame) -> DataFrame:

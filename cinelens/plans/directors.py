@@ -14,14 +14,16 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import window_label, window_start, year_in
 from ..functions.literals import matches_first
+from ..functions.money import exact_decimal, exact_total
 from ..operators.aggregates import collect_titles
-from ..operators.materialize import materialize
 from ..operators.ranking import top_n_per_group
 from .ratings import avg_rating_per_film
 
-# Scores are means of film means (doubles); they are compared and reported at
-# this many decimals so that ranking does not depend on summation order.
-SCORE_DIGITS = 9
+#: Film means are summed as decimals with this many digits after the point (14 before it),
+#: so scores do not depend on summation order and are never rounded.
+SCORE_SCALE = 24
+#: Winners are hinted as a broadcast only up to this many per window.
+BROADCAST_N = 1000
 
 
 def directors_of(credits: DataFrame, crew: str = "crew", key: str = "id",
@@ -60,7 +62,8 @@ def director_scores_by_window(df: DataFrame, width: int = 10, anchor="min") -> D
     """
     per_year = (df.where(F.col("year").isNotNull())
                   .groupBy("year", "director_name")
-                  .agg(F.sum("ratings").alias("_sum"), F.count("ratings").alias("_n")))
+                  .agg(exact_total(exact_decimal("ratings", SCORE_SCALE)).alias("_sum"),
+                       F.count("ratings").alias("_n")))
     # The anchor is read from the per-(year, director) aggregate's own outputs
     # (a year with rated films), so the subquery reuses that aggregate's
     # shuffle instead of re-running the joins underneath it.
@@ -71,7 +74,7 @@ def director_scores_by_window(df: DataFrame, width: int = 10, anchor="min") -> D
         a = F.lit(0 if anchor == "calendar" else int(anchor))
     w = per_year.withColumn("window_start", window_start("year", a, width))
     out = w.groupBy("window_start", "director_name").agg(
-        F.round(F.sum("_sum") / F.sum("_n"), SCORE_DIGITS).alias("ratings"))
+        F.try_divide(exact_total("_sum").cast("double"), F.sum("_n").cast("double")).alias("ratings"))
     return out.select(window_label("window_start", width).alias("window"),
                       "window_start", "director_name", "ratings")
 
@@ -96,32 +99,25 @@ def filmography_rows(df: DataFrame, directors: DataFrame | None = None) -> DataF
 
 
 def top_directors_per_window(df: DataFrame, n: int = 5, width: int = 10,
-                             anchor="min", materialize_input: bool = True) -> DataFrame:
+                             anchor="min") -> DataFrame:
     """(window, rank, director_name, movies_directed, ratings): the ``n`` best
     directors of each window (equal scores -> lower name first), each with the
     titles of their whole career.
 
     Only the winners' films are collected: the film rows are semi-joined to the
-    (at most n per window) winners before the per-director title lists are
-    built. The per-film rows feed three branches (scores, window anchor,
-    title lists); with ``materialize_input`` (default) they are written once to
-    the shared checkpoint folder, so the credits are parsed once rather than
-    once per branch (one job runs when this is called).
+    (at most n per window) winners, kept in long form (one row per director
+    and title) and turned into text last. A winner without any titled film has
+    an empty list.
     """
-    if materialize_input:
-        df = materialize(df)
     top = top_n_per_group(director_scores_by_window(df, width, anchor), "window_start", "ratings", n,
                           tie_break="director_name")
-    # The winners are at most n rows per window, and there are at most
-    # (year span / width + 1) windows: a size bound by construction, so they
-    # are broadcast outright. Without the hint the semi-join is planned as a
-    # sort-merge join and every film row is shuffled by director before AQE can
-    # measure the winners -- a director with a third of all films would land
-    # in one task. Broadcast, the film rows are filtered where they are and
-    # only the winners' rows reach the per-director title sets.
-    winners = F.broadcast(top.select("director_name").distinct())
+    # At most n rows per window, and at most (year span / width + 1) windows. While n is small this
+    # is hinted as a broadcast, so the film rows are filtered where they are; else AQE decides.
+    hint = F.broadcast if n <= BROADCAST_N else (lambda d: d)
+    winners = hint(top.select("director_name").distinct())
     rated = df.where(F.col("ratings").isNotNull())  # same rated-film rows as the scores
     titles = filmography(rated.join(winners, "director_name", "left_semi"))
     # ``rank`` carries the order inside each window; no global sort of the result
-    return F.broadcast(top).join(titles, "director_name").select(
-        "window", "rank", "director_name", "movies_directed", "ratings")
+    return top.join(titles, "director_name", "left").select(
+        "window", "rank", "director_name",
+        F.coalesce("movies_directed", F.lit("")).alias("movies_directed"), "ratings")

@@ -18,7 +18,7 @@ def avg_rating_per_film(ratings: DataFrame, key: str = "movieid", value: str = "
     Grain of ``ratings`` is one row per (user, film); nothing is collapsed
     before averaging.
     """
-    return mean_by_key(ratings.where(F.col(value).isNotNull()), key, value, alias, scale=4)
+    return mean_by_key(ratings.where(F.col(value).isNotNull()), key, value, alias)
 
 
 def avg_ratings_with_title_year(ratings: DataFrame, films: DataFrame, key: str = "movieid",

@@ -11,8 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.money import exact_mean_sql, exact_sum_sql
+
 AVG_PROFIT_BY_YEAR_MONTH = """
-SELECT try_divide(CAST(SUM(CAST(revenue - budget AS DECIMAL(18,4))) AS DOUBLE),
+SELECT try_divide(""" + exact_sum_sql("revenue - budget") + """,
                   CAST(COUNT(id) AS DOUBLE)) AS average_profit,
        year(release_date) AS year,
        month(release_date) AS month
@@ -24,8 +26,7 @@ ORDER BY year DESC, month
 """
 
 VOTES_BY_DECADE = """
-SELECT try_divide(CAST(SUM(CAST(vote_count AS DECIMAL(18,4))) AS DOUBLE),
-                  CAST(COUNT(vote_count) AS DOUBLE)) AS votes,
+SELECT """ + exact_mean_sql("vote_count") + """ AS votes,
        CAST(year(release_date) - pmod(year(release_date), 10) AS INT) AS decade
 FROM {films}
 GROUP BY 2
@@ -41,7 +42,7 @@ ORDER BY decades NULLS FIRST
 """
 
 LONGEST_PER_LANGUAGE = """
-SELECT min(IF(runtime IS NULL, NULL, named_struct('k', -runtime, 't', title))).t AS title,
+SELECT min(named_struct('u', runtime IS NULL, 'k', -runtime, 'n', title IS NULL, 't', title)).t AS title,
        max(popularity) AS popular,
        original_language AS language,
        max(runtime) AS max_runtime
@@ -54,8 +55,7 @@ ORDER BY max_runtime DESC NULLS LAST, language
 AVG_RATINGS_WITH_TITLE_YEAR = """
 SELECT r.movieid, f.title, year(f.release_date) AS year_of_release, r.average_rating
 FROM (SELECT movieid,
-             try_divide(CAST(SUM(CAST(ratings AS DECIMAL(18,4))) AS DOUBLE),
-                        CAST(COUNT(ratings) AS DOUBLE)) AS average_rating
+             """ + exact_mean_sql("ratings") + """ AS average_rating
       FROM {ratings}
       WHERE ratings IS NOT NULL
       GROUP BY movieid) r

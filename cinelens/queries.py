@@ -3,6 +3,8 @@ over the driver tables seen as film data (see ``sources.fixtures``)."""
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from .operators.filters import null_audit as _null_audit
 from .sources import fixtures as fx
 from .sources.readers import read_table
 from .sources.writers import to_store_text
+from .functions.dates import decade_start, month_in, year_in
 from .functions.literals import parse_names
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -21,6 +24,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 # Columns of the cleaned catalog the driver tables can supply (no
 # production_countries / vote_average there).
+PROFIT_YEARS = (2000, 2019)
+
 FIXTURE_CATALOG = ("budget", "genres", "id", "original_language", "popularity",
                    "production_companies", "release_date", "revenue", "runtime",
                    "title", "vote_count")
@@ -42,6 +47,28 @@ def catalog_parse_report(spark, d):
     return P.parse_report(f, ["genres_text", "production_companies"])
 
 
+def parse_report_with_failures(spark, d):
+    """The same report over genre texts of which some are cut short (every order whose number of
+    lines is even loses the closing bracket): those must be counted, not read."""
+    f = fx.films(spark, d, ["genres_text", "vote_count"])
+    cut = F.expr("substr(genres_text, 1, length(genres_text) - 1)")
+    return P.parse_report(f.select(F.when(F.col("vote_count") % 2 == 0, cut).otherwise(
+        F.col("genres_text")).alias("genres_text")), ["genres_text"])
+
+
+def text_date_parts(spark, d):
+    """Year, month and calendar decade of release dates held as yyyy-mm-dd text, per film."""
+    f = fx.films(spark, d, ["id", "release_date"]).withColumn("release_date", F.col("release_date").cast("string"))
+    return f.select("id", year_in(f, "release_date").alias("year"), month_in(f, "release_date").alias("month"),
+                    decade_start(year_in(f, "release_date")).alias("decade"))
+
+
+def titles_by_popularity(spark, d):
+    """Titles and runtimes of the films, ordered by a column that is not among those returned."""
+    f = fx.films(spark, d, ["id", "title", "runtime", "popularity"])
+    return f.orderBy(F.desc_nulls_last("popularity"), "id").select("title", "runtime")
+
+
 def clean_credits(spark, d):
     return P.clean_credits(fx.credits(spark, d))
 
@@ -98,8 +125,8 @@ def top_genre_per_decade(spark, d):
     return P.top_genre_per_decade(genre_counts_by_decade(spark, d))
 
 
-def _money_films(spark, d, extra=()):
-    return fx.films(spark, d, ["id", "title", "release_date", "budget", "revenue", *extra])
+def _money_films(spark, d, extra=(), years=None):
+    return fx.films(spark, d, ["id", "title", "release_date", "budget", "revenue", *extra], years)
 
 
 def company_profit_by_decade(spark, d):
@@ -115,11 +142,11 @@ def profit_percentage(spark, d):
 
 
 def avg_profit_by_year_month(spark, d):
-    return P.avg_profit_by_year_month(_money_films(spark, d))
+    return P.avg_profit_by_year_month(_money_films(spark, d, years=PROFIT_YEARS))
 
 
 def month_ranking(spark, d):
-    return P.month_ranking(_money_films(spark, d))
+    return P.month_ranking(_money_films(spark, d, years=PROFIT_YEARS))
 
 
 def votes_by_decade(spark, d):
@@ -164,10 +191,15 @@ def filmography(spark, d):
     return P.filmography(_director_films(spark, d))
 
 
+def _tag(d: str) -> str:
+    """Part of a view name: one per folder, so two scales can be built at the same time."""
+    return f"{zlib.crc32(d.encode()):08x}"
+
+
 def _films_view(spark, d, cols, name):
     # one view per query: spark.sql resolves the view when called, so queries
     # built concurrently on one session never see each other's view
-    return S.register_films(fx.films(spark, d, cols), f"cinelens_films_{name}")
+    return S.register_films(fx.films(spark, d, cols), f"cinelens_films_{name}_{_tag(d)}")
 
 
 def avg_profit_by_year_month_sql(spark, d):
@@ -194,7 +226,7 @@ def filmography_rows(spark, d):
 
 def avg_ratings_with_title_year_sql(spark, d):
     films = _films_view(spark, d, ["id", "title", "release_date"], "avg")
-    ratings = S.register_films(fx.ratings(spark, d), "cinelens_ratings_avg")
+    ratings = S.register_films(fx.ratings(spark, d), f"cinelens_ratings_avg_{_tag(d)}")
     return S.avg_ratings_with_title_year(spark, ratings, films)
 
 
@@ -206,6 +238,9 @@ QUERIES = {
     "clean_catalog": clean_catalog,
     "clean_credits": clean_credits,
     "catalog_parse_report": catalog_parse_report,
+    "parse_report_with_failures": parse_report_with_failures,
+    "text_date_parts": text_date_parts,
+    "titles_by_popularity": titles_by_popularity,
     "dedup_by_key": dedup_by_key,
     "null_audit": null_audit,
     "parse_names_exploded": parse_names_exploded,

@@ -54,6 +54,10 @@ CATALOG_COLUMNS = (
     "runtime", "title", "vote_average", "vote_count",
 )
 
+# The raw movies table: every CSV column, keyed by (id, imdb_id).
+RAW_MOVIE_COLUMNS = tuple(MOVIES_CSV.fieldNames())
+RAW_MOVIE_KEYS = ("id", "imdb_id")
+
 # Element schemas of the list-of-dict text columns, read by ``from_json``.
 NAMED_ITEM = T.ArrayType(T.StructType([
     T.StructField("id", T.LongType()),

@@ -1,11 +1,10 @@
 """Readers, writers and the driver-table adapter."""
 
 from .readers import (read_catalog_csv, read_credits_csv, read_csv,
-                      read_ratings_csv, read_table, register_views)
+                      read_ratings_csv, read_table)
 from .writers import to_store_text, write_csv, write_keyed_table
 
 __all__ = [
     "read_catalog_csv", "read_credits_csv", "read_csv", "read_ratings_csv",
-    "read_table", "register_views", "to_store_text", "write_csv",
-    "write_keyed_table",
+    "read_table", "to_store_text", "write_csv", "write_keyed_table",
 ]

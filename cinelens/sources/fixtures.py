@@ -53,14 +53,23 @@ def _pylist(items, render) -> "F.Column":
     return F.concat(F.lit("["), F.array_join(F.transform(items, render), ", "), F.lit("]"))
 
 
-def films(spark: SparkSession, sf_dir: str, columns=FILM_COLUMNS) -> DataFrame:
+def films(spark: SparkSession, sf_dir: str, columns=FILM_COLUMNS, years=None) -> DataFrame:
     """One row per order, with the requested film columns (see module doc);
-    only the tables those columns come from are read and joined."""
+    only the tables those columns come from are read and joined.
+
+    Numbers and lists are built in branches of their own: the numbers are
+    aggregated without meeting a dimension table, and the lists carry only keys
+    through their joins. ``years`` (start, end) keeps orders of start <= year <
+    end; their lines are then picked by a semi-join before any aggregate.
+    """
     cols = list(columns)
     unknown = set(cols) - set(FILM_COLUMNS)
     if unknown:
         raise ValueError(f"unknown film columns: {sorted(unknown)}")
     o = _read(spark, sf_dir, "orders")
+    if years:
+        start, end = (F.lit(f"{int(y):04d}-01-01").cast("timestamp_ntz") for y in years)
+        o = o.where((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end))
     base = o.select(
         F.col("o_orderkey").alias("id"),
         F.concat(F.lit("Order#"), F.col("o_orderkey").cast("string")).alias("title"),
@@ -71,32 +80,34 @@ def films(spark: SparkSession, sf_dir: str, columns=FILM_COLUMNS) -> DataFrame:
     need_lines = any(c in cols for c in LINE_COLUMNS)
     need_genres = any(c in cols for c in GENRE_COLUMNS)
     need_comp = any(c in cols for c in COMPANY_COLUMNS)
-    if not (need_lines or need_genres or need_comp):
-        return base.select(*cols)
 
-    li = _read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount")
-    aggs = []
+    def lines(*names):
+        li = _read(spark, sf_dir, "lineitem").select("l_orderkey", *names)
+        return li.join(base.select(F.col("id").alias("l_orderkey")), "l_orderkey", "left_semi") if years else li
+
+    df = base
     if need_lines:
         line_rev = (F.col("l_extendedprice").cast("decimal(12,2)")
                     * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")))
-        aggs += [
+        numbers = lines("l_quantity", "l_extendedprice", "l_discount").groupBy("l_orderkey").agg(
             F.sum(line_rev).cast("double").alias("revenue"),
             F.max("l_quantity").cast("int").alias("runtime"),
             F.sum("l_quantity").alias("popularity"),
-            F.count(F.lit(1)).alias("vote_count"),
-        ]
+            F.count(F.lit(1)).alias("vote_count"))
+        df = df.join(numbers.withColumnRenamed("l_orderkey", "_n"), F.col("id") == F.col("_n"), "left")
     if need_genres:
         part = _read(spark, sf_dir, "part").select("p_partkey", "p_type")
-        li = li.join(part, li.l_partkey == part.p_partkey, "left")
-        aggs.append(F.array_sort(F.collect_set("p_type")).alias("_genres"))
+        li = lines("l_partkey")
+        genres = li.join(part, li.l_partkey == part.p_partkey, "left").groupBy("l_orderkey").agg(
+            F.array_sort(F.collect_set("p_type")).alias("_genres"))
+        df = df.join(genres.withColumnRenamed("l_orderkey", "_g"), F.col("id") == F.col("_g"), "left")
     if need_comp:
         sup = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-        li = li.join(sup, li.l_suppkey == sup.s_suppkey, "left")
-        aggs.append(F.array_sort(F.collect_set(
-            F.when(F.col("s_name").isNotNull(), F.struct("s_name", "s_suppkey")))).alias("_comp"))
-    per_order = li.groupBy("l_orderkey").agg(*aggs)
-    df = base.join(per_order, base.id == per_order.l_orderkey, "left")
+        li = lines("l_suppkey")
+        comp = li.join(sup, li.l_suppkey == sup.s_suppkey, "left").groupBy("l_orderkey").agg(
+            F.array_sort(F.collect_set(F.when(F.col("s_name").isNotNull(),
+                                              F.struct("s_name", "s_suppkey")))).alias("_comp"))
+        df = df.join(comp.withColumnRenamed("l_orderkey", "_c"), F.col("id") == F.col("_c"), "left")
 
     derived = {}
     if need_genres:

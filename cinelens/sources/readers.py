@@ -56,8 +56,3 @@ def read_table(spark: SparkSession, base: str, name: str, view: str | None = Non
         df.createOrReplaceTempView(view)
     return df
 
-
-def register_views(frames: dict) -> None:
-    """Register several DataFrames as temp views for SQL text queries."""
-    for name, df in frames.items():
-        df.createOrReplaceTempView(name)

@@ -45,9 +45,14 @@ def write_csv(df: DataFrame, path: str, single: bool = False, partition_by=None,
 
 def write_keyed_table(df: DataFrame, path: str, keys, order=(), keep: str = "first",
                       partition_by=None, assume_unique: bool = False,
-                      table: str | None = None, buckets: int | None = None) -> None:
+                      table: str | None = None, buckets: int | None = None,
+                      mode: str = "error") -> None:
     """Keyed-table write: one row per key (see ``dedup_by_key``), then parquet.
 
+    ``mode`` says what happens to a table that is already there: ``error``
+    (default) refuses, ``upsert`` keeps its rows and replaces those whose key
+    comes again, ``overwrite`` replaces the whole table.
+
     ``assume_unique=True`` skips the de-duplication for inputs unique on the
     key by construction (e.g. the output of a ``groupBy`` on it).
 
@@ -57,22 +62,64 @@ def write_keyed_table(df: DataFrame, path: str, keys, order=(), keep: str = "fir
     first, so each bucket is one file; the de-duplication before it stays
     map-side combined, so a hot key never reaches that step in bulk.
 
-    Overwrite goes through Spark's job commit, so a lost executor's partial
-    output is never visible; re-running the job is idempotent.
+    Writes go through Spark's job commit, so a lost executor's partial output
+    is never visible. An upsert writes the merged rows beside the table and
+    then swaps the folders by rename, so the old rows are never gone before
+    the new ones are complete; replaying it gives the same table.
     """
+    if mode not in ("error", "overwrite", "upsert"):
+        raise ValueError(f"unknown mode {mode!r}")
+    if buckets and not table:
+        raise ValueError("a bucketed table needs a name: bucket specs live in the catalog")
+    spark = df.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
     out = df if assume_unique else dedup_by_key(df, keys, order, keep)
-    if buckets:
-        if not table:
-            raise ValueError("a bucketed table needs a name: bucket specs live in the catalog")
-        (out.repartition(buckets, *keys).write.mode("overwrite")
-            .bucketBy(buckets, *keys).sortBy(*keys)
-            .option("path", path).format("parquet").saveAsTable(table))
+    there = _exists(spark, path)
+    if there and mode == "error":
+        raise FileExistsError(f"{path} is already there: write with mode 'upsert' or 'overwrite'")
+    if there and mode == "upsert":
+        old = spark.read.parquet(path).withColumn("_new", F.lit(False))
+        both = old.unionByName(out.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+        merged = dedup_by_key(both, keys, order=["_new"], keep="last").drop("_new")
+        beside = f"{path.rstrip('/')}.merge"
+        _save(merged, beside, keys, partition_by, f"{table}__merge" if table else None, buckets, "overwrite")
+        _swap(spark, beside, path)
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}__merge")
+            spark.catalog.refreshTable(table)
         return
-    w = out.write.mode("overwrite")
+    _save(out, path, keys, partition_by, table, buckets, "error" if mode == "error" else "overwrite")
+
+
+def _save(out: DataFrame, path: str, keys, partition_by, table, buckets, mode: str) -> None:
+    if buckets:
+        out = out.repartition(buckets, *keys)
+    w = out.write.mode(mode)
+    if buckets:
+        w = w.bucketBy(buckets, *keys).sortBy(*keys)
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     if table:
         w.option("path", path).format("parquet").saveAsTable(table)
     else:
         w.parquet(path)
+
+
+def _hadoop(spark, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _exists(spark, path: str) -> bool:
+    fs, where = _hadoop(spark, path)
+    return fs.exists(where)
+
+
+def _swap(spark, new: str, path: str) -> None:
+    """Put folder ``new`` in the place of ``path``; the old one goes last."""
+    fs, target = _hadoop(spark, path)
+    aside = _hadoop(spark, f"{path.rstrip('/')}.old")[1]
+    fs.delete(aside, True)
+    if not fs.rename(target, aside) or not fs.rename(_hadoop(spark, new)[1], target):
+        raise OSError(f"could not put {new} in the place of {path}")
+    fs.delete(aside, True)

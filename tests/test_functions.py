@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from cinelens.functions import (decade_label, decade_start, first_where, month_of,
+from cinelens.functions import (decade_label, decade_start, month_of,
                                 parse_bracket_list, parse_names, window_label,
                                 window_start, year_of)
 
@@ -66,14 +66,6 @@ def test_parse_names_garbage_is_null_not_error(spark):
     assert one(spark, parse_names("v"), "[{'name': 'x'") is None
 
 
-def test_first_where(spark):
-    crew = ("[{'department': 'Sound', 'job': None, 'name': 'S'}, "
-            "{'department': 'Directing', 'job': 'Director', 'name': 'D1'}, "
-            "{'department': 'Directing', 'job': 'Director', 'name': 'D2'}]")
-    assert one(spark, first_where("v"), crew) == "D1"
-    assert one(spark, first_where("v"), "[{'department': 'Sound', 'name': 'S'}]") is None
-
-
 def test_parse_bracket_list(spark):
     assert one(spark, parse_bracket_list("v"), "[Drama, Comedy]") == ["Drama", "Comedy"]
     assert one(spark, parse_bracket_list("v"), '["Drama","Comedy"]') == ["Drama", "Comedy"]
@@ -81,7 +73,57 @@ def test_parse_bracket_list(spark):
     assert one(spark, parse_bracket_list("v"), "[]") == []
 
 
-def test_parse_names_lenient_spacing(spark):
-    txt = "[{'x':None , 'ok' :True,'name': 'n'}]"
-    assert one(spark, parse_names("v"), txt) is None            # not Python's own spelling
-    assert one(spark, parse_names("v", lenient=True), txt) == ["n"]
+def test_parse_bracket_list_reads_json_text(spark):
+    import json
+    names = ["Sci-Fi, Fantasy", 'He said "x"', "back\\slash", "it's", "tab\t", "]", ""]
+    assert one(spark, parse_bracket_list("v"), json.dumps(names)) == names
+    assert one(spark, parse_bracket_list("v"), '["a", b]') == ["a", "b"]     # not JSON: split
+
+
+def test_stored_lists_come_back_as_written(spark):
+    from cinelens.sources import to_store_text
+    names = ["Sci-Fi, Fantasy", 'He said "x"', "back\\slash", "A"]
+    df = to_store_text(spark.createDataFrame([(names,)], "v array<string>"))
+    assert df.select(parse_bracket_list("v").alias("r")).first()["r"] == names
+
+
+def test_parse_names_python_spellings(spark):
+    for txt, want in [
+            ("[{'x':None , 'ok' :True,'name': 'n'}]", ["n"]),
+            ("""[{'id': 1, 'name': "a': None, b"}]""", ["a': None, b"]),
+            (r"[{'name': 'a\\x41'}]", [r"a\x41"]),                # an escaped backslash before x41
+            ("[{'name':None}]", [None]),
+            ("[None, {'name': 'n'}]", [None, "n"]),
+            ("[{'name': 'n',},]", ["n"]),
+            (r"[{'name': 'a\ab'}]", ["a\x07b"]),
+            (r"[{'name': 'it\'s \"q\" \101 \q'}]", ['it\'s "q" A \\q']),
+            ("[{'name': u'n'}]", ["n"]),
+            (r"[{'name': '\U0001F600 \u00e9'}]", ["\U0001F600 \u00e9"]),
+            ("[{'name': 'n'}] junk", None),
+            ("[{'name': 'n'}", None)]:
+        assert one(spark, parse_names("v"), txt) == want, txt
+
+
+def test_exact_sums_keep_every_digit_or_raise(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from cinelens.functions import exact_mean, exact_sum
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+
+            def value(col, *xs):
+                return spark.createDataFrame([(x,) for x in xs], "v double").select(col).first()[0]
+
+            assert value(exact_mean("v"), 1 / 3, 1e-5) == (1 / 3 + 1e-5) / 2
+            assert value(exact_mean("v"), 2e14, 1.0) == (2e14 + 1) / 2
+            assert value(exact_sum("v"), 0.1, 0.2, None) == 0.3
+            assert value(exact_mean("v"), None) is None
+            for bad in (1e25, 1e-25, float("nan"), float("inf")):
+                with pytest.raises(PySparkException):
+                    value(exact_sum("v"), bad, 1.0)
+            with pytest.raises(PySparkException):  # each value fits, the sum does not
+                value(exact_sum("v"), 9e19, 9e19)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)

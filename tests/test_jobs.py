@@ -143,18 +143,32 @@ def test_jobs_with_bucketed_tables(spark):
             spark.sql(f"DROP TABLE IF EXISTS {t}")
 
 
-def test_stream_average_ratings_job(spark):
-    from cinelens.streaming import read_latest_averages
-    d = tempfile.mkdtemp(prefix="cinelens-jobs-s-")
+def test_raw_movies_keep_every_film(spark, capsys):
+    d = tempfile.mkdtemp(prefix="cinelens-jobs-raw-")
     g, c = "[{'id': 18, 'name': 'Drama'}]", "[{'name': 'Studio A', 'id': 1}]"
-    write(os.path.join(d, "movies.csv"), HEADER, [movie(1, "1994-05-01", "100", "300", g, c)])
-    run(spark, ["ingest-catalog", "--csv", f"{d}/movies.csv", "--out", f"{d}/wh/movies"])
-    os.makedirs(f"{d}/in")
-    write(os.path.join(d, "in", "r1.csv"), ["userid", "movieid", "ratings", "timestamp"],
-          [{"userid": 1, "movieid": 1, "ratings": 4.0, "timestamp": 1},
-           {"userid": 2, "movieid": 1, "ratings": 3.0, "timestamp": 2}])
-    run(spark, ["stream-average-ratings", "--source", f"{d}/in", "--catalog", f"{d}/wh/movies",
-                "--out", f"{d}/wh/live", "--checkpoint", f"{d}/ckpt"])
-    rows = read_latest_averages(spark, f"{d}/wh/live").select(
-        "movieid", "title", "year_of_release", "average_rating").collect()
-    assert [tuple(r) for r in rows] == [(1, "m1", 1994, 3.5)]
+    rows = [movie(1, "1994-05-01", "100", "300", g, c), movie(1, "1994-05-01", "100", "300", g, c),
+            movie(2, "1995-05-01", "0", "0", "[{'id'", c)]
+    rows[1]["imdb_id"] = "other"
+    for r in rows:
+        r["original_title"] = "original " + r["title"]
+    write(os.path.join(d, "movies.csv"), HEADER, rows)
+    crew = "[{'department': 'Directing', 'job': 'Director', 'name': 'Ann'}]"
+    write(os.path.join(d, "credits.csv"), ["cast", "crew", "id"],
+          [{"cast": "[{'name': 'A'}]", "crew": crew, "id": i} for i in (1, 2)])
+    write(os.path.join(d, "ratings.csv"), ["userid", "movieid", "ratings", "timestamp"],
+          [{"userid": 1, "movieid": i, "ratings": 3.0 + i, "timestamp": 1} for i in (1, 2)])
+    wh = os.path.join(d, "wh")
+    run(spark, ["ingest-movies", "--csv", f"{d}/movies.csv", "--out", f"{wh}/movies"])
+    assert "genres: 3 texts, 1 could not be read" in capsys.readouterr().out
+    raw = spark.read.parquet(f"{wh}/movies")
+    assert raw.count() == 3 and len(raw.columns) == 24
+    run(spark, ["ingest-credits", "--csv", f"{d}/credits.csv", "--out", f"{wh}/credits"])
+    run(spark, ["ingest-ratings", "--csv", f"{d}/ratings.csv", "--out", f"{wh}/ratings"])
+    run(spark, ["average-ratings", "--catalog", f"{wh}/movies", "--ratings", f"{wh}/ratings",
+                "--out", f"{wh}/avg"])
+    # one row for the repeated id; the film without budget keeps its average
+    assert sorted((r.movieid, r.average_rating) for r in spark.read.parquet(f"{wh}/avg").collect()) == [
+        (1, 4.0), (2, 5.0)]
+    run(spark, ["directors", "--catalog", f"{wh}/movies", "--credits", f"{wh}/credits", "--ratings",
+                f"{wh}/ratings", "--out", f"{d}/out", "--n", "1", "--title", "original_title"])
+    assert read_out(f"{d}/out") == [("1", "Ann", "original m1,original m2", "4.5")]

@@ -139,6 +139,21 @@ def test_directors_windows_from_min_year(spark):
                    ("1942-1951", 1, "Cy", "t4", 5.0)]
 
 
+def test_winner_without_titles_stays(spark):
+    df = spark.createDataFrame([(1, None, 1990, "X", 5.0), (2, "t", 1991, "Y", 4.0)],
+                               "id long, title string, year int, director_name string, ratings double")
+    got = sorted((r["rank"], r.director_name, r.movies_directed)
+                 for r in P.top_directors_per_window(df, n=2, width=10).collect())
+    assert got == [(1, "X", ""), (2, "Y", "t")]
+
+
+def test_close_scores_are_not_rounded_together(spark):
+    df = spark.createDataFrame([(1, "t", 1990, "B", 4.0 + 1e-12), (2, "u", 1990, "A", 4.0)],
+                               "id long, title string, year int, director_name string, ratings double")
+    top = P.top_directors_per_window(df, n=1, width=10).first()
+    assert (top.director_name, top.ratings) == ("B", 4.0 + 1e-12)
+
+
 def test_year_span_and_row_counts(spark):
     films = spark.createDataFrame([film(1, 1902), film(2, 2017), film(3, None)], FILM_SCHEMA)
     assert tuple(P.year_span(films).first()) == (1902, 2017)
@@ -187,9 +202,9 @@ def test_filmography_rows_match_joined_form(spark):
 
 def test_parse_report_counts_failures(spark):
     df = spark.createDataFrame([("[{'name': 'A'}, {'name': 'B'}]",), ("[]",), ("[{'name': 'x'",),
-                                (None,), ("[{'name':None}]",)], "g string")
+                                (None,), ("[{'name':None}]",), ("[] junk",)], "g string")
     r = P.parse_report(df, ["g"]).first()
-    assert (r.g_rows, r.g_failed, r.g_items) == (4, 2, 2)
+    assert (r.g_rows, r.g_failed, r.g_items) == (5, 2, 3)
 
 
 def test_ratings_join_with_raw_films_dedups_ids(spark):

@@ -76,6 +76,27 @@ def test_keyed_table_upsert_and_store_text(spark):
     assert back == {1: ('["A","B"]', 2.0), 2: ("[]", 3.0)}
 
 
+def test_keyed_write_refuses_merges_and_replays(spark):
+    import pytest
+    path = os.path.join(_scratch(), "t")
+
+    def rows(*data):
+        return spark.createDataFrame(data, "id int, v string")
+
+    def stored():
+        return sorted((r.id, r.v) for r in spark.read.parquet(path).collect())
+
+    write_keyed_table(rows((1, "a"), (2, "b")), path, "id")
+    with pytest.raises(FileExistsError):
+        write_keyed_table(rows((3, "c")), path, "id")
+    assert stored() == [(1, "a"), (2, "b")]
+    for _ in range(2):  # a replayed upsert changes nothing more
+        write_keyed_table(rows((2, "B"), (3, "c")), path, "id", mode="upsert")
+        assert stored() == [(1, "a"), (2, "B"), (3, "c")]
+    write_keyed_table(rows((9, "z")), path, "id", mode="overwrite")
+    assert stored() == [(9, "z")]
+
+
 def test_declared_driver_schemas_match_files(spark):
     from pyspark.sql.types import _parse_datatype_string
     from cinelens.schemas import DRIVER_TABLES
