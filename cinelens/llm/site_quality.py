@@ -88,8 +88,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if n > train_rows:
         known = known.where(F.pmod(F.xxhash64(F.lit(7), "known"), F.lit(1 << 20))
                             < int((1 << 20) * train_rows / n))
+    # at most about train_rows rows of two numbers: bounded, so broadcast outright
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
-        known, F.col("id") == F.col("known")).select("text", "y")
+        F.broadcast(known), F.col("id") == F.col("known")).select("text", "y")
     got = arrow_map(rows, _stats_rows, "x array<double>, y double").toPandas()
     if got["y"].nunique() < 2:
         return None
