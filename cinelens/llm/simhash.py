@@ -99,7 +99,10 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS)
     """
     if not max_bits < segments or segments < 2:
         raise ValueError("the filter needs two segments, and more segments than differing bits")
-    values = prints.select("fp").distinct()
+    # a fixed number of partitions: each value grows into dozens of keys, which partitions merged
+    # by the size of the values alone would not leave room for
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = prints.select("fp").distinct().repartition(parts, "fp")
     starts = range(segments)
 
     def keyed(flips: bool):
