@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cinelens.session import checkpoint_dir
 
@@ -37,12 +38,20 @@ def workers_find_us(spark: SparkSession) -> None:
 
 
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str) -> DataFrame:
+              schema: str | T.StructType) -> DataFrame:
     """``df.mapInArrow``, with the package importable in the workers."""
     workers_find_us(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
+def row_schema(ddl: str, **more: T.DataType) -> T.StructType:
+    """Schema from DDL text plus fields whose types (with any column names) are given."""
+    schema = T.StructType.fromDDL(ddl) if ddl else T.StructType()
+    for name, kind in more.items():
+        schema = schema.add(name, kind)
+    return schema
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     spark = df.sparkSession

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelens.llm.common import arrow_map, blobs, record_batch
+from cinelens.llm.common import arrow_map, blobs, record_batch, row_schema
 
 WINDOW = 10
 #: Most bytes of window text in one broadcast automaton (some forty times that in memory).
@@ -160,6 +160,15 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [_written(original_spans(t, h)) for t, h in zip(texts, hits)]])
 
 
+def item_patterns(benchmark: DataFrame, item_col: str, item_text_col: str) -> tuple[DataFrame, int]:
+    """(window, items) of a benchmark, and the bytes an automaton of them all is held to need."""
+    windows = arrow_map(benchmark.select(F.col(item_col).cast("string").alias("item"),
+                                         F.col(item_text_col).alias("text")),
+                        _item_windows, "item string, window string")
+    total = windows.agg(F.sum(F.octet_length("window") + 32)).first()[0] or 0
+    return windows.groupBy("window").agg(F.collect_set("item").alias("items")), total
+
+
 def scan_benchmark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                    text_col: str = "text", item_col: str = "item_id",
                    item_text_col: str = "text", slice_bytes: int = SLICE_BYTES) -> DataFrame:
@@ -169,14 +178,10 @@ def scan_benchmark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     ``row_key`` tells rows with the same id but another text apart.
     """
     spark = docs.sparkSession
-    windows = arrow_map(benchmark.select(F.col(item_col).cast("string").alias("item"),
-                                         F.col(item_text_col).alias("text")),
-                        _item_windows, "item string, window string")
-    patterns = windows.groupBy("window").agg(F.collect_set("item").alias("items"))
+    patterns, total = item_patterns(benchmark, item_col, item_text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.xxhash64(F.col(id_col), F.col(text_col)).alias("row_key"),
                        F.col(text_col).alias("text"))
-    total = windows.agg(F.sum(F.octet_length("window") + 32)).first()[0] or 0
     if total <= slice_bytes:
         return arrow_map(rows, _scanner(_broadcast(spark, patterns), False), _ROW)
     n_slices = -(-2 * total // slice_bytes)  # about half full each
@@ -184,7 +189,7 @@ def scan_benchmark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     hits = None
     for k in range(n_slices):
         mine = _broadcast(spark, patterns.where(F.col("slice") == k))
-        found = arrow_map(rows, _scanner(mine, True), _ROW)
+        found = arrow_map(rows, _scanner(mine, True), _ROW).dropDuplicates(["doc_id", "row_key"])
         hits = found if hits is None else hits.unionByName(found)
     merged = hits.groupBy("doc_id", "row_key").agg(
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("hit_words")))).alias("hit_words"),
@@ -201,13 +206,35 @@ def _broadcast(spark, patterns: DataFrame):
     return spark.sparkContext.broadcast((uuid.uuid4().hex, rows))
 
 
+def _cleaner(broadcast):
+    """Pass on the rows whose text holds no window."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        auto, sizes, _ = _automaton(broadcast)
+        for batch in batches:
+            clean = []
+            for data in blobs(batch.column(0)):
+                text = (b" " + b" ".join(words_of(data)) + b" ").decode("latin-1")
+                clean.append(not sizes or next(auto.iter(text), None) is None)
+            yield pa.RecordBatch.from_arrays([batch.column(1).filter(pa.array(clean, pa.bool_()))], names=["row"])
+
+    return run
+
+
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
-                    text_col: str = "text", slice_bytes: int = SLICE_BYTES) -> DataFrame:
+                    text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+                    slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """The rows of ``docs`` without any hit word, all columns kept.
 
-    Contaminated rows are few, and their keys are anti-joined by size.
+    With one automaton the rows are filtered where they are; with several slices the keys of
+    contaminated rows are anti-joined.
     """
-    hits = scan_benchmark(docs, benchmark, id_col, text_col, slice_bytes=slice_bytes).where(
+    patterns, total = item_patterns(benchmark, item_col, item_text_col)
+    if total <= slice_bytes:
+        rows = docs.select(F.col(text_col).alias("text"), F.struct("*").alias("row"))
+        kept = arrow_map(rows, _cleaner(_broadcast(docs.sparkSession, patterns)),
+                         row_schema("", row=rows.schema["row"].dataType))
+        return kept.select([F.col("row").getField(c).alias(c) for c in docs.columns])
+    hits = scan_benchmark(docs, benchmark, id_col, text_col, item_col, item_text_col, slice_bytes).where(
         F.size("hit_words") > 0).select(F.col("doc_id").alias("__hit_id"),
                                         F.col("row_key").alias("__hit_key")).distinct()
     left = docs.withColumn("__key", F.xxhash64(F.col(id_col), F.col(text_col)))

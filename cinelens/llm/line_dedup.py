@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelens.llm.common import BLANKS, arrow_map, ascii_lower, blobs, checkpointed, record_batch
+from cinelens.llm.common import BLANKS, arrow_map, ascii_lower, blobs, checkpointed, record_batch, row_schema
 
 MIN_CHARS = 10
 
@@ -215,10 +215,9 @@ def keep_lines(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text
     joined = left.join(marks, (F.col("l_no") == F.col("no_id")) & (F.col("l_doc") == F.col("doc"))
                        & (F.col("l_row") == F.col("b_row")), "left")
     wide = joined.select("text", "keep", "doc_id", "row")
-    kind = wide.schema["row"].dataType.simpleString()
-    id_kind = wide.schema["doc_id"].dataType.simpleString()
-    return arrow_map(wide, _apply(want_text), f"text string, n_lines long, n_dropped long, "
-                     f"kept_sha256 string, doc_id {id_kind}, row {kind}")
+    return arrow_map(wide, _apply(want_text), row_schema(
+        "text string, n_lines long, n_dropped long, kept_sha256 string",
+        doc_id=wide.schema["doc_id"].dataType, row=wide.schema["row"].dataType))
 
 
 def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelens.llm.common import arrow_map, shared_folder
+from cinelens.llm.common import arrow_map, row_schema, shared_folder
 
 SHARDS, SEED, BUCKET_BYTES = 24, 42, 32 << 20
 
@@ -88,9 +88,8 @@ def write_shuffled(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         F.struct("*").alias("row"))
     marked = records.withColumn("bucket", F.pmod("mark", F.lit(buckets)).cast("int"))
     dealt = marked.repartitionById(buckets, F.col("bucket")).select("bucket", "size", "crc", "mark", "row")
-    kind = dealt.schema["row"].dataType.simpleString()
-    arrow_map(dealt.sortWithinPartitions("bucket"), _shuffle_buckets(seed),
-              f"bucket int, place long, size long, crc long, row {kind}").write.parquet(path)
+    arrow_map(dealt.sortWithinPartitions("bucket"), _shuffle_buckets(seed), row_schema(
+        "bucket int, place long, size long, crc long", row=dealt.schema["row"].dataType)).write.parquet(path)
     return buckets
 
 

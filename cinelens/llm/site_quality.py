@@ -29,9 +29,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cinelens.llm import logistic
-from cinelens.llm.common import arrow_map, blobs, checkpointed, record_batch
+from cinelens.llm.common import arrow_map, blobs, checkpointed, record_batch, row_schema
 
 TRAIN_ROWS, RIDGE, THRESHOLD = 20_000, 1.0, 0.3
 #: Bin edges of each statistic, as quantiles of the sample; dense at the ends, where junk lies.
@@ -149,9 +150,8 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_
     m = train(docs, labels, id_col, text_col, label_col, train_rows)
     rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("doc_id"),
                        host.cast("string").alias("host"), path.cast("string").alias("path"))
-    id_kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = checkpointed(arrow_map(rows, _scorer(m),
-                                    f"p double, doc_id {id_kind}, host string, path string"))
+    scored = checkpointed(arrow_map(rows, _scorer(m), row_schema(
+        "p double", doc_id=rows.schema["doc_id"].dataType, host=T.StringType(), path=T.StringType())))
     sites, strength, mean = site_posteriors(scored)
     right = sites.select(F.col("host").alias("h"), F.col("path").alias("q"), "n", "s", "host_mean")
     both = scored.join(right, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("q")), "left")

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinelens.llm import logistic
-from cinelens.llm.common import arrow_map, blobs, checkpointed, record_batch
+from cinelens.llm.common import arrow_map, blobs, checkpointed, record_batch, row_schema
 from cinelens.llm.decontamination import words_of
 
 TRAIN_ROWS, VOCABULARY, FOLDS, RIDGE, MIN_DOCS, THRESHOLD = 20_000, 128, 5, 1.0, 5, 0.5
@@ -201,9 +201,8 @@ def score(docs: DataFrame, chain: Chain, text_col: str = "text", keep: list[str]
     keep = docs.columns if keep is None else keep
     rows = docs.select(F.col(text_col).alias("text"),
                        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"))
-    kind = rows.schema["row"].dataType.simpleString()
-    return arrow_map(rows, _scorer(chain), ", ".join(f"p_{c} double" for c in chain.categories)
-                     + f", row {kind}")
+    return arrow_map(rows, _scorer(chain), row_schema(
+        ", ".join(f"p_{c} double" for c in chain.categories), row=rows.schema["row"].dataType))
 
 
 CATEGORIES = [*SEVERITIES, "toxic"]

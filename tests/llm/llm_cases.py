@@ -26,7 +26,7 @@ ODD = [
 def clashing(df, *names):
     """The frame with extra columns whose names operators use themselves."""
     from pyspark.sql import functions as F
-    return df.select("*", *[F.lit(f"own {n}").alias(n) for n in names])
+    return df.select("*", *[F.lit(f"own {n}").alias(n) for n in (*names, "odd name-1.x")])
 
 
 def rows_of(df, *cols):

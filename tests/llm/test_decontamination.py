@@ -83,7 +83,8 @@ def test_spans_point_at_the_original(spark):
 
 def test_clean_documents_keep_their_columns(spark, odd):
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
-    out = dc.clean_documents(odd, bench)
     want = [r[0] for r in brute([(i, t) for i, t, *_ in ODD], ITEMS) if not r[5]]
-    assert out.columns == odd.columns
-    assert sorted([r.doc_id for r in out.collect()], key=repr) == sorted(want, key=repr)
+    for size in (dc.SLICE_BYTES, 150):
+        out = dc.clean_documents(odd, bench, slice_bytes=size)
+        assert out.schema == odd.schema
+        assert sorted([r.doc_id for r in out.collect()], key=repr) == sorted(want, key=repr)

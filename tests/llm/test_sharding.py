@@ -52,7 +52,7 @@ def test_empty_table(none):
 
 def test_all_columns_are_kept(spark, odd):
     out = sharding.shards(clashing(odd, "shard"), 3)
-    assert out.schema["row"].dataType.fieldNames() == [*odd.columns, "shard"]
+    assert out.schema["row"].dataType.fieldNames() == [*odd.columns, "shard", "odd name-1.x"]
 
 
 def test_same_input_same_shards(spark):
