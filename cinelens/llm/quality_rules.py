@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from cinelens.llm.common import BLANKS, checkpointed
 
 MIN_WORDS, REPEAT_PERCENT = 50, 50
-SUPPORT, MIN_GROUP, STEPS, BINS = 0.75, 100, 3, 512
+SUPPORT, MIN_GROUP, STEPS, BINS, SALTS = 0.75, 100, 3, 512, 32
 #: Chi-square quantile for the rejection, as its upper tail.
 TAIL = 1e-6
 
@@ -62,9 +62,9 @@ def statistics(docs: DataFrame, keep: list[str], text_col: str = "text") -> Data
         F.split(trimmed, r"[\x20\x09-\x0D]+", -1))
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     base = docs.select(*keep, words.alias("_w"), lines.alias("_l"),
-                       F.char_length(F.translate(text, BLANKS, "")).cast("long").alias("word_chars"),
-                       (F.char_length(text) - F.char_length(F.translate(text, "#*$%&|<>", "")))
-                       .cast("long").alias("n_symbols"))
+                       (F.char_length(text) - F.regexp_count(text, F.lit(r"[\x20\x09-\x0D]")))
+                       .cast("long").alias("word_chars"),
+                       F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"))
     base = base.select(*keep, "word_chars", "n_symbols", "_w",
                        F.size("_w").cast("long").alias("n_words"),
                        (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
@@ -197,7 +197,7 @@ def _squared_distance(e: str) -> Column:
 
 def _with_distances(rows: DataFrame, estimates: DataFrame, starts: int) -> DataFrame:
     """Rows with d0, d1, ... (squared distances); inner join: rows without an estimate go."""
-    joined = rows.join(estimates.withColumnRenamed("grp", "of"), F.col("grp") == F.col("of"))
+    joined = rows.join(_salted(estimates), ["grp", "salt"])
     for s in range(starts):
         # array-free substitution in steps, so no expression is repeated
         cols = [c for c in joined.columns if not c.startswith("z")]
@@ -208,7 +208,13 @@ def _with_distances(rows: DataFrame, estimates: DataFrame, starts: int) -> DataF
             joined = joined.withColumn(f"z{i}", v / F.col(f"e{s}.l{i}{i}"))
         total = sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(_P)), F.lit(0.0))
         joined = joined.select(*cols, total.alias(f"d{s}"))
-    return joined.select("grp", *NAMES, *[f"d{s}" for s in range(starts)])
+    return joined.select("grp", "salt", *NAMES, *[f"d{s}" for s in range(starts)])
+
+
+def _salted(small: DataFrame) -> DataFrame:
+    """One row per group and salt, so that a group holding a third of all rows is joined in
+    ``SALTS`` parts where the small side is too large to broadcast."""
+    return small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
 def _bin(d: Column) -> Column:
@@ -250,23 +256,25 @@ def mcd(rows: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFr
     and the documents whose statistics all lie within the inner quartiles'
     reach (medians and quartiles by mergeable sketches).
     """
+    # checkpointed rows keep their order, so the salt by row number is the same in every step
+    rows = checkpointed(rows.select("grp", *NAMES)).withColumn(
+        "salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
     quartiles = rows.groupBy("grp").agg(*[
         F.percentile_approx(c, F.array(*map(F.lit, (0.25, 0.5, 0.75))), 1000).alias(f"p_{c}")
-        for c in NAMES]).withColumnRenamed("grp", "of")
+        for c in NAMES])
     inside = F.lit(True)
     for c in NAMES:
         spread = F.greatest(F.col(f"p_{c}")[2] - F.col(f"p_{c}")[0], F.lit(FLOORS[c]))
         inside = inside & (F.abs(F.col(c) - F.col(f"p_{c}")[1]) <= 1.5 * spread)
     scale = consistency(support, _P)
     plain = _factored(_moments(rows, F.lit(1.0)), 1.0)
-    core = _factored(_moments(rows.join(quartiles, F.col("grp") == F.col("of")).where(inside),
-                              F.lit(1.0)), 1.0)
+    core = _factored(_moments(rows.join(_salted(quartiles), ["grp", "salt"]).where(inside), F.lit(1.0)), 1.0)
     estimates = checkpointed(_structs([plain, core]))
     starts = 2
     for _ in range(steps):
         near = _with_distances(rows, estimates, starts)
-        cuts = checkpointed(_cuts(near, starts, support)).withColumnRenamed("grp", "of")
-        chosen = near.join(cuts, F.col("grp") == F.col("of"))
+        cuts = checkpointed(_cuts(near, starts, support))
+        chosen = near.join(_salted(cuts), ["grp", "salt"])
         estimates = checkpointed(_structs([
             _factored(_moments(chosen, F.when(_bin(F.col(f"d{s}")) <= F.col(f"cut{s}"), 1.0)
                                .otherwise(0.0)), scale) for s in range(starts)]))
