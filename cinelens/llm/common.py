@@ -16,7 +16,6 @@ from cinelens.session import checkpoint_dir
 #: White space as the contracts define it: space and \x09-\x0D. ``bytes.split()``
 #: splits on exactly these six bytes.
 BLANKS = " \t\n\x0b\x0c\r"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -38,10 +37,21 @@ def workers_find_us(spark: SparkSession) -> None:
 
 
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str | T.StructType) -> DataFrame:
-    """``df.mapInArrow``, with the package importable in the workers."""
+              schema: str | T.StructType, rows: int | None = 1024) -> DataFrame:
+    """``df.mapInArrow``, with the package importable in the workers.
+
+    ``fn`` sees at most ``rows`` rows at a time, so that Python holds the texts of that many rows
+    and not of a whole Arrow batch as objects.
+    """
     workers_find_us(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            step = rows or max(1, batch.num_rows)
+            for at in range(0, max(1, batch.num_rows), step):
+                yield batch.slice(at, step)
+
+    return df.mapInArrow(lambda batches: fn(parts(batches)), schema)
 
 
 def row_schema(ddl: str, **more: T.DataType) -> T.StructType:
@@ -80,6 +90,3 @@ def record_batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
         [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, schema.types)],
         schema=schema)
 
-
-def ascii_lower(col):
-    return F.translate(col, UPPER, LOWER)

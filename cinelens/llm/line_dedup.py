@@ -29,17 +29,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelens.llm.common import BLANKS, arrow_map, ascii_lower, blobs, checkpointed, record_batch, row_schema
+from cinelens.llm.common import BLANKS as _BLANKS, arrow_map, blobs, checkpointed, record_batch, row_schema
 
 MIN_CHARS = 10
+BLANKS = _BLANKS.encode()
 
 
-def line_key(line):
+def line_key(line: bytes) -> bytes:
     """Stripped of blanks at both ends, A-Z lower-cased."""
-    return ascii_lower(F.btrim(line, F.lit(BLANKS)))
+    return line.strip(BLANKS).lower()  # bytes.lower() changes A-Z only
 
 
 def _row_key(id_col, text_col):
@@ -47,16 +49,39 @@ def _row_key(id_col, text_col):
     return F.xxhash64(id_col, text_col)
 
 
+_RECORD = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("no_id", pa.bool_()), ("doc", pa.int64()),
+                     ("row", pa.int64()), ("pos", pa.int32())])
+
+
+def _records(min_chars: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, counts, places = [], [], []
+            for data in blobs(batch.column(3)):
+                before = len(digests)
+                for pos, line in enumerate(data.split(b"\n")):
+                    key = line_key(line)
+                    # a code point has four bytes at most, and one at least
+                    if len(key) >= min_chars and (len(key) >= 4 * min_chars or len(
+                            key.decode("utf-8", "replace")) >= min_chars):
+                        digests.append(xxhash.xxh3_128_digest(key))
+                        places.append(pos)
+                counts.append(len(digests) - before)
+            hashes = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
+            docs = [np.repeat(c.to_numpy(zero_copy_only=False), counts) for c in batch.columns[:3]]
+            yield record_batch(_RECORD, [pa.array(x, t) for x, t in zip(
+                (hashes[:, 0], hashes[:, 1], *docs, np.array(places, np.int32)), _RECORD.types)])
+
+    return run
+
+
 def line_records(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """(h1, h2, no_id, doc, row, pos) of every line long enough to be shared."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = docs.select(F.col(id_col).alias("doc"), _row_key(F.col(id_col), F.col(text_col)).alias("row"),
-                        F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
-    keyed = lines.select("doc", "row", "pos", line_key(F.col("line")).alias("key"))
-    return keyed.where(F.char_length("key") >= min_chars).select(
-        F.xxhash64(F.lit(1), "key").alias("h1"), F.xxhash64(F.lit(2), "key").alias("h2"),
-        F.col("doc").isNull().alias("no_id"), F.coalesce("doc", F.lit(0)).cast("long").alias("doc"),
-        "row", "pos")
+    rows = docs.select(F.col(id_col).isNull().alias("no_id"),
+                       F.coalesce(F.col(id_col), F.lit(0)).cast("long").alias("doc"),
+                       _row_key(F.col(id_col), F.col(text_col)).alias("row"), F.col(text_col).alias("text"))
+    return arrow_map(rows, _records(min_chars),
+                     "h1 long, h2 long, no_id boolean, doc long, row long, pos int")
 
 
 _ORDER = ["h1", "h2", "no_id", "doc", "row", "pos"]
@@ -157,9 +182,9 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     fixed = checkpointed(ranged.withColumn("part", F.spark_partition_id()))
     edges = arrow_map(fixed, _edges,
                       "part int, first1 long, first2 long, first_no boolean, first_doc long, "
-                      "last1 long, last2 long, last_no boolean, last_doc long")
+                      "last1 long, last2 long, last_no boolean, last_doc long", rows=None)
     owners = owners_at_start([tuple(r) for r in edges.collect()])
-    lost = arrow_map(fixed, _later_lines(owners), "no_id boolean, doc long, row long, pos int")
+    lost = arrow_map(fixed, _later_lines(owners), "no_id boolean, doc long, row long, pos int", rows=None)
     grouped = lost.groupBy("no_id", "doc", "row").agg(F.collect_list("pos").alias("pos"))
     return arrow_map(grouped, _pack_rows,
                      "no_id boolean, doc long, row long, n_dropped long, keep binary")

@@ -89,7 +89,7 @@ def write_shuffled(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     marked = records.withColumn("bucket", F.pmod("mark", F.lit(buckets)).cast("int"))
     dealt = marked.repartitionById(buckets, F.col("bucket")).select("bucket", "size", "crc", "mark", "row")
     arrow_map(dealt.sortWithinPartitions("bucket"), _shuffle_buckets(seed), row_schema(
-        "bucket int, place long, size long, crc long", row=dealt.schema["row"].dataType)).write.parquet(path)
+        "bucket int, place long, size long, crc long", row=dealt.schema["row"].dataType), rows=None).write.parquet(path)
     return buckets
 
 
