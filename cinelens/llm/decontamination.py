@@ -206,16 +206,17 @@ def _broadcast(spark, patterns: DataFrame):
     return spark.sparkContext.broadcast((uuid.uuid4().hex, rows))
 
 
-def _cleaner(broadcast):
+def _cleaner(broadcast, text_col: str):
     """Pass on the rows whose text holds no window."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         auto, sizes, _ = _automaton(broadcast)
         for batch in batches:
             clean = []
-            for data in blobs(batch.column(0)):
+            rows = batch.column(0)
+            for data in blobs(rows.field(text_col)):
                 text = (b" " + b" ".join(words_of(data)) + b" ").decode("latin-1")
                 clean.append(not sizes or next(auto.iter(text), None) is None)
-            yield pa.RecordBatch.from_arrays([batch.column(1).filter(pa.array(clean, pa.bool_()))], names=["row"])
+            yield pa.RecordBatch.from_arrays([rows.filter(pa.array(clean, pa.bool_()))], names=["row"])
 
     return run
 
@@ -230,8 +231,8 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     """
     patterns, total = item_patterns(benchmark, item_col, item_text_col)
     if total <= slice_bytes:
-        rows = docs.select(F.col(text_col).alias("text"), F.struct("*").alias("row"))
-        kept = arrow_map(rows, _cleaner(_broadcast(docs.sparkSession, patterns)),
+        rows = docs.select(F.struct("*").alias("row"))
+        kept = arrow_map(rows, _cleaner(_broadcast(docs.sparkSession, patterns), text_col),
                          row_schema("", row=rows.schema["row"].dataType))
         return kept.select([F.col("row").getField(c).alias(c) for c in docs.columns])
     hits = scan_benchmark(docs, benchmark, id_col, text_col, item_col, item_text_col, slice_bytes).where(
@@ -248,4 +249,37 @@ def digest(scanned: DataFrame) -> DataFrame:
         "doc_id", "n_words", F.size("hit_words").cast("long").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.sort_array("items"), ","), 256).alias("items_sha256"),
-        (F.size("hit_words") > 0).alias("contaminated"), "spans")
+        (F.size("hit_words") > 0).alias("contaminated"))
+
+
+#: DuckDB SQL of the query.
+DIGEST_SQL = r"""
+WITH items AS (
+  SELECT CAST(item_id AS VARCHAR) AS id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+wins AS (
+  SELECT DISTINCT id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+  FROM items, LATERAL (SELECT unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i) u
+  WHERE len(w) > 0),
+docs AS (
+  SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+sized AS (SELECT d.row_no, d.w, s.n FROM docs d JOIN (SELECT DISTINCT n FROM wins) s ON len(d.w) >= s.n),
+doc_wins AS (
+  SELECT row_no, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM sized, LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS i) u),
+hits AS (SELECT d.row_no, d.i, d.n, x.id FROM doc_wins d JOIN wins x ON d.win = x.win AND d.n = x.n),
+places AS (
+  SELECT row_no, count(DISTINCT p) AS n_hit
+  FROM (SELECT row_no, p FROM hits, LATERAL (SELECT unnest(range(i, i + n)) AS p) u) t GROUP BY row_no),
+found AS (
+  SELECT row_no, count(DISTINCT id) AS n_items, string_agg(DISTINCT id, ',' ORDER BY id) AS ids
+  FROM hits GROUP BY row_no)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(p.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(f.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(f.ids, '')) AS items_sha256,
+       coalesce(p.n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN places p ON d.row_no = p.row_no LEFT JOIN found f ON d.row_no = f.row_no"""

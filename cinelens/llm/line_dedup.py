@@ -259,7 +259,7 @@ WITH lines AS (
          translate(trim(u.line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
   FROM (SELECT doc_id, row_number() OVER () AS row_no,
-               string_split(coalesce(text, ''), chr(10)) AS parts FROM {docs}) d,
+               string_split(coalesce(text, ''), chr(10)) AS parts FROM documents) d,
        LATERAL (SELECT unnest(d.parts) AS line, generate_subscripts(d.parts, 1) AS pos) u),
 owners AS (
   SELECT key, min(doc_id) AS owner FROM lines WHERE length(key) >= 10

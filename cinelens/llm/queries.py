@@ -73,4 +73,4 @@ QUERIES = {f.__name__: f for f in (
     op1_secret_scans, op2_line_dedup, op3_sharding, op4_sentencepiece, op5_quality_rules,
     op6_simhash, op7_quality_classifier, op8_toxicity, op9_token_counts, op10_decontamination)}
 
-ORACLE_SQL = {"op2_line_dedup": line_dedup.DIGEST_SQL.format(docs="documents")}
+ORACLE_SQL = {"op2_line_dedup": line_dedup.DIGEST_SQL, "op10_decontamination": decontamination.DIGEST_SQL}

@@ -112,10 +112,8 @@ _FORMS = pa.schema([("forms", pa.list_(pa.string())), ("y", pa.list_(pa.int32())
 
 def _distinct_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            found = [sorted({f for w in set(words_of(b)) for f in forms(w)}) for b in blobs(part.column(0))]
-            yield record_batch(_FORMS, [found, part.column(1)])
+        found = [sorted({f for w in set(words_of(b)) for f in forms(w)}) for b in blobs(batch.column(0))]
+        yield record_batch(_FORMS, [found, batch.column(1)])
 
 
 def telling_features(sample: DataFrame, size: int, min_docs: int) -> list[str]:
@@ -124,7 +122,7 @@ def telling_features(sample: DataFrame, size: int, min_docs: int) -> list[str]:
     n, pos = base[0], base[1] or 0
     if not n or not pos or pos == n:
         return []
-    found = arrow_map(sample.select("text", "y"), _distinct_forms, "forms array<string>, y array<int>")
+    found = arrow_map(sample.select("text", "y"), _distinct_forms, "forms array<string>, y array<int>", rows=256)
     df = found.select(F.explode("forms").alias("form"), F.element_at("y", -1).alias("hit")).groupBy(
         "form").agg(F.count("*").alias("n"), F.sum("hit").alias("k"))
     p = pos / n
@@ -181,17 +179,20 @@ def train(labelled: DataFrame, label_cols: list[str], derive: bool = False,
     return chain
 
 
-def _scorer(chain: Chain):
+def _scorer(chain: Chain, text_col: str | None):
+    """Score the texts of field ``text_col`` of the rows, or of the first column if None."""
     k = len(chain.categories)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([chain.features(b) for b in blobs(batch.column(0))]).reshape(
+            rows = batch.columns[-1]
+            texts = rows.field(text_col) if text_col else batch.column(0)
+            x = np.array([chain.features(b) for b in blobs(texts)]).reshape(
                 batch.num_rows, len(chain.index) + 2)
             p = chain.predict(x) if chain.weights else np.zeros((batch.num_rows, k))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(p[:, i], pa.float64()) for i in range(k)] + batch.columns[1:],
-                names=[f"p_{c}" for c in chain.categories] + batch.schema.names[1:])
+                [pa.array(p[:, i], pa.float64()) for i in range(k)] + [rows],
+                names=[f"p_{c}" for c in chain.categories] + ["row"])
 
     return run
 
@@ -199,9 +200,11 @@ def _scorer(chain: Chain):
 def score(docs: DataFrame, chain: Chain, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """p_<category> columns and ``row``, a struct of the ``keep`` columns (default: all)."""
     keep = docs.columns if keep is None else keep
-    rows = docs.select(F.col(text_col).alias("text"),
-                       F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"))
-    return arrow_map(rows, _scorer(chain), row_schema(
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
+    # the text is sent once: inside the row if it is kept, beside it if not
+    inside = text_col in keep
+    rows = docs.select(row) if inside else docs.select(F.col(text_col).alias("text"), row)
+    return arrow_map(rows, _scorer(chain, text_col if inside else None), row_schema(
         ", ".join(f"p_{c} double" for c in chain.categories), row=rows.schema["row"].dataType))
 
 
@@ -212,7 +215,8 @@ def fit_documents(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_RO
     """The query's chain: severities, then the label; from a bounded number of labelled ids."""
     known = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = _sampled(known, train_rows).withColumnRenamed("doc_id", "known")
-    rows = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("known"))
+    # at most about train_rows rows of two numbers: bounded, so broadcast outright
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("known"))
     return train(rows.select("doc_id", "text", "toxic"), ["toxic"], derive=True,
                  train_rows=2 * train_rows)
 

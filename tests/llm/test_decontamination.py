@@ -4,12 +4,13 @@ import hashlib
 import re
 from collections import defaultdict
 
+import duckdb
 import pyarrow.parquet as pq
 
 from cinelens.llm import decontamination as dc
-from cinelens.llm.queries import op10_decontamination
+from cinelens.llm.queries import ORACLE_SQL, op10_decontamination
 
-from llm_cases import ODD, SF01, clashing
+from llm_cases import ODD, SF01, clashing, rows_of
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -50,6 +51,16 @@ def test_query_matches_brute_force(spark, docs01):
     assert got(op10_decontamination(spark, SF01)) == want and any(r[5] for r in want)
 
 
+def test_query_matches_sql(spark):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF01}/{t}.parquet')")
+    cur = con.execute(ORACLE_SQL["op10_decontamination"])
+    df = op10_decontamination(spark, SF01)
+    assert [d[0] for d in cur.description] == df.columns
+    assert rows_of(df) == sorted(map(tuple, cur.fetchall()), key=repr)
+
+
 ITEMS = [(1, "One two THREE four, five six seven eight nine ten"), (2, "nine ten"), (2, "漢字"), (3, None), (4, "--"),
          (5, "word " * 12), (None, "another text"), (10, "ÜNÏ çödé"), (6, "same id eight nine ten")]
 
