@@ -26,6 +26,7 @@ the other columns in a struct, so no name can clash.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,10 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelens.llm.common import arrow_map
+from cinelens.llm.common import arrow_map, row_schema
 
 MARK = "▁"
+#: What follows the last letter or digit of a word.
+_TAIL = re.compile(r"(?<=\w)\W+$")
 CACHE_SIZE, CACHED_CHARS, CHECK_EVERY = 1_000_000, 48, 64
+_BASE = 1 << 21  # above the vocabulary and all code points
 
 
 class Model:
@@ -60,7 +64,13 @@ class Model:
                 self.ids[piece], self.score[piece] = i, sp.get_score(i)
                 self.raw.append(piece.replace(MARK, " ").encode())
         self.longest = max(map(len, self.ids), default=1)
-        self.starts = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
+        # pieces by id; what pieces only begin with is -1
+        self.kinds = {p[:k]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
+        self.size = sp.vocab_size()
+        self.piece_of: list[str | None] = [None] * self.size
+        for p, i in self.ids.items():
+            self.piece_of[i] = p
+        self.lengths = [len(p or "") for p in self.piece_of]
         chars = set("".join(self.ids))
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("pieces cross blanks: words cannot be cut before encoding")
@@ -69,7 +79,7 @@ class Model:
                                 else f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
         self.plain = sp.normalize("a  b\tAéﬁ") == f"{MARK}a{MARK}{MARK}b\tAéﬁ"
         self.sp = sp
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.cache: dict[str, bytes] = {}
 
     # -- segmentation
@@ -88,77 +98,130 @@ class Model:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def fit(self, left: str, right: str) -> bool:
+    def text_of(self, code: int) -> str:
+        return self.piece_of[code] if code < self.size else chr(code - self.size)
+
+    def fit(self, left: int, right: int) -> bool:
         """Whether the two pieces stay as they are when merged side by side."""
-        known = self.pairs.get((left, right))
+        key = left * _BASE + right
+        known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) > CACHE_SIZE:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self.merge(left + right) == [left, right]
+            a, b = self.text_of(left), self.text_of(right)
+            known = self.pairs[key] = self.merge(a + b) == [a, b]
         return known
 
-    def pieces(self, text: str, check_every: int = CHECK_EVERY) -> Iterator[str]:
-        """Pieces of ``text``, yielded as soon as they are final."""
-        starts, ids, longest, fit = self.starts, self.ids, self.longest, self.fit
-        n, done = len(text), 0
-        last: dict[int, str] = {0: ""}  # boundary -> the piece that ends there
-        for i in range(n):
+    def _extend(self, last: dict[int, int], text: str, start: int, stop: int) -> None:
+        """Follow all edges that begin at the boundaries ``start`` to ``stop - 1``."""
+        kinds, pairs, longest, n = self.kinds, self.pairs, self.longest, len(text)
+        for i in range(start, stop):
             before = last[i]  # every boundary is reached: single characters always are edges
+            base = before * _BASE
             for j in range(i + 1, min(i + longest, n) + 1):
-                piece = text[i:j]
-                if j > i + 1 and piece not in starts:
-                    break
-                if j not in last and (piece in ids or j == i + 1) and (not before or fit(before, piece)):
-                    last[j] = piece
-            if (i + 1) % check_every == 0 and i + 1 < n:
-                met = self._meeting(last, i + 1, done)
-                if met > done:
-                    yield from self._path(last, done, met)
-                    for k in range(done, met):
-                        last.pop(k, None)
-                    done = met
-        yield from self._path(last, done, n)
-
-    def _meeting(self, last: dict[int, str], at: int, done: int) -> int:
+                code = kinds.get(text[i:j])
+                if code is None:
+                    if j > i + 1:
+                        break  # no piece begins like this
+                    code = self.size + ord(text[i])
+                elif code < 0:
+                    if j > i + 1:
+                        continue  # only the beginning of pieces
+                    code = self.size + ord(text[i])
+                if j not in last:
+                    fits = pairs.get(base + code) if before >= 0 else True
+                    if fits is None:
+                        fits = self.fit(before, code)
+                    if fits:
+                        last[j] = code
+
+    def codes(self, text: str, check_every: int = CHECK_EVERY) -> Iterator[int]:
+        """Codes of the pieces of ``text``, yielded as soon as they are final.
+
+        A piece's code is its id; that of a character outside the vocabulary is the vocabulary's
+        size plus its code point.
+        """
+        n, done = len(text), 0
+        last = {0: -1}  # boundary -> the piece that ends there
+        for i in range(0, n, check_every):
+            stop = min(i + check_every, n)
+            self._extend(last, text, i, stop)
+            met = self._meeting(last, stop, done) if stop < n else n
+            if met > done:
+                yield from self._path(last, done, met)
+                for k in range(done, met):
+                    last.pop(k, None)
+                done = met
+
+    def segment(self, text: str, check_every: int = CHECK_EVERY) -> list[str]:
+        return [self.text_of(c) for c in self.codes(text, check_every)]
+
+    def _length(self, code: int) -> int:
+        return self.lengths[code] if code < self.size else 1
+
+    def _meeting(self, last: dict[int, int], at: int, done: int) -> int:
         """The boundary through which the paths of all boundaries that can be extended run."""
         live = {k for k in last if k >= max(at - self.longest + 1, done)}
         while len(live) > 1:
             top = max(live)
             live.remove(top)
-            live.add(top - len(last[top]))
+            live.add(top - self._length(last[top]))
         return live.pop()
 
-    @staticmethod
-    def _path(last: dict[int, str], start: int, end: int) -> list[str]:
+    def _path(self, last: dict[int, int], start: int, end: int) -> list[int]:
         out = []
         while end > start:
-            out.append(last[end])
-            end -= len(last[end])
-        return out[::-1]
+            code = last[end]
+            out.append(code)
+            end -= self._length(code)
+        out.reverse()
+        return out
 
     # -- ids
 
     def _ids(self, word: str) -> bytes:
-        out = []
-        for p in self.pieces(word):
-            i = self.ids.get(p)
-            out += [i] if i is not None else [self.byte_id[b] for b in p.encode("utf-8", "replace")]
-        return np.array(out, np.int32).tobytes()
+        """Ids of a word, as bytes of 32-bit numbers."""
+        tail = _TAIL.search(word)
+        if tail:
+            # the segmentations of two stretches, side by side, are that of the whole if the
+            # pieces that meet fit; words with and without a comma then share their work
+            head, rest = word[:tail.start()], tail[0]
+            a, b = self.cached(head), self.cached(rest)
+            left, right = int.from_bytes(a[-4:], "little"), int.from_bytes(b[:4], "little")
+            if self.piece_of[left] is None:  # the last byte of a character outside the vocabulary
+                left = self.size + ord(head[-1])
+            if self.piece_of[right] is None:
+                right = self.size + ord(rest[0])
+            if self.fit(left, right):
+                return a + b
+        if len(word) <= CHECK_EVERY:
+            last = {0: -1}
+            self._extend(last, word, 0, len(word))
+            codes = self._path(last, 0, len(word))
+        else:
+            codes = list(self.codes(word))
+        if max(codes) >= self.size:
+            codes = [i for c in codes for i in ([c] if c < self.size else map(
+                self.byte_id.__getitem__, chr(c - self.size).encode("utf-8", "replace")))]
+        return array("i", codes).tobytes()
+
+    def cached(self, word: str) -> bytes:
+        got = self.cache.get(word)
+        if got is None:
+            got = self._ids(word)
+            if len(word) <= CACHED_CHARS:
+                if len(self.cache) > CACHE_SIZE:
+                    self.cache.clear()
+                self.cache[word] = got
+        return got
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.empty(0, np.int32)
         text = MARK + text.replace(" ", MARK) if self.plain else self.sp.normalize(text)
-        cache, out = self.cache, []
+        get, out = self.cache.get, []
         for word in self.words.findall(text):
-            got = cache.get(word)
-            if got is None:
-                got = self._ids(word)
-                if len(word) <= CACHED_CHARS:
-                    if len(cache) > CACHE_SIZE:
-                        cache.clear()
-                    cache[word] = got
-            out.append(got)
+            out.append(get(word) or self.cached(word))
         return np.frombuffer(b"".join(out), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
@@ -180,20 +243,17 @@ def _encoder(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
         for batch in batches:
-            # small pieces, so that ids of long texts do not pile up
-            for at in range(0, max(1, batch.num_rows), 512):
-                part = batch.slice(at, 512)
-                texts = [t or "" for t in part.column(0).to_pylist()]
-                ids = [m.encode(t) for t in texts]
-                same = [m.decode(i) == t.replace(MARK, " ") for i, t in zip(ids, texts)]
-                counts = np.array([len(i) for i in ids], np.int64)
-                offsets = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
-                flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-                columns = [pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32())),
-                           pa.array(counts, pa.int64()), pa.array(same, pa.bool_())]
-                yield pa.RecordBatch.from_arrays(columns + part.columns[1:],
-                                                 names=["ids", "n_tokens", "round_trip",
-                                                        *part.schema.names[1:]])
+            texts = [t or "" for t in batch.column(0).to_pylist()]
+            ids = [m.encode(t) for t in texts]
+            same = [m.decode(i) == t.replace(MARK, " ") for i, t in zip(ids, texts)]
+            counts = np.array([len(i) for i in ids], np.int64)
+            offsets = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
+            flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
+            columns = [pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32())),
+                       pa.array(counts, pa.int64()), pa.array(same, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns + batch.columns[1:],
+                                             names=["ids", "n_tokens", "round_trip",
+                                                    *batch.schema.names[1:]])
 
     return run
 
@@ -207,8 +267,8 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text",
     keep = [c for c in docs.columns if c != text_col] if keep is None else keep
     rows = docs.select(F.col(text_col).alias("text"),
                        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"))
-    kind = rows.schema["row"].dataType.simpleString()
-    return arrow_map(rows, _encoder(path), f"ids array<int>, n_tokens long, round_trip boolean, row {kind}")
+    return arrow_map(rows, _encoder(path), row_schema("ids array<int>, n_tokens long, round_trip boolean",
+                                                      row=rows.schema["row"].dataType))
 
 
 def _decoder(path: str):
@@ -225,4 +285,4 @@ def _decoder(path: str):
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     """(text, row) from the encoder's rows."""
     rows = encoded.select("ids", "row")
-    return arrow_map(rows, _decoder(path), f"text string, row {rows.schema['row'].dataType.simpleString()}")
+    return arrow_map(rows, _decoder(path), row_schema("text string", row=rows.schema["row"].dataType))

@@ -58,7 +58,7 @@ def test_random_texts(lib, model, text):
 @given(st.text(alphabet="aeinrstlohd", min_size=80, max_size=600), st.integers(1, 40))
 def test_streaming_commits_the_same_pieces(model, text, every):
     whole = model.merge("▁" + text)
-    assert list(model.pieces("▁" + text, check_every=every)) == whole
+    assert model.segment("▁" + text, check_every=every) == whole
 
 
 def test_the_window_stays_bounded(model):
@@ -71,7 +71,7 @@ def test_the_window_stays_bounded(model):
 
     model._meeting = spy
     try:
-        pieces = list(model.pieces(text))
+        pieces = model.segment(text)
     finally:
         del model._meeting
     assert "".join(pieces) == text and max(seen) < 400
