@@ -398,5 +398,12 @@ for _k in ("avg_ratings_with_title_year", "avg_profit_by_year_month", "votes_by_
     _ORACLE[_k + "_sql"] = _ORACLE[_k]
 
 
+# Reports written as CSV and read back hold the rows of the report.
+for _k, _report in (("genre_counts_csv", "genre_counts_by_decade"),
+                    ("votes_csv_single_file", "votes_by_decade"),
+                    ("directors_csv_by_window", "top_directors_per_2y_window")):
+    _ORACLE[_k] = _ORACLE[_report]
+
+
 def oracle_sql() -> dict[str, str]:
     return {**{k: v for k, v in _ORACLE.items() if k in QUERIES}, **_LLM_ORACLE}

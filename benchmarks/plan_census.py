@@ -1,4 +1,4 @@
-"""Summarise the physical plan of every registered query (markdown table).
+"""Summarise the physical plan of every registered film query (markdown table).
 
     python benchmarks/plan_census.py /root/testdata/sf0.1 > PLANS_census.md
 
@@ -42,13 +42,13 @@ def census(plan: str) -> dict:
 
 def main(argv):
     d = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as E
+    from cinelens.queries import QUERIES
     from cinelens.session import local_session
     spark = local_session(8)
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
     cols = None
     lines = []
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         c = census(q(spark, d)._jdf.queryExecution().executedPlan().toString())
         if cols is None:
             cols = list(c)

@@ -3,6 +3,7 @@ over the driver tables seen as film data (see ``sources.fixtures``)."""
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,9 @@ from .plans import sql as S
 from .operators.dedup import dedup_by_key as _dedup
 from .operators.filters import null_audit as _null_audit
 from .sources import fixtures as fx
-from .sources.readers import read_table
-from .sources.writers import to_store_text
+from .session import checkpoint_dir
+from .sources.readers import read_csv, read_table
+from .sources.writers import to_store_text, write_csv
 from .functions.dates import decade_start, month_in, year_in
 from .functions.literals import parse_names
 
@@ -230,6 +232,27 @@ def avg_ratings_with_title_year_sql(spark, d):
     return S.avg_ratings_with_title_year(spark, ratings, films)
 
 
+def _through_csv(spark, df: DataFrame, **kw) -> DataFrame:
+    """The result as a CSV report in a fresh shared folder, read back with its declared schema.
+
+    Unlike the other queries this one writes when it is built."""
+    path = f"{checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    write_csv(df, path, header=True, **kw)
+    return read_csv(spark, path, df.schema).select(*df.columns)
+
+
+def genre_counts_csv(spark, d):
+    return _through_csv(spark, genre_counts_by_decade(spark, d))
+
+
+def votes_csv_single_file(spark, d):
+    return _through_csv(spark, votes_by_decade(spark, d), single=True)
+
+
+def directors_csv_by_window(spark, d):
+    return _through_csv(spark, top_directors_per_2y_window(spark, d), partition_by="window")
+
+
 def row_counts(spark, d):
     return P.row_counts({t: read_table(spark, d, t) for t in TABLES})
 
@@ -267,6 +290,9 @@ QUERIES = {
     "filmography": filmography,
     "filmography_rows": filmography_rows,
     "row_counts": row_counts,
+    "genre_counts_csv": genre_counts_csv,
+    "votes_csv_single_file": votes_csv_single_file,
+    "directors_csv_by_window": directors_csv_by_window,
     "avg_ratings_with_title_year_sql": avg_ratings_with_title_year_sql,
     "avg_profit_by_year_month_sql": avg_profit_by_year_month_sql,
     "votes_by_decade_sql": votes_by_decade_sql,

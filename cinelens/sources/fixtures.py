@@ -95,19 +95,20 @@ def films(spark: SparkSession, sf_dir: str, columns=FILM_COLUMNS, years=None) ->
             F.sum("l_quantity").alias("popularity"),
             F.count(F.lit(1)).alias("vote_count"))
         df = df.join(numbers.withColumnRenamed("l_orderkey", "_n"), F.col("id") == F.col("_n"), "left")
-    if need_genres:
-        part = _read(spark, sf_dir, "part").select("p_partkey", "p_type")
-        li = lines("l_partkey")
-        genres = li.join(part, li.l_partkey == part.p_partkey, "left").groupBy("l_orderkey").agg(
-            F.array_sort(F.collect_set("p_type")).alias("_genres"))
-        df = df.join(genres.withColumnRenamed("l_orderkey", "_g"), F.col("id") == F.col("_g"), "left")
-    if need_comp:
-        sup = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-        li = lines("l_suppkey")
-        comp = li.join(sup, li.l_suppkey == sup.s_suppkey, "left").groupBy("l_orderkey").agg(
-            F.array_sort(F.collect_set(F.when(F.col("s_name").isNotNull(),
-                                              F.struct("s_name", "s_suppkey")))).alias("_comp"))
-        df = df.join(comp.withColumnRenamed("l_orderkey", "_c"), F.col("id") == F.col("_c"), "left")
+    if need_genres or need_comp:
+        keys = lines(*(["l_partkey"] * need_genres + ["l_suppkey"] * need_comp))
+        aggs = []
+        if need_genres:
+            part = _read(spark, sf_dir, "part").select("p_partkey", "p_type")
+            keys = keys.join(part, F.col("l_partkey") == F.col("p_partkey"), "left").drop("l_partkey")
+            aggs.append(F.array_sort(F.collect_set("p_type")).alias("_genres"))
+        if need_comp:
+            sup = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+            keys = keys.join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+            aggs.append(F.array_sort(F.collect_set(F.when(
+                F.col("s_name").isNotNull(), F.struct("s_name", "s_suppkey")))).alias("_comp"))
+        lists = keys.groupBy(F.col("l_orderkey").alias("_l")).agg(*aggs)
+        df = df.join(lists, F.col("id") == F.col("_l"), "left")
 
     derived = {}
     if need_genres:
