@@ -102,7 +102,8 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS)
     # a fixed number of partitions: each value grows into dozens of keys, which partitions merged
     # by the size of the values alone would not leave room for
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    values = prints.select("fp").distinct().repartition(parts, "fp")
+    # (by another expression than the one they are distinct by: else Spark drops the repartition)
+    values = prints.select("fp").distinct().repartition(parts, F.xxhash64("fp"))
     starts = range(segments)
 
     def keyed(flips: bool):
