@@ -2,11 +2,18 @@
 
 Each document gets a vector of transformed text statistics. For every group of
 documents (language, source) the minimum-covariance-determinant estimate of
-location and scatter is computed: from several deterministic starts,
-concentration steps keep the ``support`` share of documents with the smallest
-Mahalanobis distances, and the start whose scatter has the least determinant
-wins. A document is rejected if its distance to the estimate of its group
-exceeds a chi-square quantile.
+location and scatter is approached from a deterministic start: concentration
+steps keep the half of the vectors (``support``, the method's highest
+breakdown) with the smallest Mahalanobis distances; from there the estimate is
+taken anew over all vectors within the rejection limit, several times, so it
+grows over what is connected with the half and not over clusters apart from it.
+The start is the middle and width of the shortest interval that holds half of
+each statistic, which bears nearly half of junk; one start only, because among
+several the least determinant would favour a tight cluster over the larger rest.
+Equal vectors count once in an estimate, so copies of a document do not narrow
+it. Every document is judged: it is rejected if its distance to the estimate of
+its group exceeds a chi-square quantile. A tight cluster of 40% or more that is
+off in a single statistic, by less than about 15 standard deviations, is kept.
 
 Everything runs in DataFrame functions: the statistics are array functions per
 document; the estimates are grouped sums (map-side combined, so a group
@@ -14,15 +21,15 @@ holding a third of all documents arrives as one row per task); the support cut
 is read from a histogram of distances with a fixed number of bins, never by
 sorting a group. Estimates are one row per group and are joined by size.
 
-A group with fewer than ``min_group`` usable documents pools with those of its
-language, a language with fewer with all the rest; a pool that is still too
+A group with fewer than ``min_group`` different vectors of usable documents
+pools with those of its language, a language with fewer with all the rest; a pool that is still too
 small rejects nothing. Scatter keeps at least ``FLOORS`` squared on its
 diagonal, so a statistic that is the same nearly everywhere (no symbols at
 all) does not turn a harmless trace of it into an outlier.
 
 Cases: a null or empty text has no words and fails the base rules; null
 language or source are groups of their own; null ids stay null; repeated rows
-count as often as they occur; an empty table gives an empty result; only the
+are judged each for themselves; an empty table gives an empty result; only the
 named columns are read.
 """
 
@@ -36,7 +43,9 @@ from pyspark.sql import functions as F
 from cinelens.llm.common import BLANKS, checkpointed
 
 MIN_WORDS, REPEAT_PERCENT = 50, 50
-SUPPORT, MIN_GROUP, STEPS, BINS, SALTS = 0.75, 100, 3, 512, 32
+SUPPORT, MIN_GROUP, STEPS, BINS, SALTS = 0.5, 100, 3, 512, 32
+#: Times an estimate is taken over all vectors within the limit, after the concentration steps.
+GROWTH = 4
 #: Chi-square quantile for the rejection, as its upper tail.
 TAIL = 1e-6
 
@@ -249,37 +258,43 @@ def _structs(estimates: list[DataFrame]) -> DataFrame:
     return out
 
 
-def mcd(rows: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
+def _shortest_halves(rows: DataFrame) -> DataFrame:
+    """Per group a struct b0, b1, ... for each statistic: width w and middle m of the shortest
+    interval between 2% quantiles (by mergeable sketches) that holds half of the rows."""
+    at = F.array(*[F.lit(k / 50) for k in range(51)])
+    quantiles = rows.groupBy("grp").agg(*[
+        F.percentile_approx(c, at, 1000).alias(f"p{i}") for i, c in enumerate(NAMES)])
+    return quantiles.select("grp", *[F.expr(f"""array_min(transform(sequence(0, 25), k ->
+        struct(p{i}[k + 25] - p{i}[k] as w, (p{i}[k + 25] + p{i}[k]) / 2 as m)))""").alias(f"b{i}")
+        for i in range(_P)])
+
+
+def mcd(rows: DataFrame, support: float = SUPPORT, steps: int = STEPS, growth: int = GROWTH,
+        tail: float = TAIL) -> DataFrame:
     """Estimate per group: (grp, e0) with mean, Cholesky factor and log determinant.
 
-    ``rows``: grp and the statistics. Two deterministic starts: all documents,
-    and the documents whose statistics all lie within the inner quartiles'
-    reach (medians and quartiles by mergeable sketches).
+    ``rows``: grp and the statistics; equal rows count once.
     """
     # checkpointed rows keep their order, so the salt by row number is the same in every step
-    rows = checkpointed(rows.select("grp", *NAMES)).withColumn(
+    rows = checkpointed(rows.select("grp", *NAMES).distinct()).withColumn(
         "salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
-    quartiles = rows.groupBy("grp").agg(*[
-        F.percentile_approx(c, F.array(*map(F.lit, (0.25, 0.5, 0.75))), 1000).alias(f"p_{c}")
-        for c in NAMES])
-    inside = F.lit(True)
-    for c in NAMES:
-        spread = F.greatest(F.col(f"p_{c}")[2] - F.col(f"p_{c}")[0], F.lit(FLOORS[c]))
-        inside = inside & (F.abs(F.col(c) - F.col(f"p_{c}")[1]) <= 1.5 * spread)
+    halves = checkpointed(_shortest_halves(rows))
+    # 1.349: from the width of the inner half to the standard deviation, for normal data
+    far = F.greatest(*[F.abs(F.col(c) - F.col(f"b{i}.m")) / F.greatest(
+        F.col(f"b{i}.w") / 1.349, F.lit(FLOORS[c])) for i, c in enumerate(NAMES)])
+    near = rows.join(_salted(halves), ["grp", "salt"]).select("grp", "salt", *NAMES, (far * far).alias("d0"))
     scale = consistency(support, _P)
-    plain = _factored(_moments(rows, F.lit(1.0)), 1.0)
-    core = _factored(_moments(rows.join(_salted(quartiles), ["grp", "salt"]).where(inside), F.lit(1.0)), 1.0)
-    estimates = checkpointed(_structs([plain, core]))
-    starts = 2
     for _ in range(steps):
-        near = _with_distances(rows, estimates, starts)
-        cuts = checkpointed(_cuts(near, starts, support))
-        chosen = near.join(_salted(cuts), ["grp", "salt"])
+        cuts = checkpointed(_cuts(near, 1, support))
+        chosen = near.join(_salted(cuts), ["grp", "salt"]).where(_bin(F.col("d0")) <= F.col("cut0"))
+        estimates = checkpointed(_structs([_factored(_moments(chosen, F.lit(1.0)), scale)]))
+        near = _with_distances(rows, estimates, 1)
+    limit, scale = chi2_quantile(tail, _P), consistency(1 - tail, _P)
+    for _ in range(growth):
         estimates = checkpointed(_structs([
-            _factored(_moments(chosen, F.when(_bin(F.col(f"d{s}")) <= F.col(f"cut{s}"), 1.0)
-                               .otherwise(0.0)), scale) for s in range(starts)]))
-    best = F.when(F.col("e0.logdet") < F.col("e1.logdet"), F.col("e0")).otherwise(F.col("e1"))
-    return estimates.select("grp", best.alias("e0"))
+            _factored(_moments(near.where(F.col("d0") <= limit), F.lit(1.0)), scale)]))
+        near = _with_distances(rows, estimates, 1)
+    return estimates
 
 
 def _pooled(usable: DataFrame, group_cols: list[str], min_group: int) -> DataFrame:
@@ -307,13 +322,14 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stats = statistics(keep, ["doc_id", *names])
     stats = checkpointed(stats.withColumn("base_failed", base_failed()).select("*", *transformed()))
     usable = stats.where(~F.col("base_failed"))
-    which = checkpointed(_pooled(usable, names, min_group))
+    vectors = checkpointed(usable.select(*names, *NAMES).distinct())
+    which = checkpointed(_pooled(vectors, names, min_group))
     right = which.select(*[F.col(n).alias(f"r{n}") for n in names], "grp")
     same = F.lit(True)
     for n in names:
         same = same & F.col(n).eqNullSafe(F.col(f"r{n}"))
-    rows = usable.join(right, same).where("grp IS NOT NULL").select("grp", *NAMES)
-    estimates = mcd(rows, support)
+    rows = vectors.join(right, same).where("grp IS NOT NULL").select("grp", *NAMES)
+    estimates = mcd(rows, support, tail=tail)
     best = which.join(estimates, "grp", "left").select(*[F.col(n).alias(f"r{n}") for n in names], "e0")
     limit = chi2_quantile(tail, _P)
     found = stats.join(best, same, "left").withColumn("distance", _squared_distance("e0"))

@@ -94,3 +94,44 @@ def test_estimate_ignores_a_cluster_of_outliers(spark):
     z = np.linalg.solve(low, (np.r_[good, bad] - [e[f"m{i}"] for i in range(5)]).T)
     d = (z ** 2).sum(axis=0)
     assert (d[:3000] > q.chi2_quantile(1e-4, 5)).mean() < .01 and (d[3000:] > q.chi2_quantile(1e-6, 5)).all()
+
+
+def rejected(e, rows):
+    low = np.array([[e[f"l{i}{j}"] if j <= i else 0 for j in range(5)] for i in range(5)])
+    z = np.linalg.solve(low, (rows - [e[f"m{i}"] for i in range(5)]).T)
+    return ((z ** 2).sum(axis=0) > q.chi2_quantile(q.TAIL, 5)).mean()
+
+
+def test_clusters_and_copies_up_to_nearly_half(spark):
+    rng = np.random.default_rng(5)
+    cases = {}
+    for percent in (30, 45):
+        n = 40 * percent
+        good = rng.multivariate_normal([5, 1.6, 1, 1, 1], np.diag([1, .04, .25, .25, .25]) + .05, 4000 - n)
+        cases[f"wide {percent}"] = good, rng.normal([9, 3, 6, 6, 6], .5, (n, 5))
+        cases[f"tight {percent}"] = good, rng.normal([9, 3, 6, 6, 6], .01, (n, 5))
+        cases[f"one side {percent}"] = good, rng.normal([5, 1.6, 1, 12, 1], .1, (n, 5))
+        cases[f"clean near copies {percent}"] = good, rng.normal([5.5, 1.6, 1, 1.3, 1], .01, (n, 5))
+        cases[f"far copies {percent}"] = good, np.repeat([[9., 3., 6., 6., 6.]], n, axis=0)
+    for percent in (30, 45, 50, 60, 70):
+        good = rng.multivariate_normal([5, 1.6, 1, 1, 1], np.diag([1, .04, .25, .25, .25]) + .05, 4000 - 40 * percent)
+        cases[f"clean copies {percent}"] = good, np.repeat(good[:1], 40 * percent, axis=0)
+    rows = [(name, *map(float, r)) for name, parts in cases.items() for r in np.r_[parts]]
+    df = spark.createDataFrame(rows, "grp string, " + ", ".join(f"{c} double" for c in q.NAMES))
+    estimates = {r.grp: r.e0 for r in q.mcd(df).collect()}
+    got = {name: (rejected(estimates[name], good), rejected(estimates[name], rest))
+           for name, (good, rest) in cases.items()}
+    wrong = {k: v for k, v in got.items() if v[0] > .01 or v[1] != (0 if "clean" in k else 1)}
+    assert not wrong
+
+
+def test_copies_are_judged_each(spark):
+    rng = np.random.default_rng(7)
+    words = np.array(["alpha", "be", "gamma", "delta", "of", "epsilon", "to", "zeta"])
+    texts = [" ".join(rng.choice(words, int(n)) + rng.integers(0, 99, int(n)).astype(str))
+             for n in rng.integers(80, 300, 200)]
+    texts += [texts[0]] * 400 + ["# $ % & | < > * " * 5 + "".join(f"& w{i} " for i in range(90))] * 150
+    df = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)],
+                               "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in q.judge(df).collect()}
+    assert len(kept) == 750 and all(kept[i] for i in range(600)) and not any(kept[i] for i in range(600, 750))
