@@ -6,13 +6,18 @@ it and checking its structure:
 
 - ``der``: base64 or hex that decodes to a DER private key. Every length is
   checked against its container, down to the leaves, and the children must be
-  those of PKCS#1, PKCS#8 (plain or encrypted) or SEC1.
+  those of PKCS#1 (two or more primes), PKCS#8 (plain or encrypted), SEC1 or the
+  six integers of a DSA key.
 - ``ssh``: the OpenSSH private key container, whose nested length-prefixed
   fields must use up the bytes exactly.
 - ``jwt``: a signed token: JSON header naming an algorithm, JSON object as
   payload, signature length as the algorithm demands.
 
-Key blocks wrapped over several lines are read between their BEGIN/END marks.
+Base64 and hex may be wrapped over lines, by line breaks or by the escapes ``\\n``
+and ``\\r`` of JSON, with or without BEGIN/END marks; base64 may use either
+alphabet. A key's end is taken from its own outer length, so text that follows
+on the next line does not hide it; what follows on the same line does. Tokens
+are any three dotted base64url runs whose first two decode to JSON objects.
 
 Map-only: no shuffle, one row per document, memory bounded by one Arrow batch.
 
@@ -48,10 +53,15 @@ _ASSIGN_HINT = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(rb"[0-9a-f]{16,}")
 
-_KEY_B64 = re.compile(rb"(?<![A-Za-z0-9+/])(?:M[A-P]|b3BlbnNzaC1rZXktdjEA)[A-Za-z0-9+/]{20,}={0,2}")
-_KEY_HEX = re.compile(rb"(?<![0-9A-Fa-f])(?:30|6[fF]70656[eE])[0-9A-Fa-f]{30,}(?![0-9A-Fa-f])")
-_ARMOR = re.compile(rb"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END ")
-_TOKEN = re.compile(rb"(?<![A-Za-z0-9_-])ey[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
+# A break between lines, as it stands or escaped (once or more) as in JSON.
+_BREAK = rb"(?:[\x20\t]*(?:\r?\n|(?:\\+r)?\\+n)[\x20\t]*)"
+_BREAKS = re.compile(_BREAK)
+# Before a start: no character of the alphabet, or the letter of an escaped break.
+_KEY_B64 = re.compile(rb"(?:(?<![A-Za-z0-9+/_-])|(?<=\\n)|(?<=\\r)|(?<=-----))(?:M[A-P]|b3BlbnNzaC1rZXktdjEA)"
+                      rb"[A-Za-z0-9+/_-]{2,}(?:" + _BREAK + rb"[A-Za-z0-9+/_-]+)*={0,2}")
+_KEY_HEX = re.compile(rb"(?:(?<![0-9A-Fa-f])|(?<=\\n)|(?<=\\r))(?:30|6[fF]70656[eE])[0-9A-Fa-f]{2,}"
+                      rb"(?:" + _BREAK + rb"[0-9A-Fa-f]+)*(?![0-9A-Fa-f])")
+_TOKEN = re.compile(rb"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
 
 #: Signature bytes by algorithm (fixed values of the JWS algorithms); 0: at least 128.
 _SIGNATURE = {"HS256": 32, "HS384": 48, "HS512": 64, "ES256": 64, "ES384": 96, "ES512": 132,
@@ -109,6 +119,14 @@ def is_private_der(data: bytes) -> bool:
         version = data[parts[0][1]]
         if len(tags) == 9 and set(tags) == {_INT} and version == 0:
             return parts[1][2] - parts[1][1] >= 32  # the modulus
+        if len(tags) == 10 and set(tags[:9]) == {_INT} and tags[9] == _SEQ and version == 1:
+            # more primes: each with its exponent and coefficient
+            others = _children(data, parts[9][1], parts[9][2])
+            return parts[1][2] - parts[1][1] >= 32 and bool(others) and all(
+                e[0] == _SEQ and [c[0] for c in _children(data, e[1], e[2])] == [_INT] * 3 for e in others)
+        if len(tags) == 6 and set(tags) == {_INT} and version == 0:  # DSA: p, q, g, public, private
+            p, q, _, _, x = (e[2] - e[1] for e in parts[1:])
+            return p >= 64 and 20 <= q <= 33 and 1 <= x <= q
         if len(tags) >= 3 and tags[1:3] == [_SEQ, _OCTETS] and version <= 1:
             return oid_first(parts[1]) and parts[2][2] - parts[2][1] >= 16
         if len(tags) >= 2 and tags[1] == _OCTETS and version == 1:
@@ -176,33 +194,81 @@ def is_signed_token(token: bytes) -> bool:
     return len(raw) == _SIGNATURE[alg] if _SIGNATURE[alg] else len(raw) >= 128
 
 
-def _key_kind(raw: bytes | None) -> str | None:
-    if not raw:
+def _wanted(head: bytes) -> int | None:
+    """Bytes of the DER element that starts so, by its own length; None if unknown."""
+    if len(head) < 2 or head[0] != _SEQ:
         return None
-    return "der" if is_private_der(raw) else "ssh" if is_openssh_key(raw) else None
+    n = head[1]
+    if n < 0x80:
+        return 2 + n
+    size = n & 0x7F
+    return 2 + size + int.from_bytes(head[2:2 + size], "big") if 1 <= size <= 4 and len(head) >= 2 + size else None
+
+
+def _wrapped_key(run: bytes, decode, units: int, per: int) -> tuple[int, str] | None:
+    """(end within the run, kind) of the key at the start of a run that may go over lines.
+
+    ``units`` characters hold ``per`` bytes. The whole run is tried, then, for DER, the lines
+    up to the one in which the outer length is used up, and for other containers each line end.
+    """
+    lines, at = [], 0
+    for m in _BREAKS.finditer(run):
+        lines.append((at, m.start()))
+        at = m.end()
+    if at < len(run):
+        lines.append((at, len(run)))
+    head = decode(b"".join(run[a:b] for a, b in lines[:8])[:16 // per * units])
+    wanted = _wanted(head or b"")
+    if wanted is None:
+        if not head or not head.startswith(b"openssh-ke"):
+            return None
+        # container of lengths: the end may be at any line end from the longest down
+        for k in range(len(lines), 0, -1):
+            raw = decode(b"".join(run[a:b] for a, b in lines[:k]))
+            if raw and is_openssh_key(raw):
+                return lines[k - 1][1], "ssh"
+        return None
+    chars = -(-wanted * units // per)
+    seen = 0
+    for k, (a, b) in enumerate(lines):
+        seen += len(run[a:b].rstrip(b"="))
+        if seen >= chars:
+            raw = decode(b"".join(run[x:y] for x, y in lines[:k + 1])) if seen == chars else None
+            return (b, "der") if raw and is_private_der(raw) else None
+    return None
+
+
+def _any_b64(text: bytes) -> bytes | None:
+    return _b64(text.translate(_TO_PLAIN))
+
+
+_TO_PLAIN = bytes.maketrans(b"-_", b"+/")
+
+
+def _hex(text: bytes) -> bytes | None:
+    return bytes.fromhex(text.decode()) if len(text) % 2 == 0 else None
 
 
 def confirmed_spans(data: bytes) -> list[tuple[int, int, str]]:
     """Byte spans of candidates whose structure holds."""
     out = []
-    armored: list[tuple[int, int]] = []
-    if b"-----BEGIN " in data:
-        for m in _ARMOR.finditer(data):
-            kind = _key_kind(_b64(b"".join(m[1].split())))
-            if kind:
-                out.append((m.start(1) + len(m[1]) - len(m[1].lstrip()),
-                            m.start(1) + len(m[1].rstrip()), kind))
-                armored.append(m.span(1))
-    for m in _KEY_B64.finditer(data):
-        kind = _key_kind(_b64(m[0]))
-        if kind and not any(a <= m.start() and m.end() <= b for a, b in armored):
-            out.append((*m.span(), kind))
-    for m in _KEY_HEX.finditer(data):
-        kind = _key_kind(bytes.fromhex(m[0].decode())) if len(m[0]) % 2 == 0 else None
-        if kind:
-            out.append((*m.span(), kind))
-    if b".ey" in data:
-        out += [(*m.span(), "jwt") for m in _TOKEN.finditer(data) if is_signed_token(m[0])]
+    for pattern, decode, units, per in ((_KEY_B64, _any_b64, 4, 3), (_KEY_HEX, _hex, 2, 1)):
+        at = 0
+        while m := pattern.search(data, at):
+            # marks of dashes that stand right behind the base64 are not part of it
+            run = m[0].partition(b"-----")[0]
+            key = _wrapped_key(run, decode, units, per)
+            if key:
+                out.append((m.start(), m.start() + key[0], key[1]))
+                at = m.start() + key[0]
+            else:  # a key may start in a later line of the same run
+                first = _BREAKS.search(run)
+                at = m.start() + first.end() if first else m.end()
+    if b"." in data:
+        for m in _TOKEN.finditer(data):
+            # the run may begin with the letter of an escaped break
+            escaped = m[0][:1] in (b"n", b"r", b"t") and data[m.start() - 1:m.start()] == b"\\"
+            out += [(m.start() + k, m.end(), "jwt") for k in range(1 + escaped) if is_signed_token(m[0][k:])][:1]
     return out
 
 

@@ -125,3 +125,29 @@ def test_added_spans_come_beside_the_base_ones(spark):
     r = secrets.scan_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert (r.n_assign, r.n_confirmed) == (1, 1) and r.base_sha256 == brute(text)[3]
     assert r.spans == f"assign:0:{len(text)},der:9:{len(text)}"
+
+
+DSA = tlv(0x30, integer(0) + b"".join(integer((1 << k) + 77) for k in (1023, 159, 1022, 1021, 158)))
+PRIMES = tlv(0x30, integer(1) + RSA[4 + 3:] + tlv(0x30, tlv(0x30, b"".join(integer((1 << k) + 5) for k in (340, 339, 338)))))
+
+
+def test_tokens_whatever_their_json_starts_with():
+    def token(head, body):
+        return ".".join((b64(head, True), b64(body, True), b64(bytes(32), True)))
+    head = b'{"alg":"HS256"}'
+    for t in (token(head, b"{}"), token(head, b'{\n "sub": 1}'), token(b'{\n "alg": "HS256"}', b"{}"),
+              token(b' {"alg":"HS256"}', b"{}"), token(b'\n{"alg":"HS256"}', b'\t{"a":1}')):
+        assert confirmed(f"é {t},") == [("jwt", t)], t
+        assert confirmed("see\\n" + t) == [("jwt", t)]
+
+
+def test_wrapped_and_escaped_keys():
+    for key, kind in ((RSA, "der"), (PKCS8, "der"), (EC, "der"), (DSA, "der"), (PRIMES, "der"), (SSH, "ssh")):
+        for text in (b64(key), b64(key).replace("+", "-").replace("/", "_"), *[key.hex()] * (kind == "der")):
+            for gap in ("\n", "\r\n", "\\n", "\\r\\n", "\n    ", "\\\\n"):
+                wrapped = gap.join(re.findall(".{1,64}", text))
+                assert confirmed(f"é:\n{wrapped}\n") == [(kind, wrapped)], (gap, text[:9])
+                assert confirmed(f"key:{gap}{wrapped}{gap}and then text") == [(kind, wrapped)], (gap, text[:9])
+                pem = f"-----BEGIN PRIVATE KEY-----{gap}{wrapped}{gap}-----END PRIVATE KEY-----{gap}"
+                assert confirmed(json.dumps({"private_key": "x"}) + pem) == [(kind, wrapped)], (gap, text[:9])
+    assert confirmed(b64(RSA[:-1]) + "\n" + b64(EC)) == [("der", b64(EC))]
