@@ -12,7 +12,6 @@ summed by the decimal spelling of each value; means are ``double(sum) / count``.
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -23,25 +22,24 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from cinelens.queries import QUERIES, TABLES  # noqa: E402
 
-# The training-data operators are optional: their folder and the pipeline may be absent.
+# The training-data operators are optional: their folder, the pipeline or a library they need may be absent.
 _LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _LLM_ORACLE: dict[str, str] = {}
 
-
-def _present(module: str) -> bool:
-    spec = importlib.util.find_spec(module)
-    return spec is not None and spec.origin is not None  # a folder without code has no origin
-
-
-if _present("cinelens.llm"):
-    from cinelens.llm.queries import ORACLE_SQL as _SQL, QUERIES as _OWN  # noqa: E402
+try:
+    from cinelens.llm.queries import ORACLE_SQL as _SQL, QUERIES as _OWN
     _LLM_QUERIES.update(_OWN)
     _LLM_ORACLE.update(_SQL)
-    if _present("corpus_pipeline"):
-        import corpus_pipeline  # noqa: E402
+except ImportError as _why:
+    print(f"training-data queries are left out: {_why}", file=sys.stderr)
+else:
+    try:
+        import corpus_pipeline
         _LLM_QUERIES["pipeline"] = corpus_pipeline.run
         if corpus_pipeline.ORACLE_SQL:
             _LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ImportError as _why:
+        print(f"query pipeline is left out: {_why}", file=sys.stderr)
 
 FLAGSHIP = "top_rated_per_decade"
 

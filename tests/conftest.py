@@ -1,13 +1,10 @@
-import os
 import sys
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+from paths import ROOT
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
+sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")

@@ -7,7 +7,7 @@ from cinelens import plans as P
 from cinelens import queries as Q
 from cinelens.sources import fixtures as fx
 
-from conftest import SF001
+from paths import SF001
 
 
 def test_entry_smoke(spark):

@@ -6,7 +6,7 @@ import __spark_entry__ as E
 from cinelens.queries import QUERIES
 from oracle_check import compare, duck
 
-from conftest import SF01
+from paths import SF01
 
 
 @pytest.fixture(scope="module")

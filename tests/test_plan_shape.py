@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as E
 from cinelens.queries import QUERIES
 
-from conftest import SF001
+from paths import SF001
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
              "BroadcastNestedLoopJoin", "FlatMapGroupsInPandas", "MapInPandas")
