@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from cinelens.llm import (decontamination, line_dedup, quality_rules, secrets, sentencepiece_stream,
-                          sharding, simhash, site_quality, token_counts, toxicity)
+                          sharding, simhash, site_quality, spelling, token_counts, toxicity)
 from cinelens.llm.common import table
 
 
@@ -69,8 +69,14 @@ def op10_decontamination(spark, sf_dir):
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.variant_groups(spelling.vocabulary(
+        table(spark, sf_dir, "documents"), rule=spelling.deletion_noise()))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scans, op2_line_dedup, op3_sharding, op4_sentencepiece, op5_quality_rules,
-    op6_simhash, op7_quality_classifier, op8_toxicity, op9_token_counts, op10_decontamination)}
+    op6_simhash, op7_quality_classifier, op8_toxicity, op9_token_counts, op10_decontamination,
+    op12_spelling_variants)}
 
 ORACLE_SQL = {"op2_line_dedup": line_dedup.DIGEST_SQL, "op10_decontamination": decontamination.DIGEST_SQL}
