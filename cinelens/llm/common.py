@@ -6,8 +6,9 @@ import os
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,3 +91,39 @@ def record_batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
         [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, schema.types)],
         schema=schema)
 
+
+def _running(ends: dict[int, int], value: int):
+    """Append the sum of column ``value`` over all rows before, within a sorted partition and by ``ends`` before it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if done is None:
+                done = ends[batch.column(0)[0].as_py()]
+            own = batch.column(value).to_numpy(zero_copy_only=False)
+            sums = np.cumsum(own)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(done + sums - own, pa.int64())],
+                                             names=[*batch.schema.names[1:], "prefix"])
+            done += int(sums[-1])
+
+    return run
+
+
+def prefix_sums(df: DataFrame, order: list[Column], value: str, name: str) -> DataFrame:
+    """``df`` with the sum of the long column ``value`` (never null) over all rows before, by ``order``.
+
+    Range partitions, fixed by a checkpoint; one sum per partition is all the driver sees. ``df`` is
+    read twice (bounds, then rows), so a dear one should be checkpointed first. Rows equal in
+    ``order`` follow one another in any order.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fixed = checkpointed(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                         .select(F.spark_partition_id().alias("prefix_part"), "*"))
+    sums = fixed.groupBy("prefix_part").agg(F.sum(value).alias("v")).collect()
+    ends, done = {}, 0
+    for part, v in sorted(tuple(r) for r in sums):
+        ends[part] = done
+        done += v
+    schema = T.StructType(fixed.schema.fields[1:]).add("prefix", T.LongType())
+    return arrow_map(fixed, _running(ends, fixed.columns.index(value)), schema, rows=None).withColumnRenamed("prefix", name)

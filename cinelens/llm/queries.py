@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from cinelens.llm import (decontamination, line_dedup, quality_rules, secrets, sentencepiece_stream,
-                          sharding, simhash, site_quality, spelling, token_counts, toxicity)
+from cinelens.llm import (decontamination, lexical_search, line_dedup, mixing, quality_rules, secrets,
+                          sentencepiece_stream, sharding, simhash, site_quality, spelling, token_counts, toxicity)
 from cinelens.llm.common import table
 
 
@@ -69,14 +69,23 @@ def op10_decontamination(spark, sf_dir):
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op11_lexical_search(spark, sf_dir):
+    return lexical_search.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_spelling_variants(spark, sf_dir):
     return spelling.variant_groups(spelling.vocabulary(
         table(spark, sf_dir, "documents"), rule=spelling.deletion_noise()))
 
 
+def op13_mixing(spark, sf_dir):
+    return mixing.digest(mixing.mix(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scans, op2_line_dedup, op3_sharding, op4_sentencepiece, op5_quality_rules,
     op6_simhash, op7_quality_classifier, op8_toxicity, op9_token_counts, op10_decontamination,
-    op12_spelling_variants)}
+    op11_lexical_search, op12_spelling_variants, op13_mixing)}
 
-ORACLE_SQL = {"op2_line_dedup": line_dedup.DIGEST_SQL, "op10_decontamination": decontamination.DIGEST_SQL}
+ORACLE_SQL = {"op2_line_dedup": line_dedup.DIGEST_SQL, "op10_decontamination": decontamination.DIGEST_SQL,
+              "op11_lexical_search": lexical_search.DIGEST_SQL, "op13_mixing": mixing.DIGEST_SQL}

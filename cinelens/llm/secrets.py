@@ -18,6 +18,8 @@ and ``\\r`` of JSON, with or without BEGIN/END marks; base64 may use either
 alphabet. A key's end is taken from its own outer length, so text that follows
 on the next line does not hide it; what follows on the same line does. Tokens
 are any three dotted base64url runs whose first two decode to JSON objects.
+A run of lines is split once; at each line that may begin a key only the nested
+lengths are decoded, so the time is proportional to the text.
 
 Map-only: no shuffle, one row per document, memory bounded by one Arrow batch.
 
@@ -33,7 +35,9 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,10 +61,12 @@ _HEX = re.compile(rb"[0-9a-f]{16,}")
 _BREAK = rb"(?:[\x20\t]*(?:\r?\n|(?:\\+r)?\\+n)[\x20\t]*)"
 _BREAKS = re.compile(_BREAK)
 # Before a start: no character of the alphabet, or the letter of an escaped break.
-_KEY_B64 = re.compile(rb"(?:(?<![A-Za-z0-9+/_-])|(?<=\\n)|(?<=\\r)|(?<=-----))(?:M[A-P]|b3BlbnNzaC1rZXktdjEA)"
-                      rb"[A-Za-z0-9+/_-]{2,}(?:" + _BREAK + rb"[A-Za-z0-9+/_-]+)*={0,2}")
-_KEY_HEX = re.compile(rb"(?:(?<![0-9A-Fa-f])|(?<=\\n)|(?<=\\r))(?:30|6[fF]70656[eE])[0-9A-Fa-f]{2,}"
-                      rb"(?:" + _BREAK + rb"[0-9A-Fa-f]+)*(?![0-9A-Fa-f])")
+_START_B64 = re.compile(rb"(?:(?<![A-Za-z0-9+/_-])|(?<=\\n)|(?<=\\r)|(?<=-----))(?:M[A-P]|b3BlbnNzaC1rZXktdjEA)"
+                        rb"[A-Za-z0-9+/_-]{2}")
+_START_HEX = re.compile(rb"(?:(?<![0-9A-Fa-f])|(?<=\\n)|(?<=\\r))(?:30|6[fF]70656[eE])[0-9A-Fa-f]{2}")
+# From a start on: lines of the alphabet.
+_RUN_B64 = re.compile(rb"[A-Za-z0-9+/_-]+(?:" + _BREAK + rb"[A-Za-z0-9+/_-]+)*={0,2}")
+_RUN_HEX = re.compile(rb"[0-9A-Fa-f]+(?:" + _BREAK + rb"[0-9A-Fa-f]+)*")
 _TOKEN = re.compile(rb"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
 
 #: Signature bytes by algorithm (fixed values of the JWS algorithms); 0: at least 128.
@@ -87,12 +93,12 @@ def _tlv(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
     return (tag, at, at + n) if at + n <= end else None
 
 
-def _children(data: bytes, at: int, end: int, depth: int = 0) -> list[tuple[int, int, int]] | None:
+def _children(data: bytes, at: int, end: int, depth: int = 0, most: int | None = None) -> list[tuple[int, int, int]] | None:
     """Elements that exactly fill ``data[at:end]``; nested containers are checked as well."""
     out = []
     while at < end:
         e = _tlv(data, at, end)
-        if e is None:
+        if e is None or len(out) == most:
             return None
         if e[0] & 0x20 and (depth > 8 or _children(data, e[1], e[2], depth + 1) is None):
             return None
@@ -106,7 +112,10 @@ def is_private_der(data: bytes) -> bool:
     top = _tlv(data, 0, len(data))
     if top is None or top[0] != _SEQ or top[2] != len(data):
         return False
-    parts = _children(data, top[1], top[2])
+    first = _tlv(data, top[1], top[2])
+    if first is None or first[0] not in (_INT, _SEQ) or first[2] == top[2]:
+        return False  # told from the first lengths alone: a version or an algorithm, and more behind it
+    parts = _children(data, top[1], top[2], most=10)
     if not parts:
         return False
     tags = [p[0] for p in parts]
@@ -135,35 +144,36 @@ def is_private_der(data: bytes) -> bool:
     return tags == [_SEQ, _OCTETS] and oid_first(parts[0]) and parts[1][2] - parts[1][1] >= 16
 
 
-def is_openssh_key(data: bytes) -> bool:
-    """Whether the bytes are exactly one OpenSSH private key container."""
+def openssh_length(data: bytes) -> int | None:
+    """Bytes of the OpenSSH private key container that ``data`` begins with, by its nested lengths."""
     magic = b"openssh-key-v1\x00"
-    if not data.startswith(magic):
-        return False
+    if data[:len(magic)] != magic:
+        return None
     at = len(magic)
 
-    def field(at: int) -> tuple[bytes, int] | None:
-        if at + 4 > len(data):
-            return None
-        n = int.from_bytes(data[at:at + 4], "big")
-        return (data[at + 4:at + 4 + n], at + 4 + n) if at + 4 + n <= len(data) else None
+    def number(at: int) -> int | None:
+        return int.from_bytes(data[at:at + 4], "big") if at + 4 <= len(data) else None
 
     for _ in range(3):  # cipher, kdf, kdf options
-        got = field(at)
-        if got is None:
-            return False
-        at = got[1]
-    if at + 4 > len(data):
-        return False
-    keys, at = int.from_bytes(data[at:at + 4], "big"), at + 4
-    if not 1 <= keys <= 16:
-        return False
+        n = number(at)
+        if n is None:
+            return None
+        at += 4 + n
+    keys = number(at)
+    if keys is None or not 1 <= keys <= 16:
+        return None
+    at += 4
     for _ in range(keys + 1):  # public keys, then the private section
-        got = field(at)
-        if got is None or not got[0]:
-            return False
-        at = got[1]
-    return at == len(data)
+        n = number(at)
+        if not n:
+            return None
+        at += 4 + n
+    return at if at <= len(data) else None
+
+
+def is_openssh_key(data: bytes) -> bool:
+    """Whether the bytes are exactly one OpenSSH private key container."""
+    return openssh_length(data) == len(data)
 
 
 def _b64(text: bytes, alphabet: bytes = b"+/") -> bytes | None:
@@ -205,65 +215,87 @@ def _wanted(head: bytes) -> int | None:
     return 2 + size + int.from_bytes(head[2:2 + size], "big") if 1 <= size <= 4 and len(head) >= 2 + size else None
 
 
-def _wrapped_key(run: bytes, decode, units: int, per: int) -> tuple[int, str] | None:
-    """(end within the run, kind) of the key at the start of a run that may go over lines.
-
-    ``units`` characters hold ``per`` bytes. The whole run is tried, then, for DER, the lines
-    up to the one in which the outer length is used up, and for other containers each line end.
-    """
-    lines, at = [], 0
-    for m in _BREAKS.finditer(run):
-        lines.append((at, m.start()))
-        at = m.end()
-    if at < len(run):
-        lines.append((at, len(run)))
-    head = decode(b"".join(run[a:b] for a, b in lines[:8])[:16 // per * units])
-    wanted = _wanted(head or b"")
-    if wanted is None:
-        if not head or not head.startswith(b"openssh-ke"):
-            return None
-        # container of lengths: the end may be at any line end from the longest down
-        for k in range(len(lines), 0, -1):
-            raw = decode(b"".join(run[a:b] for a, b in lines[:k]))
-            if raw and is_openssh_key(raw):
-                return lines[k - 1][1], "ssh"
-        return None
-    chars = -(-wanted * units // per)
-    seen = 0
-    for k, (a, b) in enumerate(lines):
-        seen += len(run[a:b].rstrip(b"="))
-        if seen >= chars:
-            raw = decode(b"".join(run[x:y] for x, y in lines[:k + 1])) if seen == chars else None
-            return (b, "der") if raw and is_private_der(raw) else None
-    return None
+_TO_PLAIN = bytes.maketrans(b"-_", b"+/")
 
 
-def _any_b64(text: bytes) -> bytes | None:
-    return _b64(text.translate(_TO_PLAIN))
+class _Run:
+    """Lines of a base64 or hex run, read once; what starts at a line is decoded where it is looked at."""
+
+    def __init__(self, data: bytes, start: int, hexadecimal: bool):
+        found = (_RUN_HEX if hexadecimal else _RUN_B64).match(data, start)[0]
+        # marks of dashes that stand right behind the base64 are not part of it
+        run = found.partition(b"-----")[0]
+        self.end = start + len(run)
+        self.units, self.per = (2, 1) if hexadecimal else (4, 3)  # so many characters hold so many bytes
+        self.starts, self.ends, at = [], [], 0
+        for m in _BREAKS.finditer(run):
+            self.starts.append(start + at)
+            self.ends.append(start + m.start())
+            at = m.end()
+        if at < len(run):
+            self.starts.append(start + at)
+            self.ends.append(self.end)
+        text = [data[a:b].rstrip(b"=") for a, b in zip(self.starts, self.ends)]
+        #: characters up to the end of each line
+        self.sums = list(accumulate(map(len, text)))
+        self.text = b"".join(text) if hexadecimal else b"".join(text).translate(_TO_PLAIN)
+
+    def key_at(self, place: int) -> tuple[int, str] | None:
+        """(end in the text, kind) of the key that starts with the line at ``place``.
+
+        Its own lengths say how long it is; it must end with a line.
+        """
+        k = bisect_left(self.starts, place)
+        if k == len(self.starts) or self.starts[k] != place:
+            return None
+        before = self.sums[k - 1] if k else 0
+        view = _Decoded(self, before, len(self.text) - before)
+        kind, size = "der", _wanted(view[:6])
+        if size is None:
+            kind, size = "ssh", openssh_length(view)
+        if size is None or size > len(view):
+            return None
+        chars = -(-size * self.units // self.per)
+        line = bisect_left(self.sums, before + chars)
+        if line == len(self.sums) or self.sums[line] != before + chars:
+            return None
+        if kind == "der" and not is_private_der(_Decoded(self, before, chars)):
+            return None
+        return self.ends[line], kind
 
 
-_TO_PLAIN = bytes.maketrans(b"-_", b"+/")
+class _Decoded:
+    """Bytes of ``chars`` characters of a run, decoded piece by piece."""
+
+    def __init__(self, run: _Run, before: int, chars: int):
+        self.run, self.before, self.chars = run, before, chars
 
+    def __len__(self) -> int:
+        return self.chars * self.run.per // self.run.units
 
-def _hex(text: bytes) -> bytes | None:
-    return bytes.fromhex(text.decode()) if len(text) % 2 == 0 else None
+    def __getitem__(self, at):
+        if isinstance(at, int):
+            return self[at:at + 1][0]
+        a, b, _ = at.indices(len(self))
+        units, per, first = self.run.units, self.run.per, a // self.run.per
+        text = self.run.text[self.before + first * units:self.before + min(self.chars, -(-b // per) * units)]
+        raw = bytes.fromhex(text[:len(text) // 2 * 2].decode()) if units == 2 else binascii.a2b_base64(
+            text[:-1] if len(text) % 4 == 1 else text + b"=" * (-len(text) % 4))
+        return raw[a - first * per:b - first * per]
 
 
 def confirmed_spans(data: bytes) -> list[tuple[int, int, str]]:
     """Byte spans of candidates whose structure holds."""
     out = []
-    for pattern, decode, units, per in ((_KEY_B64, _any_b64, 4, 3), (_KEY_HEX, _hex, 2, 1)):
-        at = 0
+    for pattern, hexadecimal in ((_START_B64, False), (_START_HEX, True)):
+        at, run = 0, None
         while m := pattern.search(data, at):
-            # marks of dashes that stand right behind the base64 are not part of it
-            run = m[0].partition(b"-----")[0]
-            key = _wrapped_key(run, decode, units, per)
+            if run is None or m.start() >= run.end:
+                run = _Run(data, m.start(), hexadecimal)
+            key = run.key_at(m.start())
             if key:
-                out.append((m.start(), m.start() + key[0], key[1]))
-                at = m.start() + key[0]
-            else:  # a key may start in a later line of the same run
-                first = _BREAKS.search(run)
-                at = m.start() + first.end() if first else m.end()
+                out.append((m.start(), *key))
+            at = key[0] if key else m.start() + 1  # a key may start in a later line of the same run
     if b"." in data:
         for m in _TOKEN.finditer(data):
             # the run may begin with the letter of an escaped break
