@@ -220,8 +220,8 @@ ordered AS (
 first_open AS (
   SELECT min(place) AS place FROM ordered WHERE NOT most < weight * CAST(rest AS DOUBLE) / open_weight),
 shared AS (
-  SELECT o.*, CASE WHEN o.place < f.place THEN CAST(most AS DOUBLE)
-                   ELSE weight * CAST(x.rest AS DOUBLE) / x.open_weight END AS target
+  SELECT o.*, CASE WHEN o.place < f.place THEN CAST(o.most AS DOUBLE)
+                   ELSE o.weight * CAST(x.rest AS DOUBLE) / x.open_weight END AS target
   FROM ordered o, first_open f JOIN ordered x ON x.place = f.place),
 placed AS (
   SELECT d.doc_id, d.row_no, d.size, s.source_no, s.source_size, s.target, m.mark,
