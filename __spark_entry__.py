@@ -390,6 +390,63 @@ SELECT DISTINCT director_name, title FROM df WHERE title IS NOT NULL""",
 })
 
 
+_CUT = """
+raw AS (
+  SELECT f.id, f.budget, f.original_language, f.popularity, f.release_date, f.revenue, f.runtime, f.vote_count,
+         'The "' || f.title || '",' || chr(10) || 'a film' AS title,
+         coalesce(f.vote_count % 7 = 0, false) AS bad_id, coalesce(f.vote_count % 5 = 0, false) AS bad_date,
+         coalesce(f.vote_count % 3 = 0, false) AS cut
+  FROM films f)"""
+
+_ORACLE.update({
+    "filmography_chunks": "WITH " + _DIRECTOR_FILMS + """,
+t AS (SELECT DISTINCT director_name, title FROM df WHERE title IS NOT NULL),
+n AS (SELECT *, (row_number() OVER (PARTITION BY director_name ORDER BY title) - 1) // 25 AS chunk FROM t)
+SELECT director_name, chunk, string_agg(title, ',' ORDER BY title) AS movies_directed
+FROM n GROUP BY director_name, chunk""",
+
+    "keyed_upsert": """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (
+      PARTITION BY l_partkey, l_suppkey
+      ORDER BY l_shipdate DESC NULLS LAST, l_orderkey DESC, l_linenumber DESC, l_quantity DESC, l_extendedprice DESC,
+               l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rn
+  FROM lineitem) t
+WHERE rn = 1""",
+
+    "catalog_from_raw_csv": "WITH " + _FILMS + "," + _GENRE_PAIRS + "," + _COMP_PAIRS + "," + _CUT + """,
+genre_agg AS (SELECT id, to_json(list(genre ORDER BY genre)) AS genres FROM genre_pairs GROUP BY id),
+comp_agg AS (
+  SELECT id, '[' || string_agg('{''name'': ''' || s_name || ''', ''id'': ' || CAST(s_suppkey AS VARCHAR) || '}', ', '
+                               ORDER BY s_name, s_suppkey) || ']' AS production_companies
+  FROM comp_pairs GROUP BY id)
+SELECT r.budget, CASE WHEN NOT r.cut THEN g.genres END AS genres, r.id, r.original_language, r.popularity,
+       c.production_companies, r.release_date, r.revenue, CAST(r.runtime AS INTEGER) AS runtime, r.title, r.vote_count
+FROM raw r JOIN genre_agg g ON r.id = g.id JOIN comp_agg c ON r.id = c.id
+WHERE r.budget <> 0 AND r.revenue <> 0 AND r.runtime IS NOT NULL AND r.release_date IS NOT NULL
+  AND c.production_companies <> '[]' AND NOT r.bad_id AND NOT r.bad_date""",
+
+    "raw_csv_rejects": "WITH " + _FILMS + "," + _CUT + """
+SELECT CASE WHEN NOT bad_id THEN id END AS id, title,
+       concat_ws('; ', CASE WHEN bad_id THEN 'id: tt' || CAST(id AS VARCHAR) END,
+                 CASE WHEN bad_date THEN 'release_date: 2001-13-45' END) AS problems,
+       CASE WHEN bad_id THEN 'tt' ELSE '' END || CAST(id AS VARCHAR) AS raw_id
+FROM raw WHERE bad_id OR bad_date""",
+
+    "raw_csv_counts": "WITH " + _FILMS + "," + _CUT + """
+SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE bad_id OR bad_date) AS rejected, CAST(0 AS BIGINT) AS bad_record,
+       COUNT(*) FILTER (WHERE bad_id) AS bad_id, COUNT(*) FILTER (WHERE bad_date) AS bad_release_date,
+       CAST(0 AS BIGINT) AS bad_runtime,
+       COUNT(*) FILTER (WHERE NOT bad_id AND NOT bad_date AND vote_count IS NOT NULL) AS genres_rows,
+       COUNT(*) FILTER (WHERE NOT bad_id AND NOT bad_date AND cut) AS genres_failed
+FROM raw""",
+
+    "genre_counts_from_bridge": _ORACLE["genre_counts_by_decade"],
+    "company_profit_from_bridge": _ORACLE["company_profit_by_decade"],
+    "top_directors_from_bridge": _ORACLE["top_directors_per_window"],
+})
+
+
 # The SQL-text forms answer the same questions as their DataFrame twins.
 for _k in ("avg_ratings_with_title_year", "avg_profit_by_year_month", "votes_by_decade",
            "releases_by_decade", "longest_per_language"):

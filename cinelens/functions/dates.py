@@ -11,25 +11,24 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def text_date(c) -> Column:
+    """``yyyy-mm-dd`` text as a date; anything else, and an impossible month or day, is NULL."""
+    c = F.trim(_c(c))
+    return F.when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), c.try_cast("date"))
+
+
 def year_of(c, text: bool = False) -> Column:
     """Year of a date/timestamp column as int.
 
-    With ``text=True`` the input is ``yyyy-mm-dd`` text: the part before the
-    first ``-`` is taken and cast with ``try_cast`` (bad text -> NULL instead
-    of an ANSI error).
+    With ``text=True`` the input is ``yyyy-mm-dd`` text, read as a date first
+    (bad text -> NULL instead of an ANSI error).
     """
-    c = _c(c)
-    if text:
-        return F.get(F.split(c, "-"), 0).try_cast("int")
-    return F.year(c)
+    return F.year(text_date(c) if text else _c(c))
 
 
 def month_of(c, text: bool = False) -> Column:
     """Month (1-12) of a date column as int; ``text=True`` reads ``yyyy-mm-dd``."""
-    c = _c(c)
-    if text:
-        return F.get(F.split(c, "-"), 1).try_cast("int")
-    return F.month(c)
+    return F.month(text_date(c) if text else _c(c))
 
 
 def _is_text(df: DataFrame, name: str) -> bool:
@@ -38,7 +37,7 @@ def _is_text(df: DataFrame, name: str) -> bool:
 
 def year_in(df: DataFrame, date: str) -> Column:
     """Year of ``df[date]``: a date/timestamp column, or ``yyyy-mm-dd`` text as
-    a stored table may keep it (split on ``-``, first field)."""
+    a stored table may keep it."""
     return year_of(date, text=_is_text(df, date))
 
 

@@ -12,7 +12,9 @@ question from the tables, write CSV results.
         votes-trend | movies-trend | longest-running  (--catalog, --out)
     python -m cinelens.jobs ingest-movies --csv movies_metadata.csv --out wh/movies   # all 24 columns
 
-Every job is one Spark action. Tables are parquet paths or catalog tables
+Ingest jobs read the raw file once -- rows whose fields do not fit the declared types go to
+``<out>.rejected`` with the reason -- and then write the keyed table from the staged rows; all other
+jobs are one Spark action. Tables are parquet paths or catalog tables
 (``--table`` / ``--buckets`` on the ingest and average jobs store a table
 bucketed on its key, for shuffle-free joins on film id; later jobs accept the
 table name in place of a path). Results are CSV (small aggregated results as a
@@ -23,19 +25,21 @@ from __future__ import annotations
 
 import argparse
 import sys
+import uuid
 
 from . import plans as P
 from .operators import dedup_by_key
-from .schemas import RAW_MOVIE_KEYS
-from .session import get_session
-from .sources import (read_catalog_csv, read_credits_csv, read_ratings_csv, write_csv,
-                      write_keyed_table)
+from .schemas import CREDITS_CSV, MOVIES_CSV, RATINGS_CSV, RAW_MOVIE_KEYS
+from .session import checkpoint_dir, get_session
+from .sources import ingest_csv, is_keyed_table, read_keyed, write_csv, write_keyed_table
 
 
 def _load(spark, ref: str):
-    """A catalog table by name, else a parquet path."""
+    """A catalog table by name, else a keyed table or plain parquet at a path."""
     if "/" not in ref and spark.catalog.tableExists(ref):
         return spark.table(ref)
+    if is_keyed_table(spark, ref):
+        return read_keyed(spark, ref)
     return spark.read.parquet(ref)
 
 
@@ -49,38 +53,38 @@ def _catalog_report(fn, single=True):
     return run
 
 
-def _read_catalog(spark, a):
-    return read_catalog_csv(spark, a.csv, multi_line=not a.single_line)
-
-
-def _report_unread(df, cols):
-    """Print how many list texts could not be read (they become NULL)."""
-    r = P.parse_report(df, cols).first()
-    for c in cols:
-        print(f"{c}: {r[c + '_rows']} texts, {r[c + '_failed']} could not be read")
+def _ingest(spark, a, schema, lists=(), multi_line=True):
+    """Good rows of the raw file; rejected ones go to ``<out>.rejected``, and what was read is told."""
+    got = ingest_csv(spark, a.csv, schema, f"{checkpoint_dir(spark)}/ingest-{uuid.uuid4().hex}", lists,
+                     multi_line=multi_line)
+    n = got.counts
+    print(f"{n['rows']} rows read, {n['rejected']} rejected"
+          + "".join(f", {c}: {k}" for c, k in n.items() if c.startswith("bad_") and k))
+    for c in lists:
+        print(f"{c}: {n[c + '_rows']} texts, {n[c + '_failed']} could not be read")
+    if n["rejected"]:
+        got.rejected.write.mode("overwrite").parquet(f"{a.out.rstrip('/')}.rejected")
+    return got.good
 
 
 def _ingest_catalog(spark, a):
-    raw = _read_catalog(spark, a)
+    raw = _ingest(spark, a, MOVIES_CSV, ["genres", "production_companies"], not a.single_line)
     _keyed(P.clean_catalog(raw), a, ["id"])
-    _report_unread(raw, ["genres", "production_companies"])
 
 
 def _ingest_movies(spark, a):
-    raw = _read_catalog(spark, a)
+    raw = _ingest(spark, a, MOVIES_CSV, ["genres", "production_companies"], not a.single_line)
     _keyed(P.raw_movies(raw), a, list(RAW_MOVIE_KEYS), assume_unique=True)
-    _report_unread(raw, ["genres", "production_companies"])
 
 
 def _ingest_credits(spark, a):
-    raw = read_credits_csv(spark, a.csv, multi_line=not a.single_line)
-    _keyed(P.clean_credits(raw), a, ["id"])
-    _report_unread(raw, ["cast", "crew"])
+    _keyed(P.clean_credits(_ingest(spark, a, CREDITS_CSV, ["cast", "crew"], not a.single_line)), a, ["id"])
 
 
 def _ingest_ratings(spark, a):
-    # grain is (user, film): one rating per user and film, the latest one wins
-    _keyed(read_ratings_csv(spark, a.csv), a, ["userid", "movieid"],
+    # grain is (user, film): one rating per user and film, the latest one wins; numeric fields only,
+    # so the file is read by many tasks
+    _keyed(_ingest(spark, a, RATINGS_CSV, multi_line=False), a, ["userid", "movieid"],
            order=["timestamp"], keep="last")
 
 
@@ -101,7 +105,7 @@ def _directors(spark, a):
     df = P.director_films(films, None, _load(spark, a.ratings), title=a.title, directors=credits)
     anchor = a.anchor if a.anchor in ("min", "calendar") else int(a.anchor)
     top = P.top_directors_per_window(df, n=a.n, width=a.width, anchor=anchor)
-    write_csv(top, a.out, partition_by="window", header=a.header)
+    write_csv(top, a.out, partition_by="window", header=a.header, order_by="rank")
 
 
 JOBS = {

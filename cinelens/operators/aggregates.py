@@ -64,7 +64,9 @@ def explode_list(df: DataFrame, list_col: str, alias: str, keep=None) -> DataFra
 def category_counts(df: DataFrame, list_col: str, alias: str, group, count_alias: str = "count") -> DataFrame:
     """Explode a list column and count rows per (element, group...)."""
     group = _list(group)
-    ex = explode_list(df.select(list_col, *group), list_col, alias)
+    # ``list_col`` may be computed: as a transform it is exploded as it stands, without the filter on
+    # its size for which the optimizer would compute it a second time
+    ex = df.select(*group, F.explode(F.transform(list_col, lambda x: x)).alias(alias))
     return ex.groupBy(alias, *group).agg(F.count(F.col(alias)).alias(count_alias))
 
 
@@ -76,5 +78,6 @@ def collect_titles(df: DataFrame, key: str, title: str, alias: str = "titles",
     over both); only the output value itself (one text per key) is assembled in
     one place.
     """
-    rows = df.where(F.col(title).isNotNull()).select(key, title).distinct()
-    return rows.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(title)), sep).alias(alias))
+    rows = df.select(key, title).distinct()  # collect_list leaves NULL titles out
+    lists = rows.groupBy(key).agg(F.array_sort(F.collect_list(title)).alias(alias))
+    return lists.where(F.size(alias) > 0).withColumn(alias, F.array_join(alias, sep))

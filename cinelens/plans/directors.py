@@ -16,6 +16,7 @@ from ..functions.dates import window_label, window_start, year_in
 from ..functions.literals import matches_first
 from ..functions.money import exact_decimal, exact_total
 from ..operators.aggregates import collect_titles
+from ..operators.chunks import collect_in_chunks
 from ..operators.ranking import top_n_per_group
 from .ratings import avg_rating_per_film
 
@@ -50,20 +51,21 @@ def director_films(films: DataFrame, credits: DataFrame | None, ratings: DataFra
     return f.join(d, "id").join(r, "id")
 
 
-def director_scores_by_window(df: DataFrame, width: int = 10, anchor="min") -> DataFrame:
-    """(window, window_start, director_name, ratings): per window, the unweighted
-    mean of the director's film means.
+def _per_title(df: DataFrame) -> DataFrame:
+    """(director_name, title, year, _sum, _n): ratings per director, title and year, combined map-side.
 
-    Film means are first summed per (year, director) -- independent of the
-    anchor and combined map-side -- so the earliest year is read from that
-    small aggregate, and the windows are rolled up from it. ``anchor="calendar"``
-    starts the windows at multiples of ``width`` instead; an int anchors them at
-    that year.
-    """
-    per_year = (df.where(F.col("year").isNotNull())
-                  .groupBy("year", "director_name")
-                  .agg(exact_total(exact_decimal("ratings", SCORE_SCALE)).alias("_sum"),
-                       F.count("ratings").alias("_n")))
+    The one relation that scores and title lists are both made of. What either of them leaves out it
+    leaves out by conditions on ``_sum`` and ``_n``, which cannot move below this aggregate, so both
+    have the same plan up to its shuffle and Spark runs the joins and the crew parsing once."""
+    return df.groupBy("director_name", "title", "year").agg(
+        exact_total(exact_decimal("ratings", SCORE_SCALE)).alias("_sum"), F.count("ratings").alias("_n"))
+
+
+def _scores(per_title: DataFrame, width: int, anchor) -> DataFrame:
+    dated = F.when(F.col("year").isNull(), F.lit(-1)).otherwise(F.col("_n")) >= 0
+    per_year = (per_title.where(dated & (F.col("_sum").isNotNull() | (F.col("_n") == 0)))
+                .groupBy("year", "director_name")
+                .agg(exact_total("_sum").alias("_sum"), F.sum("_n").alias("_n")))
     # The anchor is read from the per-(year, director) aggregate's own outputs
     # (a year with rated films), so the subquery reuses that aggregate's
     # shuffle instead of re-running the joins underneath it.
@@ -79,16 +81,36 @@ def director_scores_by_window(df: DataFrame, width: int = 10, anchor="min") -> D
                       "window_start", "director_name", "ratings")
 
 
+def director_scores_by_window(df: DataFrame, width: int = 10, anchor="min") -> DataFrame:
+    """(window, window_start, director_name, ratings): per window, the unweighted
+    mean of the director's film means.
+
+    Film means are first summed per title, then per (year, director) -- independent of the
+    anchor and combined map-side -- so the earliest year is read from that
+    small aggregate, and the windows are rolled up from it. ``anchor="calendar"``
+    starts the windows at multiples of ``width`` instead; an int anchors them at
+    that year.
+    """
+    return _scores(_per_title(df), width, anchor)
+
+
 def filmography(df: DataFrame) -> DataFrame:
     """(director_name, movies_directed): every title of each director, over all
     years, sorted and comma-joined.
 
     The joined text is one value per director, so a director's whole career
-    meets in one task at the end; ``filmography_rows`` gives the same titles
-    one row each, with no per-director gathering at all."""
+    meets in one task at the end; ``filmography_chunks`` gives texts of bounded length and
+    ``filmography_rows`` the same titles one row each, with no per-director gathering at all."""
     return collect_titles(df, "director_name", "title", alias="movies_directed")
 
 
+def filmography_chunks(df: DataFrame, size: int = 1000) -> DataFrame:
+    """(director_name, chunk, movies_directed): the titles of ``filmography``, ``size`` to a text.
+
+    A director with a third of all films spreads over tasks, and no value grows without bound."""
+    return collect_in_chunks(df, "director_name", "title", size, alias="movies_directed")
+
+
 def filmography_rows(df: DataFrame, directors: DataFrame | None = None) -> DataFrame:
     """(director_name, title): distinct titles per director, one row each,
     optionally only for the ``directors`` given (e.g. the winners)."""
@@ -104,19 +126,20 @@ def top_directors_per_window(df: DataFrame, n: int = 5, width: int = 10,
     directors of each window (equal scores -> lower name first), each with the
     titles of their whole career.
 
-    Only the winners' films are collected: the film rows are semi-joined to the
+    Only the winners' films are collected: the film rows are joined to the
     (at most n per window) winners, kept in long form (one row per director
     and title) and turned into text last. A winner without any titled film has
     an empty list.
     """
-    top = top_n_per_group(director_scores_by_window(df, width, anchor), "window_start", "ratings", n,
-                          tie_break="director_name")
+    films = _per_title(df)
+    top = top_n_per_group(_scores(films, width, anchor), "window_start", "ratings", n, tie_break="director_name")
     # At most n rows per window, and at most (year span / width + 1) windows. While n is small this
     # is hinted as a broadcast, so the film rows are filtered where they are; else AQE decides.
     hint = F.broadcast if n <= BROADCAST_N else (lambda d: d)
     winners = hint(top.select("director_name").distinct())
-    rated = df.where(F.col("ratings").isNotNull())  # same rated-film rows as the scores
-    titles = filmography(rated.join(winners, "director_name", "left_semi"))
+    rated = films.where((F.col("_n") > 0) & F.col("_sum").isNotNull())
+    # names are distinct, so this inner join picks rows; a semi-join would move below the aggregate
+    titles = filmography(rated.join(winners, "director_name").select("director_name", "title"))
     # ``rank`` carries the order inside each window; no global sort of the result
     return top.join(titles, "director_name", "left").select(
         "window", "rank", "director_name",

@@ -8,6 +8,7 @@ import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import plans as P
 from .plans import sql as S
@@ -15,7 +16,8 @@ from .operators.dedup import dedup_by_key as _dedup
 from .operators.filters import null_audit as _null_audit
 from .sources import fixtures as fx
 from .session import checkpoint_dir
-from .sources.readers import read_csv, read_table
+from .sources.keyed import read_keyed, write_keyed
+from .sources.readers import ingest_csv, read_csv, read_table
 from .sources.writers import to_store_text, write_csv
 from .functions.dates import decade_start, month_in, year_in
 from .functions.literals import parse_names
@@ -250,13 +252,128 @@ def votes_csv_single_file(spark, d):
 
 
 def directors_csv_by_window(spark, d):
-    return _through_csv(spark, top_directors_per_2y_window(spark, d), partition_by="window")
+    """One directory per window, its rows in rank order."""
+    return _through_csv(spark, top_directors_per_2y_window(spark, d), partition_by="window", order_by="rank")
 
 
 def row_counts(spark, d):
     return P.row_counts({t: read_table(spark, d, t) for t in TABLES})
 
 
+def _folder(spark, kind: str) -> str:
+    return f"{checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+def filmography_chunks(spark, d):
+    """Career titles in texts of 25; this one runs jobs when it is built (it fixes a range sort)."""
+    return P.filmography_chunks(_director_films(spark, d), size=25)
+
+
+#: Ship dates at which the batches of ``keyed_upsert`` begin.
+UPSERT_ERAS = ("1994-01-01", "1996-01-01")
+
+
+def keyed_upsert(spark, d):
+    """The latest line per (part, supplier): a keyed table takes the lines in three batches by ship
+    date, each an upsert, and is read back."""
+    li = read_table(spark, d, "lineitem")
+    day = F.col("l_shipdate")
+    first, second = (F.lit(x).cast(li.schema["l_shipdate"].dataType) for x in UPSERT_ERAS)
+    path = _folder(spark, "keyed")
+    for batch in (day.isNull() | (day < first), (day >= first) & (day < second), day >= second):
+        write_keyed(li.where(batch), path, ["l_partkey", "l_suppkey"], order=["l_shipdate"], keep="last",
+                    mode="upsert", buckets=16)
+    return read_keyed(spark, path).select(*li.columns)
+
+
+RAW_FILM = T.StructType([
+    T.StructField("budget", T.DoubleType()), T.StructField("genres", T.StringType()),
+    T.StructField("id", T.LongType()), T.StructField("original_language", T.StringType()),
+    T.StructField("popularity", T.DoubleType()), T.StructField("production_companies", T.StringType()),
+    T.StructField("release_date", T.DateType()), T.StructField("revenue", T.DoubleType()),
+    T.StructField("runtime", T.DoubleType()), T.StructField("title", T.StringType()),
+    T.StructField("vote_count", T.LongType())])
+RAW_COUNTS = ("rows", "rejected", "bad_record", "bad_id", "bad_release_date", "bad_runtime", "genres_rows",
+              "genres_failed")
+
+
+def _ingested(spark, d):
+    """The films as a raw CSV file, read back through the checked ingest.
+
+    Titles hold quotes and a line break; films whose number of votes is divisible by 5 have an
+    impossible date, those divisible by 7 an id that is no number, those divisible by 3 a genre text
+    that is cut short."""
+    f = _raw_catalog(spark, d)
+    votes = F.col("vote_count")
+    cut = F.expr("substr(genres, 1, length(genres) - 1)")
+    raw = f.select(
+        "budget", F.when(votes % 3 == 0, cut).otherwise(F.col("genres")).alias("genres"),
+        F.when(votes % 7 == 0, F.concat(F.lit("tt"), F.col("id"))).otherwise(F.col("id").cast("string")).alias("id"),
+        "original_language", "popularity", "production_companies",
+        F.when(votes % 5 == 0, F.lit("2001-13-45")).otherwise(F.col("release_date").cast("string")).alias("release_date"),
+        "revenue", "runtime", F.concat(F.lit('The "'), F.col("title"), F.lit('",\na film')).alias("title"), "vote_count")
+    path = _folder(spark, "raw")
+    raw.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    return ingest_csv(spark, path, RAW_FILM, _folder(spark, "ingest"), lists=["genres"])
+
+
+def catalog_from_raw_csv(spark, d):
+    """Raw CSV -> rows that fit their types -> cleaned catalog -> keyed table -> read back."""
+    path = _folder(spark, "keyed")
+    write_keyed(to_store_text(P.clean_catalog(_ingested(spark, d).good, columns=FIXTURE_CATALOG)), path, ["id"],
+                assume_unique=True)
+    return read_keyed(spark, path)
+
+
+def raw_csv_rejects(spark, d):
+    """The rejected rows of the same file, each with its problems."""
+    got = _ingested(spark, d).rejected
+    return got.select("id", "title", F.array_join("_problems", "; ").alias("problems"),
+                      F.get_json_object("_raw", "$.id").alias("raw_id"))
+
+
+def raw_csv_counts(spark, d):
+    """What the one pass over that file has counted."""
+    n = _ingested(spark, d).counts
+    return spark.createDataFrame([tuple(n[c] for c in RAW_COUNTS)], ", ".join(f"{c} long" for c in RAW_COUNTS))
+
+
+def _stored(spark, *frames):
+    """Each frame as a table bucketed on film id, below the shared folder."""
+    out = []
+    for df in frames:
+        tag = uuid.uuid4().hex
+        out.append(P.store_bridge(df, f"{checkpoint_dir(spark)}/bridge-{tag}", f"cinelens_bridge_{tag}", 8,
+                                  sort=[c for c in ("id", "position") if c in df.columns]))
+    return out
+
+
+def genre_counts_from_bridge(spark, d):
+    f = fx.films(spark, d, ["id", "release_date", "genres_text"])
+    films, genres = _stored(spark, f.select("id", "release_date"), P.names_bridge(f, "genres_text"))
+    return P.genre_counts_from_bridge(films, genres)
+
+
+def company_profit_from_bridge(spark, d):
+    f = _money_films(spark, d, ["production_companies"])
+    films, companies = _stored(spark, f.select("id", "release_date", "budget", "revenue"),
+                               P.names_bridge(f, "production_companies"))
+    return P.company_profit_from_bridge(films, companies)
+
+
+def top_directors_from_bridge(spark, d):
+    films, crew = _stored(spark, fx.films(spark, d, ["id", "title", "release_date"]),
+                          P.crew_bridge(fx.credits(spark, d)))
+    return P.top_directors_per_window(P.director_films(
+        films, None, fx.ratings(spark, d), directors=P.directors_from_bridge(crew)), n=5, width=10)
+
+
+#: Queries that write something when they are built (files they then read back, or a checkpoint).
+WRITES = ("genre_counts_csv", "votes_csv_single_file", "directors_csv_by_window", "filmography_chunks", "keyed_upsert",
+          "catalog_from_raw_csv", "raw_csv_rejects", "raw_csv_counts", "genre_counts_from_bridge",
+          "company_profit_from_bridge", "top_directors_from_bridge")
+
+
 QUERIES = {
     "clean_catalog": clean_catalog,
     "clean_credits": clean_credits,
@@ -298,4 +415,12 @@ QUERIES = {
     "votes_by_decade_sql": votes_by_decade_sql,
     "releases_by_decade_sql": releases_by_decade_sql,
     "longest_per_language_sql": longest_per_language_sql,
+    "filmography_chunks": filmography_chunks,
+    "keyed_upsert": keyed_upsert,
+    "catalog_from_raw_csv": catalog_from_raw_csv,
+    "raw_csv_rejects": raw_csv_rejects,
+    "raw_csv_counts": raw_csv_counts,
+    "genre_counts_from_bridge": genre_counts_from_bridge,
+    "company_profit_from_bridge": company_profit_from_bridge,
+    "top_directors_from_bridge": top_directors_from_bridge,
 }

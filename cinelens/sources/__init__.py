@@ -1,10 +1,12 @@
 """Readers, writers and the driver-table adapter."""
 
-from .readers import (read_catalog_csv, read_credits_csv, read_csv,
-                      read_ratings_csv, read_table)
+from .keyed import finish_pending, is_keyed_table, read_keyed, write_keyed
+from .readers import (Ingested, ingest_csv, read_catalog_csv, read_credits_csv, read_csv,
+                      read_csv_checked, read_ratings_csv, read_table)
 from .writers import to_store_text, write_csv, write_keyed_table
 
 __all__ = [
-    "read_catalog_csv", "read_credits_csv", "read_csv", "read_ratings_csv",
+    "finish_pending", "is_keyed_table", "read_keyed", "write_keyed", "Ingested", "ingest_csv",
+    "read_catalog_csv", "read_credits_csv", "read_csv", "read_csv_checked", "read_ratings_csv",
     "read_table", "to_store_text", "write_csv", "write_keyed_table",
 ]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedup import dedup_by_key
+from .keyed import write_keyed
 
 
 def to_store_text(df: DataFrame) -> DataFrame:
@@ -22,7 +23,7 @@ def to_store_text(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, single: bool = False, partition_by=None,
-              header: bool = False, mode: str = "overwrite") -> None:
+              header: bool = False, mode: str = "overwrite", order_by=()) -> None:
     """Write result rows as CSV.
 
     ``single=True`` writes one part file with ``coalesce(1)``, which keeps the
@@ -33,8 +34,16 @@ def write_csv(df: DataFrame, path: str, single: bool = False, partition_by=None,
     into that one task as well.
     ``partition_by`` writes one sub-directory per value in a single job (e.g.
     one directory per time window) instead of one job per value.
+    ``order_by`` sorts the rows of each sub-directory: range partitions on (directory, order), each
+    sorted, so a large directory is spread over tasks and its files, taken by name, hold its rows
+    in order; small directories are one file each unless a range ends inside one.
     """
     out = to_store_text(df)
+    if partition_by and order_by:
+        order = [F.col(c) if isinstance(c, str) else c for c in (
+            *([partition_by] if isinstance(partition_by, str) else partition_by),
+            *([order_by] if isinstance(order_by, str) else order_by))]
+        out = out.repartitionByRange(*order).sortWithinPartitions(*order)
     if single:
         out = out.coalesce(1)
     w = out.write.mode(mode).option("header", header)
@@ -47,12 +56,16 @@ def write_keyed_table(df: DataFrame, path: str, keys, order=(), keep: str = "fir
                       partition_by=None, assume_unique: bool = False,
                       table: str | None = None, buckets: int | None = None,
                       mode: str = "error") -> None:
-    """Keyed-table write: one row per key (see ``dedup_by_key``), then parquet.
+    """Keyed-table write: one row per key (see ``dedup_by_key``).
 
     ``mode`` says what happens to a table that is already there: ``error``
     (default) refuses, ``upsert`` keeps its rows and replaces those whose key
     comes again, ``overwrite`` replaces the whole table.
 
+    A table at a path is laid out in buckets of its keys (``sources.keyed``): an upsert
+    reads and writes the touched buckets only, and a crash at any point loses nothing.
+    ``buckets`` is their number.
+
     ``assume_unique=True`` skips the de-duplication for inputs unique on the
     key by construction (e.g. the output of a ``groupBy`` on it).
 
@@ -60,20 +73,22 @@ def write_keyed_table(df: DataFrame, path: str, keys, order=(), keep: str = "fir
     on the key: tables bucketed the same way on film id then join without any
     shuffle. The unique rows are hash-partitioned into ``buckets`` tasks
     first, so each bucket is one file; the de-duplication before it stays
-    map-side combined, so a hot key never reaches that step in bulk.
-
-    Writes go through Spark's job commit, so a lost executor's partial output
-    is never visible. An upsert writes the merged rows beside the table and
-    then swaps the folders by rename, so the old rows are never gone before
-    the new ones are complete; replaying it gives the same table.
+    map-side combined, so a hot key never reaches that step in bulk. These, and tables
+    with ``partition_by``, are merged whole: the merged rows are written beside the
+    table, then the folders are swapped by rename; a swap that was cut off is finished
+    by the next write.
     """
     if mode not in ("error", "overwrite", "upsert"):
         raise ValueError(f"unknown mode {mode!r}")
+    if not table and not partition_by:
+        write_keyed(df, path, keys, order, keep, assume_unique, mode, buckets)
+        return
     if buckets and not table:
         raise ValueError("a bucketed table needs a name: bucket specs live in the catalog")
     spark = df.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
     out = df if assume_unique else dedup_by_key(df, keys, order, keep)
+    _finish_swap(spark, path)
     there = _exists(spark, path)
     if there and mode == "error":
         raise FileExistsError(f"{path} is already there: write with mode 'upsert' or 'overwrite'")
@@ -119,7 +134,18 @@ def _swap(spark, new: str, path: str) -> None:
     """Put folder ``new`` in the place of ``path``; the old one goes last."""
     fs, target = _hadoop(spark, path)
     aside = _hadoop(spark, f"{path.rstrip('/')}.old")[1]
-    fs.delete(aside, True)
     if not fs.rename(target, aside) or not fs.rename(_hadoop(spark, new)[1], target):
         raise OSError(f"could not put {new} in the place of {path}")
     fs.delete(aside, True)
+
+
+def _finish_swap(spark, path: str) -> None:
+    """After a crash: if the table was moved away, the merged one takes its place; then the old one goes.
+
+    The table is moved away only once the merged one is written whole."""
+    fs, target = _hadoop(spark, path)
+    aside, merged = (_hadoop(spark, f"{path.rstrip('/')}{x}")[1] for x in (".old", ".merge"))
+    if fs.exists(aside):
+        if not fs.exists(target) and not fs.rename(merged, target):
+            raise OSError(f"could not put {merged} in the place of {path}")
+        fs.delete(aside, True)

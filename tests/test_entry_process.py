@@ -31,4 +31,4 @@ def test_entry_loads_by_path_in_a_bare_session():
     res = json.loads([x for x in out.stdout.splitlines() if x.startswith("{")][-1])
     assert res["cols"] == ["title", "highest_rating", "decade"]
     assert res["rows"] > 0
-    assert res["core"] == 40 and res["queries"] >= res["oracle"] >= 40
+    assert res["core"] == 48 and res["queries"] >= res["oracle"] >= 48

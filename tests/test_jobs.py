@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from cinelens.jobs import run
+from cinelens.sources import read_keyed
 
 HEADER = ["adult", "belongs_to_collection", "budget", "genres", "homepage", "id", "imdb_id",
           "original_language", "original_title", "overview", "popularity", "poster_path",
@@ -160,7 +161,7 @@ def test_raw_movies_keep_every_film(spark, capsys):
     wh = os.path.join(d, "wh")
     run(spark, ["ingest-movies", "--csv", f"{d}/movies.csv", "--out", f"{wh}/movies"])
     assert "genres: 3 texts, 1 could not be read" in capsys.readouterr().out
-    raw = spark.read.parquet(f"{wh}/movies")
+    raw = read_keyed(spark, f"{wh}/movies")
     assert raw.count() == 3 and len(raw.columns) == 24
     run(spark, ["ingest-credits", "--csv", f"{d}/credits.csv", "--out", f"{wh}/credits"])
     run(spark, ["ingest-ratings", "--csv", f"{d}/ratings.csv", "--out", f"{wh}/ratings"])
