@@ -1,6 +1,6 @@
 """Leading directors per time window.
 
-One job for all windows: every film gets the start of its window as a column
+One query for all windows, over film rows that are joined and written once: every film gets the start of its window as a column
 (windows are ``width`` years wide, anchored at the earliest year), and one
 ``row_number()`` per window keeps the top ``n`` directors -- no loop of jobs
 from the driver, no per-window filter, and the earliest year is a lazy scalar
@@ -18,6 +18,7 @@ from ..functions.money import exact_decimal, exact_total
 from ..operators.aggregates import collect_titles
 from ..operators.chunks import collect_in_chunks
 from ..operators.ranking import top_n_per_group
+from ..operators.reuse import written_once
 from .ratings import avg_rating_per_film
 
 #: Film means are summed as decimals with this many digits after the point (14 before it),
@@ -51,25 +52,22 @@ def director_films(films: DataFrame, credits: DataFrame | None, ratings: DataFra
     return f.join(d, "id").join(r, "id")
 
 
-def _per_title(df: DataFrame) -> DataFrame:
-    """(director_name, title, year, _sum, _n): ratings per director, title and year, combined map-side.
-
-    The one relation that scores and title lists are both made of. What either of them leaves out it
-    leaves out by conditions on ``_sum`` and ``_n``, which cannot move below this aggregate, so both
-    have the same plan up to its shuffle and Spark runs the joins and the crew parsing once."""
-    return df.groupBy("director_name", "title", "year").agg(
-        exact_total(exact_decimal("ratings", SCORE_SCALE)).alias("_sum"), F.count("ratings").alias("_n"))
-
+def director_scores_by_window(df: DataFrame, width: int = 10, anchor="min") -> DataFrame:
+    """(window, window_start, director_name, ratings): per window, the unweighted
+    mean of the director's film means.
 
-def _scores(per_title: DataFrame, width: int, anchor) -> DataFrame:
-    dated = F.when(F.col("year").isNull(), F.lit(-1)).otherwise(F.col("_n")) >= 0
-    per_year = (per_title.where(dated & (F.col("_sum").isNotNull() | (F.col("_n") == 0)))
-                .groupBy("year", "director_name")
-                .agg(exact_total("_sum").alias("_sum"), F.sum("_n").alias("_n")))
-    # The anchor is read from the per-(year, director) aggregate's own outputs
-    # (a year with rated films), so the subquery reuses that aggregate's
-    # shuffle instead of re-running the joins underneath it.
+    Film means are first summed per (year, director) -- independent of the
+    anchor and combined map-side -- so the earliest year is read from that
+    small aggregate, and the windows are rolled up from it. ``anchor="calendar"``
+    starts the windows at multiples of ``width`` instead; an int anchors them at
+    that year.
+    """
+    per_year = (df.where(F.col("year").isNotNull()).groupBy("year", "director_name")
+                .agg(exact_total(exact_decimal("ratings", SCORE_SCALE)).alias("_sum"),
+                     F.count("ratings").alias("_n")))
     if anchor == "min":
+        # the windows and the earliest year both read this small aggregate: it is written once
+        per_year = written_once(per_year)
         a = per_year.select(F.min(F.when((F.col("_n") > 0) & F.col("_sum").isNotNull(),
                                          F.col("year")))).scalar()
     else:  # "calendar": windows start at multiples of width; or a given year
@@ -81,19 +79,6 @@ def _scores(per_title: DataFrame, width: int, anchor) -> DataFrame:
                       "window_start", "director_name", "ratings")
 
 
-def director_scores_by_window(df: DataFrame, width: int = 10, anchor="min") -> DataFrame:
-    """(window, window_start, director_name, ratings): per window, the unweighted
-    mean of the director's film means.
-
-    Film means are first summed per title, then per (year, director) -- independent of the
-    anchor and combined map-side -- so the earliest year is read from that
-    small aggregate, and the windows are rolled up from it. ``anchor="calendar"``
-    starts the windows at multiples of ``width`` instead; an int anchors them at
-    that year.
-    """
-    return _scores(_per_title(df), width, anchor)
-
-
 def filmography(df: DataFrame) -> DataFrame:
     """(director_name, movies_directed): every title of each director, over all
     years, sorted and comma-joined.
@@ -126,20 +111,21 @@ def top_directors_per_window(df: DataFrame, n: int = 5, width: int = 10,
     directors of each window (equal scores -> lower name first), each with the
     titles of their whole career.
 
-    Only the winners' films are collected: the film rows are joined to the
+    The rated film rows are written once, so films, credits and ratings are joined and the crew texts
+    parsed once. Only the winners' films are collected: the film rows are semi-joined to the
     (at most n per window) winners, kept in long form (one row per director
     and title) and turned into text last. A winner without any titled film has
     an empty list.
     """
-    films = _per_title(df)
-    top = top_n_per_group(_scores(films, width, anchor), "window_start", "ratings", n, tie_break="director_name")
+    # read by the scores, by the earliest year and by the title lists
+    rated = written_once(df.where(F.col("ratings").isNotNull()).select("director_name", "title", "year", "ratings"))
+    top = top_n_per_group(director_scores_by_window(rated, width, anchor), "window_start", "ratings", n,
+                          tie_break="director_name")
     # At most n rows per window, and at most (year span / width + 1) windows. While n is small this
     # is hinted as a broadcast, so the film rows are filtered where they are; else AQE decides.
     hint = F.broadcast if n <= BROADCAST_N else (lambda d: d)
     winners = hint(top.select("director_name").distinct())
-    rated = films.where((F.col("_n") > 0) & F.col("_sum").isNotNull())
-    # names are distinct, so this inner join picks rows; a semi-join would move below the aggregate
-    titles = filmography(rated.join(winners, "director_name").select("director_name", "title"))
+    titles = filmography(rated.join(winners, "director_name", "left_semi"))
     # ``rank`` carries the order inside each window; no global sort of the result
     return top.join(titles, "director_name", "left").select(
         "window", "rank", "director_name",

@@ -369,7 +369,7 @@ def top_directors_from_bridge(spark, d):
 
 
 #: Queries that write something when they are built (files they then read back, or a checkpoint).
-WRITES = ("genre_counts_csv", "votes_csv_single_file", "directors_csv_by_window", "filmography_chunks", "keyed_upsert",
+WRITES = ("director_scores_by_window", "top_directors_per_window", "top_directors_per_2y_window", "genre_counts_csv", "votes_csv_single_file", "directors_csv_by_window", "filmography_chunks", "keyed_upsert",
           "catalog_from_raw_csv", "raw_csv_rejects", "raw_csv_counts", "genre_counts_from_bridge",
           "company_profit_from_bridge", "top_directors_from_bridge")
 
