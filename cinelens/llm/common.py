@@ -92,6 +92,33 @@ def record_batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
         schema=schema)
 
 
+#: Keys up to this many are joined by broadcast; more as Spark sees fit.
+FEW_KEYS = 100_000
+
+
+def one_of_each(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with one row per ``keys`` (never null) and the number of its ``copies``.
+
+    Rows that occur once stay where they are. Of repeated ones a map-side-combined aggregate keeps
+    one, so a row that makes up a third of a table never meets itself in one task. Rows equal in
+    ``keys`` must be equal in the other columns.
+    """
+    if {"copies", "copies_n", "rest"} & set(df.columns):
+        raise ValueError("copies, copies_n and rest are names of the result's own columns")
+    repeated = checkpointed(df.groupBy(*keys).agg(F.count("*").alias("copies_n")).where("copies_n > 1"))
+    n = repeated.count()
+    if not n:
+        return df.withColumn("copies", F.lit(1).cast("long"))
+    named = repeated.select(*[F.col(k).alias(f"copies_{i}") for i, k in enumerate(keys)], "copies_n")
+    side = F.broadcast(named) if n <= FEW_KEYS else named
+    same = [F.col(k) == F.col(f"copies_{i}") for i, k in enumerate(keys)]
+    single = df.join(side, same, "left_anti").withColumn("copies", F.lit(1).cast("long"))
+    rest = [c for c in df.columns if c not in keys]
+    several = df.join(side, same).groupBy(*keys).agg(
+        F.first(F.struct(*rest)).alias("rest"), F.first("copies_n").alias("copies"))
+    return single.unionByName(several.select(*keys, *[F.col("rest").getField(c).alias(c) for c in rest], "copies"))
+
+
 def _running(ends: dict[int, int], value: int):
     """Append the sum of column ``value`` over all rows before, within a sorted partition and by ``ends`` before it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

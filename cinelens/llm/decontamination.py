@@ -238,9 +238,11 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     hits = scan_benchmark(docs, benchmark, id_col, text_col, item_col, item_text_col, slice_bytes).where(
         F.size("hit_words") > 0).select(F.col("doc_id").alias("__hit_id"),
                                         F.col("row_key").alias("__hit_key")).distinct()
-    left = docs.withColumn("__key", F.xxhash64(F.col(id_col), F.col(text_col)))
-    return left.join(hits, F.col(id_col).eqNullSafe(F.col("__hit_id"))
-                     & (F.col("__key") == F.col("__hit_key")), "left_anti").drop("__key")
+    left = docs.select(F.struct("*").alias("row"))
+    own = F.col("row").getField(id_col).cast("long")
+    key = F.xxhash64(F.col("row").getField(id_col), F.col("row").getField(text_col))
+    kept = left.join(hits, own.eqNullSafe(F.col("__hit_id")) & (key == F.col("__hit_key")), "left_anti")
+    return kept.select([F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def digest(scanned: DataFrame) -> DataFrame:

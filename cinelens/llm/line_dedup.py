@@ -33,7 +33,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelens.llm.common import BLANKS as _BLANKS, arrow_map, blobs, checkpointed, record_batch, row_schema
+from cinelens.llm.common import (BLANKS as _BLANKS, arrow_map, blobs, checkpointed, one_of_each, record_batch,
+                                 row_schema)
 
 MIN_CHARS = 10
 BLANKS = _BLANKS.encode()
@@ -76,10 +77,13 @@ def _records(min_chars: int):
 
 
 def line_records(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """(h1, h2, no_id, doc, row, pos) of every line long enough to be shared."""
+    """(h1, h2, no_id, doc, row, pos) of every line long enough to be shared.
+
+    Rows repeated with the same id and text are one document with the same lines: one stands for all."""
     rows = docs.select(F.col(id_col).isNull().alias("no_id"),
                        F.coalesce(F.col(id_col), F.lit(0)).cast("long").alias("doc"),
                        _row_key(F.col(id_col), F.col(text_col)).alias("row"), F.col(text_col).alias("text"))
+    rows = one_of_each(rows, ["no_id", "doc", "row"]).select("no_id", "doc", "row", "text")
     return arrow_map(rows, _records(min_chars),
                      "h1 long, h2 long, no_id boolean, doc long, row long, pos int")
 

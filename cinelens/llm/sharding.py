@@ -8,11 +8,14 @@ The written buckets, read one after another, are a uniformly random order of
 all records; cut into equal runs they are the shards.
 
 The law is ``rows``: shard sizes differ by one record at most. Bucket counts
-are read back from the written files, so the cut is exact.
+are read back from the written files, so the cut is exact; their running sum stays on Spark.
 
-The seeded hash takes the record's id, its text and the input partition it
-lies in: rows that share an id, or are copies in every column, still scatter,
-and a task that is run again sends its records to the same buckets.
+The seeded hash takes all columns of a record and, of rows equal in every column, a number: such
+rows are counted first and numbered in chunks that are dealt out over the tasks, so they scatter
+like others. A bucket's place depends on nothing else: the shards are the same whatever the
+partitions of the input, and a task that is run again sends its records to the same buckets.
+A task holds one bucket at a time and takes several one after another where there are more buckets
+than shuffle partitions. (All columns must be hashable: no maps.)
 
 Cases: a null text has no bytes; null ids and repeated rows are records like
 any other; an empty table gives an empty result; all input columns are kept in
@@ -28,9 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelens.llm.common import arrow_map, row_schema, shared_folder
+from cinelens.llm.common import arrow_map, checkpointed, one_of_each, prefix_sums, row_schema, shared_folder
 
-SHARDS, SEED, BUCKET_BYTES = 24, 42, 32 << 20
+SHARDS, SEED, BUCKET_BYTES, CHUNK = 24, 42, 32 << 20, 1024
+#: Bucket offsets (16 bytes each) are broadcast up to this many buckets.
+FEW_BUCKETS = 1 << 20
 
 
 def fisher_yates(n: int, rng: np.random.Generator) -> np.ndarray:
@@ -78,16 +83,28 @@ def write_shuffled(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
     Columns written: bucket, place (in the bucket), size, crc, row (all input columns).
     """
-    size = F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long") + 8
-    total = docs.select(size.alias("size")).agg(F.sum("size")).first()[0] or 0
-    buckets = max(1, -(-total // bucket_bytes))
-    here = F.spark_partition_id()
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    text = F.coalesce(F.col(text_col), F.lit(""))
     records = docs.select(
-        size.alias("size"), F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("crc"),
-        F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col), here).alias("mark"),
+        F.xxhash64(F.lit(seed), *columns).alias("h1"), F.xxhash64(F.lit(seed + 1), *columns).alias("h2"),
+        (F.octet_length(text).cast("long") + 8).alias("size"), F.crc32(text.cast("binary")).alias("crc"),
         F.struct("*").alias("row"))
-    marked = records.withColumn("bucket", F.pmod("mark", F.lit(buckets)).cast("int"))
-    dealt = marked.repartitionById(buckets, F.col("bucket")).select("bucket", "size", "crc", "mark", "row")
+    total = records.agg(F.sum("size")).first()[0] or 0
+    buckets = max(1, -(-total // bucket_bytes))
+    # copies of a record are numbered, in chunks that are dealt out, and scatter like any other
+    kept = one_of_each(records, ["h1", "h2"])
+    first = kept.where("copies = 1").withColumn("copy", F.lit(0).cast("long")).drop("copies")
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(CHUNK).cast("long")))
+    chunks = kept.where("copies > 1").withColumn("chunk", chunk).repartition(parts, F.xxhash64("h1", "h2", "chunk"))
+    more = chunks.withColumn("copy", F.explode(F.sequence(
+        F.col("chunk"), F.least(F.col("chunk") + CHUNK, F.col("copies")) - 1))).drop("copies", "chunk")
+    marked = first.unionByName(more).withColumn("mark", F.xxhash64(F.lit(seed), "h1", "h2", "copy"))
+    # a task takes its buckets one after another: tasks are as many as the cluster is set for
+    tasks = min(buckets, parts)
+    bucket = F.pmod("mark", F.lit(buckets)).cast("int")
+    dealt = marked.select(bucket.alias("bucket"), "size", "crc", "mark", "row").repartitionById(
+        tasks, F.pmod("bucket", F.lit(tasks)).cast("int"))
     arrow_map(dealt.sortWithinPartitions("bucket"), _shuffle_buckets(seed), row_schema(
         "bucket int, place long, size long, crc long", row=dealt.schema["row"].dataType), rows=None).write.parquet(path)
     return buckets
@@ -95,18 +112,13 @@ def write_shuffled(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
 def cut(written: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Give every written record its shard and slot; shard sizes differ by one at most."""
-    counts = sorted(tuple(r) for r in written.groupBy("bucket").count().collect())
-    total, before, rows = sum(n for _, n in counts), 0, []
-    for bucket, n in counts:  # one row per bucket: input bytes / bucket size
-        rows.append((bucket, before))
-        before += n
-    if not rows:
+    counts = checkpointed(written.groupBy("bucket").agg(F.count("*").alias("n")))
+    n_buckets, total = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if not total:
         return written.select("*", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
-    spark = written.sparkSession
-    offsets = spark.createDataFrame(rows, "of_bucket int, before long")
-    at = written.join(F.broadcast(offsets), F.col("bucket") == F.col("of_bucket"))
+    offsets = prefix_sums(counts, [F.col("bucket")], "n", "before").select(F.col("bucket").alias("of_bucket"), "before")
+    at = written.join(F.broadcast(offsets) if n_buckets <= FEW_BUCKETS else offsets, F.col("bucket") == F.col("of_bucket"))
     whole = F.col("before") + F.col("place")
-    n, k = F.lit(total), F.lit(shards)
     shard = F.expr(f"cast(((before + place) * {shards}) div {total} as int)")
     first = F.expr(f"((cast(((before + place) * {shards}) div {total} as long) * {total}) + {shards - 1}) div {shards}")
     return at.select("bucket", "place", "size", "crc", "row", shard.alias("shard"),

@@ -209,12 +209,14 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     winners = checkpointed(named.groupBy("component").agg(F.min("best").alias("best")).select(
         F.coalesce("best.id", F.lit(0)).alias("__w_id"), F.col("best.no").alias("__w_no"),
         F.col("best.row").alias("__w_row")))
-    marked = docs.withColumn("__k_id", F.coalesce(F.col(id_col).cast("long"), F.lit(0))).withColumn(
-        "__k_no", F.col(id_col).isNull()).withColumn("__k_row", whole)
-    kept = marked.join(winners, (F.col("__k_id") == F.col("__w_id")) & (F.col("__k_no") == F.col("__w_no"))
-                       & (F.col("__k_row") == F.col("__w_row")), "left_semi")
+    # the row travels as one struct, so no column of the caller's can clash with the keys
+    marked = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("k_id"),
+                         F.col(id_col).isNull().alias("k_no"), whole.alias("k_row"))
+    kept = marked.join(winners, (F.col("k_id") == F.col("__w_id")) & (F.col("k_no") == F.col("__w_no"))
+                       & (F.col("k_row") == F.col("__w_row")), "left_semi")
     # rows equal in every column have equal keys; the join has put them in one partition already
-    return kept.dropDuplicates(["__k_id", "__k_no", "__k_row"]).drop("__k_id", "__k_no", "__k_row")
+    one = kept.dropDuplicates(["k_id", "k_no", "k_row"])
+    return one.select([F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def digest(rows: DataFrame) -> DataFrame:

@@ -7,9 +7,8 @@ in each worker, filled by the tokenizer itself for what tier one misses. No
 pre-token is ever shuffled, and counts are exact whatever the tiers hold.
 
 Bounds: tier one holds at most ``table_size`` pre-tokens of at most
-``longest`` bytes, gathered from at most about ``sample_rows`` rows chosen by
-a hash of their id (this only warms the table up); tier two is emptied when it
-holds ``cache_size`` entries.
+``longest`` bytes, the frequent ones of all documents by bounded summaries per
+task; tier two is emptied when it holds ``cache_size`` entries.
 
 Texts that hold one of the tokenizer's added tokens (special strings) go to
 the tokenizer whole, as do texts under a tokenizer that does more than split
@@ -32,10 +31,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelens.llm.common import arrow_map, record_batch
+from cinelens.llm.common import arrow_map, checkpointed, record_batch
 
 LIMIT = 1024
-TABLE_SIZE, SAMPLE_ROWS, CACHE_SIZE, LONGEST = 50_000, 4_000, 1_000_000, 64
+TABLE_SIZE, CACHE_SIZE, LONGEST = 50_000, 1_000_000, 64
 
 #: The split of byte-level BPE: public pattern of this tokenizer family (fixed value).
 SPLIT = regex.compile(
@@ -91,34 +90,47 @@ def lengths(path: str) -> Lengths:
     return _LENGTHS[path]
 
 
-def _top_pieces(path: str, size: int, longest: int):
-    """Frequent pre-tokens of a partition of the warm-up rows: at most ``size`` rows."""
+_PIECE = pa.schema([("piece", pa.string()), ("n", pa.int64())])
+
+
+def _top_pieces(size: int, longest: int):
+    """Counts of the frequent pre-tokens of a task: whenever four times ``size`` are held, the rarer half goes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 seen.update(SPLIT.findall(text or ""))
-        own = lengths(path)
-        top = [(p, n) for p, n in seen.most_common(size) if len(p.encode()) <= longest]
-        counts = own.tokenizer.encode_batch([p for p, _ in top], add_special_tokens=False)
-        schema = pa.schema([("piece", pa.string()), ("n", pa.int64()), ("tokens", pa.int32())])
-        yield record_batch(schema, [[p for p, _ in top], [n for _, n in top],
-                                    [len(e.ids) for e in counts]])
+                if len(seen) > 4 * size:
+                    seen = Counter(dict(seen.most_common(2 * size)))
+        top = [(p, n) for p, n in seen.most_common(size) if n > 1 and len(p.encode()) <= longest]
+        yield record_batch(_PIECE, [[p for p, _ in top], [n for _, n in top]])
 
     return run
 
 
-def frequent_lengths(docs: DataFrame, path: str, id_col: str, text_col: str, table_size: int,
-                     sample_rows: int, longest: int) -> dict[str, int]:
-    """Tier one: token counts of frequent pre-tokens, from a bounded number of rows."""
-    rows = docs.count()
-    step = max(1, rows // max(1, sample_rows))
-    warm = docs.where(F.pmod(F.xxhash64(F.lit(9), F.col(id_col)), F.lit(step)) == 0)
-    # one row for each row of the sample at most would grow with copies of an id: limit holds the bound
-    warm = warm.select(F.col(text_col).alias("text")).limit(2 * sample_rows)
-    pieces = arrow_map(warm, _top_pieces(path, table_size, longest), "piece string, n long, tokens int")
-    top = pieces.orderBy(F.desc("n"), "piece").limit(table_size)
-    return {r["piece"]: r["tokens"] for r in top.select("piece", "tokens").collect()}
+def frequent_lengths(docs: DataFrame, path: str, text_col: str, table_size: int, longest: int) -> dict[str, int]:
+    """Tier one: token counts of the pre-tokens that are frequent in all documents.
+
+    Each task's summary of at most ``table_size`` counts is added up on Spark. A histogram of the sums
+    (64 classes a power of two) tells from which class on no more than ``table_size`` remain; only
+    these come to the driver.
+    """
+    counted = arrow_map(docs.select(F.col(text_col).alias("text")), _top_pieces(table_size, longest),
+                        "piece string, n long")
+    sums = checkpointed(counted.groupBy("piece").agg(F.sum("n").alias("n")).withColumn(
+        "rank", F.floor(64 * F.log2("n")).cast("int")))
+    ranks = sorted((tuple(r) for r in sums.groupBy("rank").count().collect()), reverse=True)
+    least, held = None, 0
+    for rank, n in ranks:
+        held += n
+        if held > table_size:
+            break
+        least = rank
+    if least is None:
+        return {}
+    pieces = sorted(r["piece"] for r in sums.where(F.col("rank") >= least).select("piece").collect())
+    found = lengths(path).tokenizer.encode_batch(pieces, add_special_tokens=False)
+    return {p: len(e.ids) for p, e in zip(pieces, found)}
 
 
 _COUNTS = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
@@ -136,11 +148,10 @@ def _counter(path: str, broadcast, cache_size: int):
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-                 table_size: int = TABLE_SIZE, sample_rows: int = SAMPLE_ROWS,
+                 table_size: int = TABLE_SIZE,
                  cache_size: int = CACHE_SIZE, longest: int = LONGEST) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) of every row."""
-    table = frequent_lengths(docs, path, id_col, text_col, table_size, sample_rows, longest) \
-        if lengths(path).splits else {}
+    table = frequent_lengths(docs, path, text_col, table_size, longest) if lengths(path).splits else {}
     shared = docs.sparkSession.sparkContext.broadcast(table)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return arrow_map(rows, _counter(path, shared, cache_size), "doc_id long, n_bytes long, n_tokens long")

@@ -7,6 +7,8 @@ from collections import defaultdict
 import duckdb
 import pyarrow.parquet as pq
 
+import pytest
+
 from cinelens.llm import decontamination as dc
 from cinelens.llm.queries import ORACLE_SQL, op10_decontamination
 
@@ -99,3 +101,15 @@ def test_clean_documents_keep_their_columns(spark, odd):
         out = dc.clean_documents(odd, bench, slice_bytes=size)
         assert out.schema == odd.schema
         assert sorted([r.doc_id for r in out.collect()], key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("slice_bytes", [8 << 20, 64])
+def test_clean_documents_keep_any_column(spark, odd, slice_bytes):
+    names = ("__key", "__hit_id", "__hit_key", "row", "items")
+    df = clashing(odd, *names)
+    items = spark.createDataFrame([("q", "one two three four five six seven eight nine ten eleven"), ("r", "no such item here")],
+                                  "item_id string, text string")
+    out = dc.clean_documents(df, items, slice_bytes=slice_bytes)
+    assert out.columns == df.columns and all(r[n] == f"own {n}" for r in out.collect() for n in names)
+    assert sorted(r.doc_id or 0 for r in out.collect()) == sorted(
+        (i or 0) for i, t, *_ in ODD if not (t or "").lower().startswith("one two three"))

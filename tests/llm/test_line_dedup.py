@@ -85,3 +85,12 @@ def test_texts_and_columns_survive(spark):
 
 def test_empty_table(none):
     assert line_dedup.digest(none).collect() == []
+
+
+def test_one_row_repeated_for_a_third_of_the_table(spark):
+    hot = (7, "a line that many hold\nown line of the hot row\nA line that many hold ")
+    rows = [hot] * 3000 + [(i, f"a line that many hold\nline of {i} alone") for i in range(3000)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(11)
+    # one record per line of the row, not one per copy
+    assert line_dedup.line_records(df, "doc_id", "text", 10).where("doc = 7").count() == 5
+    assert rows_of(line_dedup.digest(df)) == brute(rows)

@@ -81,3 +81,35 @@ def test_shards_mix_the_input(spark):
         spark.read.parquet(f"{SF01}/documents.parquet"), 4, bucket_bytes=300_000)))
     means = [np.mean([r[0] for r in rows if r[3] == k]) for k in range(4)]
     assert max(means) - min(means) < 120  # ids 0..999: about 40 expected
+
+
+def test_shards_do_not_depend_on_the_partitions(spark, odd):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(docs.limit(0)).unionByName(odd.select("doc_id", "text"))
+    many = docs.unionByName(spark.createDataFrame([(5, "again and again")] * 3000, "doc_id long, text string"))
+    one, two, three = (sorted(five(sharding.digest(sharding.shards(d, bucket_bytes=100_000))), key=repr) for d in (
+        many.repartition(1), many.repartition(7), many.repartition(5, "text")))
+    assert one == two == three and len(one) == 1000 + len(ODD) + 3000
+
+
+def test_order_is_the_buckets_fisher_yates(spark, odd):
+    """The whole shuffle once more, from the marks alone."""
+    from pyspark.sql import functions as F
+    n_buckets, path = 5, sharding.shared_folder(spark, "test")
+    docs = odd.where("doc_id IS NOT NULL").select("doc_id", "text").dropDuplicates()
+    docs = docs.unionByName(spark.createDataFrame([(100 + i, f"text {i}") for i in range(300)], "doc_id long, text string"))
+    size = sum(8 + len((r.text or "").encode()) for r in docs.collect())
+    assert sharding.write_shuffled(docs, path, bucket_bytes=-(-size // n_buckets)) == n_buckets
+    marks = docs.select("doc_id", F.xxhash64(F.lit(42), "doc_id", "text").alias("h1"), F.xxhash64(F.lit(43), "doc_id", "text").alias("h2")) \
+        .select("doc_id", F.xxhash64(F.lit(42), "h1", "h2", F.lit(0).cast("long")).alias("mark")).collect()
+    order = []
+    for b in range(n_buckets):
+        own = sorted((r.mark, r.doc_id) for r in marks if r.mark % n_buckets == b)
+        order += [own[k][1] for k in sharding.fisher_yates(len(own), np.random.default_rng([42, b]))]
+    got = {(r.shard, r.slot): r.row.doc_id for r in sharding.cut(spark.read.parquet(path), 7).collect()}
+    n = len(order)
+    want = {}
+    for k, doc in enumerate(order):
+        shard = k * 7 // n
+        want[shard, k - -(-shard * n // 7)] = doc
+    assert got == want

@@ -105,3 +105,11 @@ def test_representatives(spark, odd):
 def test_empty_table(none):
     assert simhash.digest(simhash.near_duplicates(none)).collect() == []
     assert simhash.representatives(none).collect() == []
+
+
+def test_representatives_keep_any_column(spark, odd):
+    names = ("k_id", "k_no", "k_row", "row", "__k_id", "__w_id", "fp", "node")
+    df = clashing(odd, *names)
+    out = simhash.representatives(df)
+    assert out.columns == df.columns
+    assert all(r[n] == f"own {n}" for r in out.collect() for n in names)

@@ -28,7 +28,7 @@ def test_query_matches_tokenizer(spark, docs01, tok):
 
 
 def test_odd_rows(spark, odd, tok):
-    got = rows_of(tc.token_counts(clashing(odd, "n_tokens", "piece"), PATH, table_size=50, sample_rows=3))
+    got = rows_of(tc.token_counts(clashing(odd, "n_tokens", "piece"), PATH, table_size=50))
     assert got == sorted([(i, len((t or "").encode()), count(tok, t)) for i, t, *_ in ODD], key=repr)
 
 
@@ -58,5 +58,22 @@ def test_other_tokenizers_go_whole(tok):
 
 def test_table_stays_within_its_bounds(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
-    table = tc.frequent_lengths(docs, PATH, "doc_id", "text", table_size=100, sample_rows=50, longest=8)
+    table = tc.frequent_lengths(docs, PATH, "text", table_size=100, longest=8)
     assert 0 < len(table) <= 100 and max(len(p.encode()) for p in table) <= 8
+
+
+def test_table_holds_what_is_frequent_in_all_documents(spark):
+    rows = [(i, " hot" * 50 + " rare" + "".join(chr(97 + int(c)) for c in str(i)) + " " + "x" * 100) for i in range(300)] + [(1000 + i, " cold" * 3) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    table = tc.frequent_lengths(docs, PATH, "text", 4, 64)
+    assert " hot" in table and " cold" in table and len(table) <= 4
+    assert not any(p.startswith(" rare") or len(p) > 64 for p in table)
+    assert tc.frequent_lengths(docs, PATH, "text", 1, 64).keys() <= {" hot"}
+    assert tc.frequent_lengths(docs.limit(0), PATH, "text", 4, 64) == {}
+
+
+def test_bounded_summaries_keep_the_frequent(spark):
+    # far more different pre-tokens in a task than it may hold
+    rows = [(i, " often" * 3 + "".join(f" w{i}x{k}" for k in range(40))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert " often" in tc.frequent_lengths(docs, PATH, "text", 20, 64)
