@@ -119,6 +119,20 @@ def one_of_each(df: DataFrame, keys: list[str]) -> DataFrame:
     return single.unionByName(several.select(*keys, *[F.col("rest").getField(c).alias(c) for c in rest], "copies"))
 
 
+def bounded_sample(rows: DataFrame, key: Column, most: int, seed: int = 11) -> DataFrame:
+    """At most about ``most`` rows of ``rows``, one per ``key`` (rows equal in it count once), by a hash of it.
+
+    Copies are combined in the map tasks, so a key on a third of all rows does not meet in one.
+    """
+    own = rows.columns
+    one = rows.withColumn("sample_key", key).groupBy("sample_key").agg(F.first(F.struct(*own)).alias("r"))
+    fixed = checkpointed(one)
+    n = fixed.count()
+    if n > most:
+        fixed = fixed.where(F.pmod(F.xxhash64(F.lit(seed), "sample_key"), F.lit(1 << 20)) < int((1 << 20) * most / n))
+    return fixed.select([F.col("r").getField(c).alias(c) for c in own])
+
+
 def _running(ends: dict[int, int], value: int):
     """Append the sum of column ``value`` over all rows before, within a sorted partition and by ``ends`` before it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

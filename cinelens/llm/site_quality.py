@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinelens.llm import logistic
-from cinelens.llm.common import arrow_map, blobs, checkpointed, record_batch, row_schema
+from cinelens.llm.common import arrow_map, blobs, bounded_sample, checkpointed, record_batch, row_schema
 
 TRAIN_ROWS, RIDGE, THRESHOLD = 20_000, 1.0, 0.3
 #: Bin edges of each statistic, as quantiles of the sample; dense at the ends, where junk lies.
@@ -82,7 +82,7 @@ def _stats_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", train_rows: int = TRAIN_ROWS) -> QualityModel | None:
-    """Document classifier from a bounded sample of labelled ids; None without both classes."""
+    """Document classifier from a bounded sample of labelled rows, each id and text once; None without both classes."""
     known = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("known")).agg(
         F.max(label_col).cast("double").alias("y"))
     n = known.count()
@@ -91,7 +91,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                             < int((1 << 20) * train_rows / n))
     # at most about train_rows rows of two numbers: bounded, so broadcast outright
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
-        F.broadcast(known), F.col("id") == F.col("known")).select("text", "y")
+        F.broadcast(known), F.col("id") == F.col("known")).select("id", "text", "y")
+    # one row per id and text, and the bound holds for rows too: an id may be on any number of them
+    rows = bounded_sample(rows, F.xxhash64("id", "text"), train_rows).select("text", "y")
     got = arrow_map(rows, _stats_rows, "x array<double>, y double").toPandas()
     if got["y"].nunique() < 2:
         return None

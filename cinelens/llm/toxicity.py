@@ -15,8 +15,8 @@ categories are severities derived from it: uses telling words at all, uses
 several, uses them densely. Callers with category labels of their own pass
 those columns instead.
 
-Training uses at most about ``train_rows`` labelled rows (chosen by a hash of
-the id) and ``vocabulary`` features; these numbers are parameters. Everything
+Training uses at most about ``train_rows`` labelled rows, each id and text once (chosen by
+hashes), and ``vocabulary`` features; these numbers are parameters. Everything
 else covers all documents: scoring is map-only, with the model (a few
 kilobytes) sent along.
 
@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinelens.llm import logistic
-from cinelens.llm.common import arrow_map, blobs, checkpointed, record_batch, row_schema
+from cinelens.llm.common import arrow_map, blobs, bounded_sample, checkpointed, record_batch, row_schema
 from cinelens.llm.decontamination import words_of
 
 TRAIN_ROWS, VOCABULARY, FOLDS, RIDGE, MIN_DOCS, THRESHOLD = 20_000, 128, 5, 1.0, 5, 0.5
@@ -48,9 +48,9 @@ SEVERITIES = ["mentions", "repeated", "dense"]
 
 
 def forms(word: bytes) -> list[str]:
-    """The word itself and its beginnings."""
+    """The word itself and its beginnings; of a word over ``LONGEST_WORD`` code points the beginnings."""
     w = word.decode("utf-8", "replace")
-    return ["=" + w] + ["^" + w[:k] for k in STEMS if len(w) > k] if len(w) <= LONGEST_WORD else []
+    return ["=" + w] * (len(w) <= LONGEST_WORD) + ["^" + w[:k] for k in STEMS if len(w) > k]
 
 
 def _sampled(labels: DataFrame, rows: int) -> DataFrame:
@@ -164,7 +164,7 @@ def train(labelled: DataFrame, label_cols: list[str], derive: bool = False,
     ``derive`` puts the derived severities of the last label before it. Copies of a text share a
     fold.
     """
-    picked = _sampled(labelled, train_rows).select(
+    picked = bounded_sample(labelled, F.xxhash64("doc_id", "text"), train_rows).select(
         "text", F.array(*[F.col(c).cast("int") for c in label_cols]).alias("y"),
         F.pmod(F.xxhash64("text"), F.lit(folds)).alias("fold"))
     sample = checkpointed(picked)
@@ -218,7 +218,7 @@ def fit_documents(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_RO
     # at most about train_rows rows of two numbers: bounded, so broadcast outright
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("known"))
     return train(rows.select("doc_id", "text", "toxic"), ["toxic"], derive=True,
-                 train_rows=2 * train_rows)
+                 train_rows=train_rows)
 
 
 def digest(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

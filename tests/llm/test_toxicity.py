@@ -90,3 +90,20 @@ def test_out_of_fold_models_have_not_seen_their_rows():
     inside = logistic.predict(x, logistic.fit(x, y, 0.01))
     outside = logistic.out_of_fold(x, y, np.arange(200) % 5, 0.01)
     assert ((inside > .5) == y).mean() > .7 > ((outside > .5) == y).mean()
+
+
+def test_training_rows_are_bounded_whatever_an_id_holds(spark):
+    from cinelens.llm.common import bounded_sample
+    rows = [(1, "vile text")] * 5000 + [(2, f"nice text {i}") for i in range(5000)] + [(3, None)] * 10
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    key = F.xxhash64("doc_id", "text")
+    assert bounded_sample(docs, key, 10_000).count() == 5002  # each id and text once
+    some = bounded_sample(docs, key, 1000)
+    assert 800 < some.count() < 1200 and some.distinct().count() == some.count()
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    tx.fit_documents(docs, labels, train_rows=500)
+
+
+def test_long_words_keep_their_beginnings():
+    long = b"vile" + b"x" * 60
+    assert tx.forms(long) == ["^vil", "^vile", "^vilex", "^vilexx"] and tx.forms(b"vile")[0] == "=vile"
