@@ -18,7 +18,8 @@ def year_span(films: DataFrame, date: str = "release_date") -> DataFrame:
 
 def row_counts(tables: dict) -> DataFrame:
     """(table_name, row_count) for each named DataFrame: one global count each,
-    unioned (a parquet count scans with an empty read schema: no column data)."""
+    unioned (a parquet count scans with an empty read schema: no column data; read by
+    ``sources.read_table_footers`` it is taken from the files' footers)."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count"))
                .select(F.lit(name).alias("table_name"), "row_count")
              for name, df in tables.items()]

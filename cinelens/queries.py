@@ -17,7 +17,7 @@ from .operators.filters import null_audit as _null_audit
 from .sources import fixtures as fx
 from .session import checkpoint_dir
 from .sources.keyed import read_keyed, write_keyed
-from .sources.readers import ingest_csv, read_csv, read_table
+from .sources.readers import ingest_csv, read_csv, read_table, read_table_footers
 from .sources.writers import to_store_text, write_csv
 from .functions.dates import decade_start, month_in, year_in
 from .functions.literals import parse_names
@@ -257,7 +257,7 @@ def directors_csv_by_window(spark, d):
 
 
 def row_counts(spark, d):
-    return P.row_counts({t: read_table(spark, d, t) for t in TABLES})
+    return P.row_counts({t: read_table_footers(spark, d, t) for t in TABLES})
 
 
 def _folder(spark, kind: str) -> str:

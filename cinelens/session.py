@@ -8,7 +8,7 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings every job wants: adaptive execution (runtime re-plan, partition
-# coalescing, skew-join splitting), UTC session time, ANSI semantics, no UI.
+# coalescing, skew-join splitting), UTC session time, ANSI semantics, no UI, counts from footers.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -18,6 +18,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 

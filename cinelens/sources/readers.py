@@ -133,3 +133,18 @@ def read_table(spark: SparkSession, base: str, name: str, view: str | None = Non
         df.createOrReplaceTempView(view)
     return df
 
+
+def read_table_footers(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """``read_table`` for whole-table counts and minima or maxima of stored columns.
+
+    Read through Spark's newer Parquet source, which takes an aggregate without filter or group from
+    the files' footers where ``spark.sql.parquet.aggregatePushdown`` is on (``get_session`` sets it):
+    no page is read. Elsewhere it is an ordinary scan.
+    """
+    key = "spark.sql.sources.useV1SourceList"
+    old = spark.conf.get(key)
+    spark.conf.set(key, ",".join(x for x in old.split(",") if x.strip() != "parquet"))
+    try:
+        return read_table(spark, base, name)
+    finally:
+        spark.conf.set(key, old)

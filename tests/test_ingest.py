@@ -138,3 +138,12 @@ def test_text_dates_are_checked(spark):
     rows = ["2001-02-28", "2001-2-8", "2001-13-45", "2001-02-30", "2001", "x", "", None, " 1999-12-31 ", "2001-02-28T10:00"]
     got = spark.createDataFrame([(r,) for r in rows], "t string").select(year_of("t", text=True), month_of("t", text=True)).collect()
     assert [tuple(r) for r in got] == [(2001, 2), (2001, 2)] + [(None, None)] * 6 + [(1999, 12), (None, None)]
+
+
+def test_row_counts_come_from_the_footers(spark):
+    ran = final_nodes(QUERIES["row_counts"](spark, SF001))
+    scans = [n for n in ran if "BatchScan" in n or "FileScan" in n]
+    assert len(scans) == 14 and all("PushedAggregation: [COUNT(*)]" in n for n in scans), scans[:1]
+    # the setting is back as it was: other reads go the usual way
+    from cinelens.sources import read_table
+    assert "FileScan parquet" in plan_of(read_table(spark, SF001, "orders"))
