@@ -24,3 +24,12 @@ def test_nothing_else_imports_them():
             for n in names:
                 if n.endswith(".py"):
                     assert "llm" not in open(os.path.join(folder, n)).read(), n
+
+
+def test_a_missing_library_costs_only_these_queries(tmp_path):
+    (tmp_path / "ahocorasick.py").write_text("raise ImportError('not here')")
+    got = subprocess.run([sys.executable, "-B", "-c", "import __spark_entry__ as e; print(*e.queries())"],
+                         cwd=ROOT, capture_output=True, text=True, check=True, env={**os.environ, "PYTHONPATH": str(tmp_path)})
+    said = got.stdout.split()
+    assert "top_rated_per_decade" in said and not any(x.startswith("op") or x == "pipeline" for x in said)
+    assert "not here" in got.stderr
