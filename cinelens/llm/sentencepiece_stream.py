@@ -25,10 +25,15 @@ the other columns in a struct, so no name can clash.
 
 from __future__ import annotations
 
+import math
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from heapq import merge
+from itertools import pairwise
+from operator import itemgetter
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -64,8 +69,12 @@ class Model:
                 self.ids[piece], self.score[piece] = i, sp.get_score(i)
                 self.raw.append(piece.replace(MARK, " ").encode())
         self.longest = max(map(len, self.ids), default=1)
-        # pieces by id; what pieces only begin with is -1
-        self.kinds = {p[:k]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
+        # finds the pieces that end at each character, longest first
+        self.pieces = ahocorasick.Automaton()
+        for p, i in self.ids.items():
+            self.pieces.add_word(p, (i, len(p)))
+        self.pieces.make_automaton()
+        self.single = {p for p in self.ids if len(p) == 1}
         self.size = sp.vocab_size()
         self.piece_of: list[str | None] = [None] * self.size
         for p, i in self.ids.items():
@@ -86,16 +95,16 @@ class Model:
 
     def merge(self, text: str) -> list[str]:
         """BPE by definition: merge the neighbours whose piece scores best, leftmost first."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                s = self.score.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if at < 0:
-                break
+        parts, get, none = list(text), self.score.get, -math.inf
+        scores = [get(a + b, none) for a, b in pairwise(parts)]
+        while scores and (best := max(scores)) > none:
+            at = scores.index(best)
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]  # those of the new piece and its neighbours have changed
+            if at:
+                scores[at - 1] = get(parts[at - 1] + parts[at], none)
+            if at < len(scores):
+                scores[at] = get(parts[at] + parts[at + 1], none)
         return parts
 
     def text_of(self, code: int) -> str:
@@ -112,28 +121,28 @@ class Model:
             known = self.pairs[key] = self.merge(a + b) == [a, b]
         return known
 
+    def _edges(self, text: str, start: int, stop: int) -> Iterable[tuple[int, tuple[int, int]]]:
+        """(last character, (code, length)) of the edges that end at the boundaries up to ``stop``.
+
+        By their end, longest first; those that end at ``start`` or before may be among them.
+        """
+        found = self.pieces.iter(text, max(0, start + 1 - self.longest), stop) if self.ids else ()
+        if self.single.issuperset(text[start:stop]):
+            return found
+        alone = [(i, (self.size + ord(text[i]), 1)) for i in range(start, stop) if text[i] not in self.single]
+        return merge(found, alone, key=itemgetter(0))
+
     def _extend(self, last: dict[int, int], text: str, start: int, stop: int) -> None:
-        """Follow all edges that begin at the boundaries ``start`` to ``stop - 1``."""
-        kinds, pairs, longest, n = self.kinds, self.pairs, self.longest, len(text)
-        for i in range(start, stop):
-            before = last[i]  # every boundary is reached: single characters always are edges
-            base = before * _BASE
-            for j in range(i + 1, min(i + longest, n) + 1):
-                code = kinds.get(text[i:j])
-                if code is None:
-                    if j > i + 1:
-                        break  # no piece begins like this
-                    code = self.size + ord(text[i])
-                elif code < 0:
-                    if j > i + 1:
-                        continue  # only the beginning of pieces
-                    code = self.size + ord(text[i])
-                if j not in last:
-                    fits = pairs.get(base + code) if before >= 0 else True
-                    if fits is None:
-                        fits = self.fit(before, code)
-                    if fits:
-                        last[j] = code
+        """Follow all edges that end at the boundaries ``start + 1`` to ``stop``."""
+        pairs, done = self.pairs, start - 1
+        for end, (code, length) in self._edges(text, start, stop):
+            if end > done:
+                before = last[end + 1 - length]  # every boundary is reached: single characters always are edges
+                fits = pairs.get(before * _BASE + code) if before >= 0 else True
+                if fits is None:
+                    fits = self.fit(before, code)
+                if fits:
+                    last[end + 1], done = code, end
 
     def codes(self, text: str, check_every: int = CHECK_EVERY) -> Iterator[int]:
         """Codes of the pieces of ``text``, yielded as soon as they are final.
@@ -219,10 +228,8 @@ class Model:
         if not text:
             return np.empty(0, np.int32)
         text = MARK + text.replace(" ", MARK) if self.plain else self.sp.normalize(text)
-        get, out = self.cache.get, []
-        for word in self.words.findall(text):
-            out.append(get(word) or self.cached(word))
-        return np.frombuffer(b"".join(out), np.int32)
+        get, cached = self.cache.get, self.cached
+        return np.frombuffer(b"".join([get(word) or cached(word) for word in self.words.findall(text)]), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
         data = b"".join(map(self.raw.__getitem__, ids.tolist()))

@@ -85,3 +85,35 @@ def test_runs_of_blanks(lib, model):
 
 def test_decode_of_no_ids(model):
     assert model.decode(np.empty(0, np.int32)) == ""
+
+
+class Counting(dict):
+    """Counts what is looked up."""
+
+    looked = 0
+
+    def get(self, *key):
+        self.looked += 1
+        return super().get(*key)
+
+
+def test_a_merge_scores_each_neighbour_once(model):
+    text, score = "▁" + "internationalisation" * 20, model.score
+    model.score = Counting(score)
+    try:
+        parts = model.merge(text)
+        looked = model.score.looked
+    finally:
+        model.score = score
+    assert "".join(parts) == text and looked < 3 * len(text)
+
+
+@settings(max_examples=100, deadline=None, derandomize=True)
+@given(st.text(alphabet="aeinrst▁ hd😀漢\x00", min_size=1, max_size=80), st.integers(0, 79), st.integers(1, 80))
+def test_edges_are_whole_pieces_and_single_characters(model, text, start, more):
+    start = min(start, len(text) - 1)
+    stop = min(start + more, len(text))
+    edges = [(e + 1, code, k) for e, (code, k) in model._edges(text, start, stop) if e >= start]
+    assert edges == [(j, model.ids.get(text[i:j], model.size + ord(text[j - 1])), j - i)
+                     for j in range(start + 1, stop + 1) for i in range(max(0, j - model.longest), j)
+                     if text[i:j] in model.ids or i + 1 == j]
