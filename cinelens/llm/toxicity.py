@@ -89,10 +89,16 @@ class Chain:
         return out
 
     def train(self, x: np.ndarray, y: np.ndarray, folds: np.ndarray) -> None:
+        self.train_wide(np.c_[x, np.zeros((len(x), len(self.categories) - 1))], y, folds)
+
+    def train_wide(self, x: np.ndarray, y: np.ndarray, folds: np.ndarray) -> None:
+        """``x``: the features, then a column for each category but the last, which is filled here."""
+        width = x.shape[1] - len(self.categories) + 1
         for k in range(len(self.categories)):
-            self.weights.append(logistic.fit(x, y[:, k], self.ridge))
+            seen = x[:, :width + k]
+            self.weights.append(logistic.fit(seen, y[:, k], self.ridge))
             if k + 1 < len(self.categories):
-                x = np.c_[x, logistic.out_of_fold(x, y[:, k], folds, self.ridge)]
+                x[:, width + k] = logistic.out_of_fold(seen, y[:, k], folds, self.ridge)
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         """Probabilities, one column per category."""
@@ -146,16 +152,27 @@ def telling_features(sample: DataFrame, size: int, min_docs: int) -> list[str]:
 
 
 def _featurizer(chain: Chain):
-    schema = pa.schema([("x", pa.list_(pa.float64())), ("y", pa.list_(pa.int32())), ("fold", pa.int64())])
+    """The features that are not zero, by their numbers ``at``."""
+    schema = pa.schema([("at", pa.list_(pa.int32())), ("x", pa.list_(pa.float64())), ("y", pa.list_(pa.int32())),
+                        ("fold", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield record_batch(schema, [[chain.features(b) for b in blobs(batch.column(0))],
-                                        batch.column(1), batch.column(2)])
+            x = [chain.features(b) for b in blobs(batch.column(0))]
+            at = [np.flatnonzero(v) for v in x]
+            yield record_batch(schema, [at, [v[i] for v, i in zip(x, at)], batch.column(1), batch.column(2)])
 
     return run
 
 
+def matrix(at: pa.ListArray, values: pa.ListArray, width: int) -> np.ndarray:
+    """Rows of ``width`` numbers from those that are not zero."""
+    x = np.zeros((len(at), width))
+    rows = np.repeat(np.arange(len(at)), at.value_lengths().to_numpy())
+    x[rows, at.flatten().to_numpy()] = values.flatten().to_numpy()
+    return x
+
+
 def train(labelled: DataFrame, label_cols: list[str], derive: bool = False,
           train_rows: int = TRAIN_ROWS, vocabulary: int = VOCABULARY, folds: int = FOLDS,
           ridge: float = RIDGE, min_docs: int = MIN_DOCS) -> Chain:
@@ -171,11 +188,14 @@ def train(labelled: DataFrame, label_cols: list[str], derive: bool = False,
     categories = label_cols[:-1] + (SEVERITIES if derive else []) + label_cols[-1:]
     chain = Chain(telling_features(sample, vocabulary, min_docs), categories, ridge)
     if chain.index:
-        rows = arrow_map(sample, _featurizer(chain), "x array<double>, y array<int>, fold long").toPandas()
-        x, y = np.array(rows["x"].tolist()), np.array(rows["y"].tolist(), float)
+        rows = arrow_map(sample, _featurizer(chain),
+                         "at array<int>, x array<double>, y array<int>, fold long").toArrow()
+        at, values, y, fold = (c.combine_chunks() for c in rows.columns)
+        width = len(chain.index) + 2
+        x, y = matrix(at, values, width + len(categories) - 1), np.array(y.to_pylist(), float)
         if derive:
-            y = np.c_[y[:, :-1], severities(x, y[:, -1]), y[:, -1]]
-        chain.train(x, y, rows["fold"].to_numpy())
+            y = np.c_[y[:, :-1], severities(x[:, :width], y[:, -1]), y[:, -1]]
+        chain.train_wide(x, y, fold.to_numpy())
     return chain
 
 

@@ -1,6 +1,9 @@
 """Operator 8: accuracy on held-out documents, chain training, odd inputs."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cinelens.llm import logistic, toxicity as tx
@@ -107,3 +110,28 @@ def test_training_rows_are_bounded_whatever_an_id_holds(spark):
 def test_long_words_keep_their_beginnings():
     long = b"vile" + b"x" * 60
     assert tx.forms(long) == ["^vil", "^vile", "^vilex", "^vilexx"] and tx.forms(b"vile")[0] == "=vile"
+
+
+def test_training_holds_no_second_copy_of_the_features():
+    x = np.random.default_rng(3).poisson(0.3, (30_000, 60)).astype(float)
+    y, chain = np.c_[x[:, 0] > 0, x[:, 1] > 0].astype(float), tx.Chain([], ["first", "last"], 1.0)
+    wide = np.c_[x, np.zeros(len(x))]
+    tracemalloc.start()
+    chain.train_wide(wide, y, np.arange(len(x)) % 5)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 0.8 * x.nbytes
+    again = tx.Chain([], ["first", "last"], 1.0)
+    again.train(x, y, np.arange(len(x)) % 5)
+    assert all((a == b).all() for a, b in zip(chain.weights, again.weights))
+
+
+def test_features_travel_without_their_zeros():
+    chain = tx.Chain(["=bad", "^wor"], ["toxic"], 1.0)
+    texts = ["bad words bad", "", "nothing here", "words and worms"]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(texts), pa.array([[1], [0], [0], [1]], pa.list_(pa.int32())), pa.array([0, 1, 2, 3])], ["t", "y", "f"])
+    (out,) = tx._featurizer(chain)(iter([batch]))
+    whole = np.array([chain.features(t.encode()) for t in texts])
+    assert len(out.column(0).flatten()) == np.count_nonzero(whole) < whole.size
+    assert (tx.matrix(out.column(0), out.column(1), 6) == np.c_[whole, np.zeros((4, 2))]).all()
